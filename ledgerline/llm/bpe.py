@@ -48,7 +48,7 @@ class BytePairs:
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         #: left << 32 | right -> (rank, merged id)
         self.merges = {vocab[a] << 32 | vocab[b]: (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
-        self.known = words.WordMemory(lambda w: array("I", self.merge(w)).tobytes())
+        self._encode = words.TextMap(self.split, lambda w: array("I", self.merge(w)).tobytes(), b"".join)
 
     def merge(self, word: str) -> list[int]:
         """The ids of one pre-token."""
@@ -83,7 +83,7 @@ class BytePairs:
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.known.__getitem__, self.split.words(text or "")))
+        return self._encode(text or "")
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")

@@ -38,6 +38,7 @@ class DigestIndex:
     def append(self, digests: DataFrame) -> None:
         """Adds the digests of (digest, doc_id) rows that the index lacks."""
         batch = digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        batch = common.stored(batch, "digest_batch")  # else the anti-join moves below the aggregate and meets every copy
         new = batch.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
         new.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.name)
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 import unicodedata
+from collections.abc import Callable, Iterable
 
 import public_tokenizers
 import regex
@@ -76,3 +78,29 @@ class WordMemory(dict):
                 self.clear()
             self[word] = value
         return value
+
+
+#: A blank that white space or the end follows: only there can a run of white space cross a blank.
+_RUN = re.compile(r" (?:\s|\Z)")
+
+
+class TextMap:
+    """Joins what ``make`` gives for the pre-tokens of a text.
+
+    Without runs of blanks a text can be cut at each blank, which then starts a
+    pre-token; what such a stretch gives is remembered as a whole.
+    """
+
+    def __init__(self, split: Splitter, make: Callable, join: Callable[[Iterable], object], limit: int = 300_000):
+        self.split, self.join = split, join
+        self.known = WordMemory(make, limit)
+        self.stretches = WordMemory(lambda s: self.whole(" " + s), limit, longest=24)
+
+    def whole(self, text: str):
+        return self.join(map(self.known.__getitem__, self.split.words(text)))
+
+    def __call__(self, text: str):
+        if _RUN.search(text) or any(s in text for s in self.split.special):
+            return self.whole(text)
+        first, *rest = text.split(" ")
+        return self.join(itertools.chain((self.whole(first),), map(self.stretches.__getitem__, rest)))
