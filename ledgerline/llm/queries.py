@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, exact_dedup, token_count, token_store
+from ledgerline.llm import bpe, exact_dedup, token_count, token_store, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": bpe.op1_bpe,
+        "op2_toxicity": toxicity.op2_toxicity,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op8_token_store": token_store.op8_token_store,
         "op10_token_count": token_count.op10_token_count,

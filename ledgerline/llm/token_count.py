@@ -37,7 +37,7 @@ NEVER = 1 << 60
 class Transducer:
     """Bytes of one pre-token -> number of its tokens."""
 
-    def __init__(self, pairs: bpe.BytePairs, most_states: int = 100_000):
+    def __init__(self, pairs: bpe.BytePairs, most_states: int = 300_000):
         self.pairs, self.most_states = pairs, most_states
         special = set(pairs.split.special.values())
         self.token = {b: i for i, b in pairs.bytes_of.items() if i not in special}
@@ -85,7 +85,11 @@ class Transducer:
         skip = 0
         while longer[skip:] not in self.starts:
             skip += 1
-        key = (longer[skip:], (*last, token)[skip:], tuple(n - emitted for n in (*less, emitted)[skip:]))
+        # positions at which no longer token can start don't matter any more
+        live = [longer[at:] in self.starts for at in range(skip, len(longer) + 1)]
+        last = tuple(t if use else -1 for t, use in zip((*last, token)[skip:], live, strict=True))
+        less = tuple(n - emitted if use else 0 for n, use in zip((*less, emitted)[skip:], live, strict=True))
+        key = (longer[skip:], last, less)
         if (goal := self.number.get(key)) is None:
             goal = self.number[key] = len(self.states)
             self.states.append(key)

@@ -67,7 +67,7 @@ class Splitter:
 class WordMemory(dict):
     """word -> what ``make`` gives for it. Long words aren't kept, and a full memory starts anew."""
 
-    def __init__(self, make, limit: int = 300_000, longest: int = 64):
+    def __init__(self, make, limit: int = 500_000, longest: int = 64):
         super().__init__()
         self.make, self.limit, self.longest = make, limit, longest
 
@@ -91,7 +91,7 @@ class TextMap:
     pre-token; what such a stretch gives is remembered as a whole.
     """
 
-    def __init__(self, split: Splitter, make: Callable, join: Callable[[Iterable], object], limit: int = 300_000):
+    def __init__(self, split: Splitter, make: Callable, join: Callable[[Iterable], object], limit: int = 500_000):
         self.split, self.join = split, join
         self.known = WordMemory(make, limit)
         self.stretches = WordMemory(lambda s: self.whole(" " + s), limit, longest=24)
