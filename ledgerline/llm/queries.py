@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, exact_dedup, token_count, token_store, toxicity
+from ledgerline.llm import bpe, exact_dedup, simhash, token_count, token_store, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bpe": bpe.op1_bpe,
         "op2_toxicity": toxicity.op2_toxicity,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+        "op4_simhash": simhash.op4_simhash,
         "op8_token_store": token_store.op8_token_store,
         "op10_token_count": token_count.op10_token_count,
     }
