@@ -26,19 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.llm import common, words
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letters that stand for bytes in byte-level vocabularies: printable ones as they are, the others from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class BytePairs:
     """The merges and vocabulary of a tokenizer file."""
 
     def __init__(self, path: str):
         self.split = words.Splitter(path)
-        letters, model = _byte_letters(), self.split.model["model"]
+        letters, model = words.byte_letters(), self.split.model["model"]
         vocab: dict[str, int] = model["vocab"]
         self.bytes_of = {i: bytes(letters[c] for c in s) for s, i in vocab.items()}
         self.bytes_of |= {i: s.encode() for s, i in self.split.special.items()}

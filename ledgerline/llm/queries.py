@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, exact_dedup, simhash, token_count, token_store, toxicity
+from ledgerline.llm import bpe, exact_dedup, lm, mixing, simhash, token_count, token_store, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,10 +15,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": toxicity.op2_toxicity,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_simhash": simhash.op4_simhash,
+        "op5_lm": lm.op5_lm,
         "op8_token_store": token_store.op8_token_store,
+        "op9_mixing": mixing.op9_mixing,
         "op10_token_count": token_count.op10_token_count,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.OP3_SQL}
+    return {"op3_exact_dedup": exact_dedup.OP3_SQL, "op9_mixing": mixing.OP9_SQL}

@@ -81,9 +81,20 @@ def unpack(image: bytes) -> np.ndarray:
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> words.TextMap:
-    """The tokenizers library's ids of a text as little-endian bytes, remembering its words."""
-    tokenizer = words.library(path)
-    return words.TextMap(words.Splitter(path), lambda w: array("I", tokenizer.encode(w, add_special_tokens=False).ids).tobytes(), b"".join)
+    """The tokenizers library's ids of a text as little-endian bytes.
+
+    The library's model is asked once for each pre-token that a worker remembers.
+    """
+    split = words.Splitter(path)
+    model, special = words.library(path).model, split.special
+    letters = {b: letter for letter, b in words.byte_letters().items()}
+
+    def ids(word: str) -> bytes:
+        if word in special:
+            return struct.pack("<I", special[word])
+        return array("I", [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(letters))]).tobytes()
+
+    return words.TextMap(split, ids, b"".join)
 
 
 SEGMENTS = "part int, seq int, n_ids long, docs binary, null_docs long, lengths binary, image binary"

@@ -39,6 +39,13 @@ def library(path: str) -> Tokenizer:
     return tokenizer
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters that stand for bytes in byte-level vocabularies: printable ones as they are, the others from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
 class Splitter:
     """Cuts a text at special strings and into pre-tokens; a special string comes out as one piece."""
 
@@ -67,18 +74,48 @@ class Splitter:
 class WordMemory(dict):
     """word -> what ``make`` gives for it. Long words aren't kept, and a full memory starts anew."""
 
-    def __init__(self, make, limit: int = 500_000, longest: int = 64):
+    def __init__(self, make: Callable, limit: int = 800_000, longest: int = 64):
         super().__init__()
         self.make, self.limit, self.longest = make, limit, longest
 
     def __missing__(self, word: str):
         value = self.make(word)
         if len(word) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
-            self[word] = value
+            self.keep(word, value)
         return value
 
+    def keep(self, word: str, value) -> None:
+        if len(self) >= self.limit:
+            self.clear()
+        self[word] = value
+
+
+class _Stretches(WordMemory):
+    """What stands between two blanks -> the joined values of its pre-tokens, the first with the blank before it."""
+
+    def __init__(self, of: TextMap, limit: int):
+        super().__init__(of.known.make, limit)
+        self.of = of
+
+    def __missing__(self, stretch: str):
+        if stretch.isalpha():
+            return self._word(stretch)
+        of = self.of
+        if stretch[-1:] in _STOPS and stretch[:-1].isalpha():
+            return of.join((self[stretch[:-1]], of.known[stretch[-1]]))
+        value = of.join(self[w[1:]] if w[0] == " " and w[1:].isalpha() else of.known[w] for w in of.split.words(" " + stretch))
+        if len(stretch) <= 24 and "\n" not in stretch:
+            self.keep(stretch, value)
+        return value
+
+    def _word(self, letters: str):
+        value = self.make(" " + letters)
+        if len(letters) <= self.longest:
+            self.keep(letters, value)
+        return value
+
+
+_STOPS = frozenset(".,;:!?")
 
 #: A blank that white space or the end follows: only there can a run of white space cross a blank.
 _RUN = re.compile(r" (?:\s|\Z)")
@@ -88,13 +125,13 @@ class TextMap:
     """Joins what ``make`` gives for the pre-tokens of a text.
 
     Without runs of blanks a text can be cut at each blank, which then starts a
-    pre-token; what such a stretch gives is remembered as a whole.
+    pre-token; the words between are looked up without the splitting pattern.
     """
 
-    def __init__(self, split: Splitter, make: Callable, join: Callable[[Iterable], object], limit: int = 500_000):
+    def __init__(self, split: Splitter, make: Callable, join: Callable[[Iterable], object], limit: int = 800_000):
         self.split, self.join = split, join
-        self.known = WordMemory(make, limit)
-        self.stretches = WordMemory(lambda s: self.whole(" " + s), limit, longest=24)
+        self.known = WordMemory(make, limit // 4)
+        self.stretches = _Stretches(self, limit)
 
     def whole(self, text: str):
         return self.join(map(self.known.__getitem__, self.split.words(text)))
