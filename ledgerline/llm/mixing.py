@@ -1,10 +1,11 @@
 """Operator 9: mixing sources to target weights by iterative proportional fitting.
 
-Tokens are summed by cell (source, language, topic); the cells' weights are
-raked to the target share of each source, language and topic in turn, round by
-round, and documents are kept with probability weight / largest weight, so the
-expected tokens of the sample meet all three margins and none is asked for
-twice. The draw is a hash of the doc_id: the same on every run and cluster.
+Tokens are summed by cell (source, language, topic). Each cell has a sampling
+probability, KEEP at first; the probabilities are raked to the target share of
+each source, language and topic in turn, round by round, so that the expected
+tokens of the sample meet all three margins. A probability never exceeds 1: a
+margin whose target is more than there is gets all there is. Documents are
+drawn by a hash of the doc_id: the same on every run and cluster.
 
 All of it is DataFrame operations: sums with map-side combining, and joins of
 the cells with one row per margin value, which Spark sizes at run time and
@@ -13,7 +14,7 @@ only when a count shows at most CELLS of them, and are joined otherwise.
 
 Targets default to tempered shares, tokens ** TEMPER, which lift small margins.
 Null source or lang is a value of its own, "(none)"; null text has no tokens.
-Cells without tokens keep weight 1. A null doc_id draws like the empty text.
+Cells without tokens keep probability KEEP. A null doc_id draws like the empty text.
 Repeated rows are drawn alike; extra columns pass unchanged; an empty table
 gives an empty table.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import common
 
-DIMENSIONS, TEMPER, ROUNDS, CELLS = ("source", "lang", "topic"), 0.8, 12, 100_000
+DIMENSIONS, TEMPER, KEEP, ROUNDS, CELLS = ("source", "lang", "topic"), 0.8, 0.8, 12, 100_000
 #: Signs that a text is mostly figures, symbols or a listing: characters, and of how many characters they are at least one.
 TOPICS = (("symbols", "#$%&*<>{}[]|=~^", 20), ("figures", "0123456789", 12), ("listing", "\n", 60))
 WORD = r"[^\x20\x09-\x0D]+"
@@ -57,25 +58,24 @@ def tempered(cells: DataFrame, dimension: str, temper: float = TEMPER) -> DataFr
     return sums.join(F.broadcast(whole)).select("value", F.try_divide(F.pow("n", F.lit(temper)), "whole").alias("share"))
 
 
-def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """Cells with a weight such that their weighted tokens meet each target share."""
-    total = float(cells.agg(F.sum("n_tokens")).first()[0] or 0)
-    cells = cells.withColumn("weight", F.lit(1.0))
+def raked(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP, rounds: int = ROUNDS) -> DataFrame:
+    """Cells with the probability by which their expected tokens meet each target share of ``keep`` of all tokens."""
+    wanted = keep * float(cells.agg(F.sum("n_tokens")).first()[0] or 0)
+    cells = cells.withColumn("probability", F.lit(keep))
     for _ in range(rounds):
         for dimension, target in targets.items():
-            margin = cells.groupBy(dimension).agg(F.sum(F.col("n_tokens") * F.col("weight")).alias("_now"))
-            ratio = margin.join(target, F.col(dimension) == F.col("value")).select(dimension, F.coalesce(F.try_divide(F.col("share") * total, "_now"), F.lit(1.0)).alias("_ratio"))
-            cells = cells.join(ratio, dimension, "left").withColumn("weight", F.col("weight") * F.coalesce("_ratio", F.lit(0.0))).drop("_ratio")
+            margin = cells.groupBy(dimension).agg(F.sum(F.col("n_tokens") * F.col("probability")).alias("_now"))
+            ratio = margin.join(target, F.col(dimension) == F.col("value")).select(dimension, F.coalesce(F.try_divide(F.col("share") * wanted, "_now"), F.lit(1.0)).alias("_ratio"))
+            # a value without a target isn't wanted
+            cells = cells.join(ratio, dimension, "left").withColumn("probability", F.least(F.lit(1.0), F.col("probability") * F.coalesce("_ratio", F.lit(0.0)))).drop("_ratio")
         cells = common.stored(cells, "raked")
     return cells
 
 
-def plan(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """The raked cells of ``docs``: source, lang, topic, n_tokens, weight, probability."""
+def plan(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
+    """The raked cells of ``docs``: source, lang, topic, n_tokens, probability."""
     cells = common.stored(described(docs).groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens")), "cells")
-    cells = raked(cells, targets or {d: common.stored(tempered(cells, d), "target") for d in DIMENSIONS})
-    most = cells.where("n_tokens > 0").agg(F.max("weight")).first()[0] or 1.0
-    return cells.withColumn("probability", F.least(F.lit(1.0), F.col("weight") / most))
+    return raked(cells, targets or {d: common.stored(tempered(cells, d), "target") for d in DIMENSIONS}, keep)
 
 
 def draw(doc_id: Column) -> Column:
@@ -91,10 +91,9 @@ def joined(rows: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """One row per document: doc_id, source, lang, topic, n_tokens, weight, probability, kept."""
+    """One row per document: doc_id, source, lang, topic, n_tokens, probability, kept."""
     out = joined(described(docs), plan(docs, targets))
-    shown = [F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability")]
-    return out.select("doc_id", *DIMENSIONS, "n_tokens", *shown, (draw(F.col("doc_id")) < F.col("probability")).alias("kept"))
+    return out.select("doc_id", *DIMENSIONS, "n_tokens", F.round("probability", 6).alias("probability"), (draw(F.col("doc_id")) < F.col("probability")).alias("kept"))
 
 
 def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -123,19 +122,18 @@ def _sql() -> str:
 d AS (SELECT doc_id, source, lang, CASE WHEN length(t) = 0 THEN 'empty' {kinds} ELSE 'prose' END AS topic,
         len(regexp_extract_all(t, '{WORD}'))::BIGINT AS n_tokens
       FROM (SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, coalesce(text, '') AS t FROM documents)),
-c0 AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS n, 1.0::DOUBLE AS w FROM d GROUP BY ALL)"""]
+c0 AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS n, {KEEP}::DOUBLE AS w FROM d GROUP BY ALL)"""]
     for x in DIMENSIONS:
         parts.append(f"t_{x} AS MATERIALIZED (SELECT {x}, pow(s, {TEMPER}) / sum(pow(s, {TEMPER})) OVER () AS share, sum(s) OVER () AS total FROM (SELECT {x}, sum(n) AS s FROM c0 GROUP BY 1))")
     k = 0
     for _ in range(ROUNDS):
         for x in DIMENSIONS:
             k += 1
-            parts.append(f"c{k} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, n, w * coalesce(share * total / nullif(sum(n * w) OVER (PARTITION BY c.{x}), 0), 1) AS w FROM c{k - 1} c JOIN t_{x} t ON c.{x} = t.{x})")
-    return f"""WITH {", ".join(parts)},
-m AS (SELECT coalesce(max(w) FILTER (n > 0), 1) AS most FROM c{k})
-SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens, round(w, 6) AS weight, round(least(1.0, w / most), 6) AS probability,
-       ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix'), 1, 13))::BIGINT::DOUBLE / pow(16, 13) < least(1.0, w / most) AS kept
-FROM d JOIN c{k} c ON d.source = c.source AND d.lang = c.lang AND d.topic = c.topic CROSS JOIN m"""
+            parts.append(f"c{k} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, n, least(1.0, w * coalesce(share * {KEEP} * total / nullif(sum(n * w) OVER (PARTITION BY c.{x}), 0), 1)) AS w FROM c{k - 1} c JOIN t_{x} t ON c.{x} = t.{x})")
+    return f"""WITH {", ".join(parts)}
+SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens, round(w, 6) AS probability,
+       ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix'), 1, 13))::BIGINT::DOUBLE / pow(16, 13) < w AS kept
+FROM d JOIN c{k} c ON d.source = c.source AND d.lang = c.lang AND d.topic = c.topic"""
 
 
 OP9_SQL = _sql()

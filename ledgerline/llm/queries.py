@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, exact_dedup, lm, mixing, simhash, token_count, token_store, toxicity
+import corpus_pipeline
+from ledgerline.llm import bpe, embed, exact_dedup, license_scan, lm, mixing, simhash, token_count, token_store, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,9 +17,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_simhash": simhash.op4_simhash,
         "op5_lm": lm.op5_lm,
+        "op6_embed": embed.op6_embed,
+        "op7_license_scan": license_scan.op7_license_scan,
         "op8_token_store": token_store.op8_token_store,
         "op9_mixing": mixing.op9_mixing,
         "op10_token_count": token_count.op10_token_count,
+        "pipeline": corpus_pipeline.run,
     }
 
 
