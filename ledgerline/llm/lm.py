@@ -9,7 +9,7 @@ goes to the unknown word; bigrams are Dirichlet-smoothed towards words:
     p(w) = (c(w) - D) / N      p(unknown) = D V / N      p(w | h) = (c(h w) + MU p(w)) / (c(h) + MU)
 
 Counts of a large corpus fit no single machine, so none holds them. Documents
-are handled in blocks of a few million tokens. A block sends each n-gram it has
+are handled in blocks of about a million tokens. A block sends each n-gram it has
 once, with its training count, to the bucket of the n-gram's hash; a bucket sums
 the counts of all blocks and answers each block with the totals of its
 n-grams, from which the block compiles its part of the automaton and scores its
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import common, words
 
-MU, BLOCK_TOKENS = 1000.0, 4_000_000
+MU, BLOCK_TOKENS = 1000.0, 1_000_000
 KEY_BITS = np.uint64(56)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD))
 END = b" "  # no word holds a blank
@@ -242,7 +242,7 @@ def _aligned(keys: np.ndarray, totals: list[np.ndarray]) -> np.ndarray:
 def score(docs: DataFrame, mu: float = MU, buckets: int | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Learns from the rows of (doc_id, text, held_out) that aren't held out and scores all."""
     spark = docs.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut = common.stored(blocks(docs, buckets, block_tokens), "lm_blocks")
     sums = common.stored(totals(cut.where("n > 0").select("n", "bucket", "block", "keys", "counts")), "lm_totals")
     stats = sums.where("n = 1 and block is null").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "kinds", "once", "twice")]).first().asDict()
