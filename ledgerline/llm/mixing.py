@@ -72,9 +72,9 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP, r
     return cells
 
 
-def plan(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
-    """The raked cells of ``docs``: source, lang, topic, n_tokens, probability."""
-    cells = common.stored(described(docs).groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens")), "cells")
+def plan(rows: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
+    """The raked cells of ``described`` rows: source, lang, topic, n_tokens, probability."""
+    cells = common.stored(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens")), "cells")
     return raked(cells, targets or {d: common.stored(tempered(cells, d), "target") for d in DIMENSIONS}, keep)
 
 
@@ -92,7 +92,8 @@ def joined(rows: DataFrame, cells: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
     """One row per document: doc_id, source, lang, topic, n_tokens, probability, kept."""
-    out = joined(described(docs), plan(docs, targets))
+    rows = common.stored(described(docs), "described")  # texts are read once
+    out = joined(rows, plan(rows, targets))
     return out.select("doc_id", *DIMENSIONS, "n_tokens", F.round("probability", 6).alias("probability"), (draw(F.col("doc_id")) < F.col("probability")).alias("kept"))
 
 
@@ -107,7 +108,7 @@ def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> Data
         F.coalesce("lang", F.lit("(none)")).alias("lang"),
         topic(text).alias("topic"),
     )
-    out = joined(rows, plan(docs, targets))
+    out = joined(rows, plan(described(docs), targets))
     return out.where(draw(F.col("row.doc_id").cast("long")) < F.col("probability")).select("row.*")
 
 
