@@ -20,8 +20,10 @@ import heapq
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.llm import common, words
 
@@ -89,27 +91,28 @@ def pairs(path: str) -> BytePairs:
 
 def encode(docs: DataFrame, text: str = "text", into: str = "ids", vocabulary: str | None = None) -> DataFrame:
     """Adds column ``into``, array<int>: the ids of each text."""
-    return _mapped(docs, text, into, "array<int>", vocabulary, lambda bp, x: memoryview(bp.encode(x)).cast("I").tolist())
-
+    path = vocabulary or words.default_vocabulary()
 
-def decode(docs: DataFrame, ids: str = "ids", into: str = "decoded", vocabulary: str | None = None) -> DataFrame:
-    """Adds column ``into``, string: the text of each list of ids; null counts as an empty list."""
-    return _mapped(docs, ids, into, "string", vocabulary, lambda bp, x: bp.decode(array("I", x or []).tobytes()))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bp = pairs(path)
+        for batch in batches:
+            ids = [bp.encode(x.as_py()) for x in batch]
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
+            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), np.int32)))
 
+    return docs.withColumn(into, F.arrow_udf(run, "array<int>")(F.col(text)))
 
-def _mapped(docs: DataFrame, source: str, into: str, kind: str, vocabulary: str | None, make) -> DataFrame:
-    from pyspark.sql import functions as F
 
+def decode(docs: DataFrame, ids: str = "ids", into: str = "decoded", vocabulary: str | None = None) -> DataFrame:
+    """Adds column ``into``, string: the text of each list of ids; null counts as an empty list."""
     path = vocabulary or words.default_vocabulary()
 
-    def run(batches: Iterator["pa.Array"]) -> Iterator["pa.Array"]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bp = pairs(path)
-        out = pa.list_(pa.int32()) if kind != "string" else pa.string()
         for batch in batches:
-            yield pa.array([make(bp, x) for x in batch.to_pylist()], out)
+            yield pa.array([bp.decode(array("I", x.as_py() or []).tobytes()) for x in batch], pa.string())
 
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return docs.withColumn(into, F.arrow_udf(run, kind)(F.col(source)))
+    return docs.withColumn(into, F.arrow_udf(run, "string")(F.col(ids)))
 
 
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

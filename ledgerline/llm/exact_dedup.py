@@ -73,7 +73,14 @@ def keep_distinct(docs: DataFrame, index: DigestIndex) -> DataFrame:
     sha = F.unhex(F.sha2(common.ascii_lower(text_col).cast("binary"), 256))
     one = clean.withColumns({"k_digest": sha, "k_id": F.coalesce(F.col(id_col).cast("long"), F.lit(0)), "k_null": F.col(id_col).isNull()})
     key = ["k_digest", "k_id", "k_null"]
-    return one.join(keep, key, "left_semi").dropDuplicates(key).drop(*key).toDF(*names)
+    # keys are hashed, so the texts are dealt out but not sorted
+    kept = one.join(keep.hint("shuffle_hash"), key, "left_semi")
+    again = common.stored(seen.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
+    if not again.isEmpty():
+        again = again.select(F.col("digest").alias("k_digest"), F.coalesce("doc_id", F.lit(0)).alias("k_id"), F.col("doc_id").isNull().alias("k_null"))
+        once = kept.join(again.hint("shuffle_hash"), key, "left_anti")
+        kept = once.unionByName(kept.join(again.hint("shuffle_hash"), key, "left_semi").dropDuplicates(key))
+    return kept.drop(*key).toDF(*names)
 
 
 def new_index(spark: SparkSession) -> DigestIndex:

@@ -244,7 +244,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     drop = out.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(0)).alias("k_id"), F.col("doc_id").isNull().alias("k_null")).distinct()
     key = ["k_id", "k_null"]
     keyed = clean.withColumns({"k_id": F.coalesce(F.col(id_col).cast("long"), F.lit(0)), "k_null": F.col(id_col).isNull()})
-    return keyed.join(drop, key, "left_anti").drop(*key).toDF(*names)
+    return keyed.join(drop.hint("shuffle_hash"), key, "left_anti").drop(*key).toDF(*names)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

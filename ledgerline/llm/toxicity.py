@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import common, words
 
-BITS, MAX_TRAIN, EPOCHS = 20, 20_000, 4
+BITS, MAX_TRAIN, EPOCHS = 20, 10_000, 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 8.0, 1.0
 _WORD = re.compile(r"\w+")
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
