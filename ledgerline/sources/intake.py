@@ -12,7 +12,7 @@ BUCKETS = ("bronze", "silver", "schema")
 
 
 def files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = True) -> DataFrame:
-    """S-16: path, name, length, content."""
+    """S-16: path, name, length, content. Spark's reader skips files without bytes; the gate refuses them by their length."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower())
     return reader.load(path).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "content")
 
