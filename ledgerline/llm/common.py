@@ -46,17 +46,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
-def forget(spark: SparkSession, path: str) -> None:
-    """Deletes a scratch path whose content is no longer read."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: short lineage, one computation."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that ``stored`` wrote and that nothing reads any more; others are left alone."""
+    for df in tables:
+        if path := getattr(df, "_stored_at", None):
+            place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -29,7 +29,9 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     moved = joined.where(b > a if large else F.lit(True)).select(b.alias("a"), F.col("m").alias("b"))
     if not large:
         moved = moved.unionByName(least.select("a", F.col("m").alias("b")))
-    return moved.where(a != b).distinct()
+    out = common.stored(moved.where(a != b).distinct(), "links")
+    common.release(links, least)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -41,5 +43,5 @@ def components(links: DataFrame) -> DataFrame:
         if mark == before or not mark[0]:
             break
         before = mark
-        links = common.stored(_star(common.stored(_star(links, True), "large"), False), "small")
+        links = _star(_star(links, True), False)
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -54,21 +54,24 @@ def described(docs: DataFrame) -> DataFrame:
 def tempered(cells: DataFrame, dimension: str, temper: float = TEMPER) -> DataFrame:
     """(value, share): the default target of a dimension."""
     sums = cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("n_tokens").cast("double").alias("n"))
-    whole = sums.agg(F.sum(F.pow("n", F.lit(temper))).alias("whole"))
-    return sums.join(F.broadcast(whole)).select("value", F.try_divide(F.pow("n", F.lit(temper)), "whole").alias("share"))
+    whole = sums.agg(F.sum(F.pow("n", F.lit(temper)))).first()[0] or 0.0
+    return sums.select("value", F.try_divide(F.pow("n", F.lit(temper)), F.lit(whole)).alias("share"))
 
 
 def raked(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP, rounds: int = ROUNDS) -> DataFrame:
     """Cells with the probability by which their expected tokens meet each target share of ``keep`` of all tokens."""
     wanted = keep * float(cells.agg(F.sum("n_tokens")).first()[0] or 0)
-    cells = cells.withColumn("probability", F.lit(keep))
+    cells, held = cells.withColumn("probability", F.lit(keep)), None
     for _ in range(rounds):
         for dimension, target in targets.items():
             margin = cells.groupBy(dimension).agg(F.sum(F.col("n_tokens") * F.col("probability")).alias("_now"))
             ratio = margin.join(target, F.col(dimension) == F.col("value")).select(dimension, F.coalesce(F.try_divide(F.col("share") * wanted, "_now"), F.lit(1.0)).alias("_ratio"))
             # a value without a target isn't wanted
             cells = cells.join(ratio, dimension, "left").withColumn("probability", F.least(F.lit(1.0), F.col("probability") * F.coalesce("_ratio", F.lit(0.0)))).drop("_ratio")
-        cells = common.stored(cells, "raked")
+        before, held = held, common.stored(cells, "raked")
+        if before is not None:
+            common.release(before)
+        cells = held
     return cells
 
 

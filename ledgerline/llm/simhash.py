@@ -222,7 +222,9 @@ def groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     prints = common.stored(fingerprints(docs), "fingerprints")
     total = prints.count()
     own = common.stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "distinct_fp")
-    linked = common.stored(components(common.stored(links(own.select("fp"), radius), "fp_links")), "fp_components")
+    found = common.stored(links(own.select("fp"), radius), "fp_links")
+    linked = common.stored(components(found), "fp_components")
+    common.release(found)
     # a fingerprint's label is the smallest id of its component's fingerprints
     rooted = own.join(linked, own.fp == linked.node, "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
     rooted = common.stored(rooted, "rooted")
