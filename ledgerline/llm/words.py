@@ -100,11 +100,13 @@ class _Stretches(WordMemory):
     def __missing__(self, stretch: str):
         if stretch.isalpha():
             return self._word(stretch)
-        of = self.of
-        if stretch[-1:] in _STOPS and stretch[:-1].isalpha():
-            return of.join((self[stretch[:-1]], of.known[stretch[-1]]))
-        value = of.join(self[w[1:]] if w[0] == " " and w[1:].isalpha() else of.known[w] for w in of.split.words(" " + stretch))
-        if len(stretch) <= 24 and "\n" not in stretch:
+        of, word = self.of, stretch[:-1]
+        if stretch[-1:] in _STOPS and word.isalpha():
+            value, most = self[word] + of.known[stretch[-1]], 7
+        else:
+            pieces = of.split.words(" " + stretch)
+            value, most = of.join([self[w[1:]] if w[0] == " " and w[1:].isalpha() else of.known[w] for w in pieces]), 12
+        if len(stretch) <= most and "\n" not in stretch:  # longer ones seldom come again
             self.keep(stretch, value)
         return value
 
