@@ -243,3 +243,11 @@ def test_edges(spark, rows, tmp_path):
     assert simhash.keep_one(docs).columns == docs.columns
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embed.near_duplicates(empty).count() == 0
+
+
+def test_an_index_outlives_its_table_name(spark, tmp_path):
+    path = str(tmp_path / "index")
+    exact_dedup.DigestIndex(spark, "first_name", path).append(exact_dedup.digests(docs_of(spark, EXACT)))
+    again = exact_dedup.DigestIndex(spark, "second_name", path)
+    late = exact_dedup.verdicts(docs_of(spark, [(70, "ABC"), (71, "zzz")]), again).collect()
+    assert {(r.doc_id, r.keep_id) for r in late} == {(70, 2), (71, 71)}
