@@ -243,12 +243,17 @@ def score(docs: DataFrame, mu: float = MU, buckets: int | None = None, block_tok
     """Learns from the rows of (doc_id, text, held_out) that aren't held out and scores all."""
     spark = docs.sparkSession
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = common.stored(blocks(docs, buckets, block_tokens), "lm_blocks")
+    cut = common.stored(blocks(docs, buckets, block_tokens), "lm_blocks", by="n")
     sums = common.stored(totals(cut.where("n > 0").select("n", "bucket", "block", "keys", "counts")), "lm_totals")
+    for n in (1, 2):
+        common.release(cut, part=f"n={n}")  # the n-grams are summed; the documents stay
     stats = sums.where("n = 1 and block is null").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "kinds", "once", "twice")]).first().asDict()
     stats["discount"] = stats["once"] / (stats["once"] + 2 * stats["twice"]) if stats["once"] else 0.5
     answers = sums.where("block is not null").select("block", "n", "bucket", "totals")
-    own = cut.where("n = 0").select("block", "ids", "id_nulls", "held", "lengths", "codes", "hashes")
+    own = cut.where("n = 0")
+    if not docs.isEmpty():  # read again without the deleted files
+        own = spark.read.schema(cut.drop("n").schema).parquet(f"{cut._stored_at}/n=0")
+    own = own.select("block", "ids", "id_nulls", "held", "lengths", "codes", "hashes")
     return scored(own, answers, stats, mu)
 
 
