@@ -95,7 +95,7 @@ def encode(docs: DataFrame, text: str = "text", into: str = "ids", vocabulary: s
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bp = pairs(path)
-        for batch in batches:
+        for batch in common.lean(batches, "bpe", pairs.cache_clear):
             ids = [bp.encode(x.as_py()) for x in batch]
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
             yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), np.int32)))
@@ -109,7 +109,7 @@ def decode(docs: DataFrame, ids: str = "ids", into: str = "decoded", vocabulary:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bp = pairs(path)
-        for batch in batches:
+        for batch in common.lean(batches, "bpe", pairs.cache_clear):
             yield pa.array([bp.decode(array("I", x.as_py() or []).tobytes()) for x in batch], pa.string())
 
     return docs.withColumn(into, F.arrow_udf(run, "string")(F.col(ids)))
@@ -124,7 +124,7 @@ def round_trips(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bp, sha = pairs(path), hashlib.sha256
-        for batch in batches:
+        for batch in common.lean(batches, "bpe", pairs.cache_clear):
             rows = []
             for text in batch.column(1):
                 ids = bp.encode(text.as_py())

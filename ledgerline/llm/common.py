@@ -8,9 +8,12 @@ executor costs a re-read and no recomputation.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,19 +49,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: short lineage, one computation."""
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it back: short lineage, one computation. by: a column to partition the files by."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
 
 
-def release(*tables: DataFrame) -> None:
-    """Deletes tables that ``stored`` wrote and that nothing reads any more; others are left alone."""
+def release(*tables: DataFrame, part: str = "") -> None:
+    """Deletes tables that ``stored`` wrote and that nothing reads any more, or a part of them (like n=1); others are left alone."""
     for df in tables:
         if path := getattr(df, "_stored_at", None):
+            path = f"{path}/{part}" if part else path
             place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
@@ -69,6 +73,33 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(n, *keys)
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def lean(batches: Iterator, name: str = "", drop: Callable[[], None] | None = None) -> Iterator:
+    """The batches of a task, with memory that is no longer used given back after each.
+
+    A Python worker is reused: what it remembers for ``name`` (``drop`` forgets it)
+    goes when it comes to work for another operator.
+    """
+    for other in [k for k in _held if k != name]:
+        _held.pop(other)()
+    if drop:
+        _held[name] = drop
+    for batch in batches:
+        yield batch
+        del batch
+        give_back()
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own counsel
+        pass
+
+
 #: Keys that hold more than 1/HOT_PARTS of all rows are joined by broadcast; there are at most HOT_PARTS of them.
 HOT_PARTS = 10_000
 

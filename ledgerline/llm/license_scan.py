@@ -177,7 +177,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _scanner(given)
         kind = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
+        for batch in common.lean(batches):
             finds = [scanner.scan(x.as_py(), least) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [

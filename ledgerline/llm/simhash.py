@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp): fp holds the fingerprint's bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.lean(batches):
             fps = np.array([fingerprint(x.as_py()) for x in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 

@@ -176,7 +176,7 @@ def count_tokens(docs: DataFrame, limit: int = 512, vocabulary: str | None = Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path)
-        for batch in batches:
+        for batch in common.lean(batches, "token_count", counter.cache_clear):
             tokens = [count(x.as_py() or "") for x in batch.column(1)]
             sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0).cast(pa.int64())
             over = pa.array([n > limit for n in tokens], pa.bool_())

@@ -114,7 +114,7 @@ def write(docs: DataFrame, path: str, end_id: int = 0, planes: str = "byte", voc
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], [c.split()[0] for c in SEGMENTS.split(", ")])
 
-        for batch in batches:
+        for batch in common.lean(batches, "token_store", encoder.cache_clear):
             for name, text in zip(batch.column(0), batch.column(1), strict=True):
                 name, raw = name.as_py(), encode(text.as_py() or "") + end
                 nulls += name is None

@@ -63,7 +63,9 @@ class _Hashes:
         return np.concatenate(parts) if parts else self.rows[:0]
 
 
-_hashes = functools.cache(_Hashes)
+@functools.cache
+def _hashes() -> _Hashes:
+    return _Hashes()
 
 
 def features(text: str | None) -> np.ndarray:
@@ -114,6 +116,9 @@ def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bias = 35.0 if rows and ones else -35.0
     weights = model.weights(slice(None)).astype(np.float32)
     at = np.flatnonzero(weights).astype(np.int32)
+    del rows, model
+    _hashes.cache_clear()
+    common.give_back()
     yield pa.RecordBatch.from_arrays([pa.array([at.tobytes()]), pa.array([weights[at].tobytes()]), pa.array([float(bias)])], ["at", "weights", "bias"])
 
 
@@ -137,13 +142,14 @@ def score(docs: DataFrame, model: tuple[bytes, bytes, float], into: str = "score
         at, weights, bias = sent.value
         table = np.zeros(1 << BITS, np.float32)
         table[np.frombuffer(at, np.int32)] = np.frombuffer(weights, np.float32)
-        for batch in batches:
+        for batch in common.lean(batches):
             out = []
             for text in batch:
                 found = features(text.as_py())
                 found = np.unique(found[table[found] != 0])
                 out.append(1 / (1 + np.exp(-np.clip(table[found].sum(dtype=np.float64) + bias, -35, 35))))
             yield pa.array(out, pa.float64())
+        _hashes.cache_clear()  # the worker is reused, and the next task warms up in a second
 
     return docs.withColumn(into, F.arrow_udf(run, "double")(F.col("text")))
 

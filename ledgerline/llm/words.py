@@ -74,7 +74,7 @@ class Splitter:
 class WordMemory(dict):
     """word -> what ``make`` gives for it. Long words aren't kept, and a full memory starts anew."""
 
-    def __init__(self, make: Callable, limit: int = 800_000, longest: int = 64):
+    def __init__(self, make: Callable, limit: int = 500_000, longest: int = 64):
         super().__init__()
         self.make, self.limit, self.longest = make, limit, longest
 
@@ -130,7 +130,7 @@ class TextMap:
     pre-token; the words between are looked up without the splitting pattern.
     """
 
-    def __init__(self, split: Splitter, make: Callable, join: Callable[[Iterable], object], limit: int = 800_000):
+    def __init__(self, split: Splitter, make: Callable, join: Callable[[Iterable], object], limit: int = 500_000):
         self.split, self.join = split, join
         self.known = WordMemory(make, limit // 4)
         self.stretches = _Stretches(self, limit)
