@@ -163,19 +163,21 @@ def load_return(store: TenantStore, path: str, up: Upload) -> Outcome:
     """U-09: a whole statement supersedes the one of its party and month; the same again changes nothing."""
     period = F.lit(up.period_start)
     if up.document_type == "GSTR_2B":
-        heads, lines, summary, refused = returns.gstr_2b(returns.payloads(store.spark, path, returns.GSTR_2B), period)
+        heads, lines, more, refused = returns.gstr_2b(returns.payloads(store.spark, path, returns.GSTR_2B), period)
+        second = "gstr_2b_summary"
     else:
-        heads, lines, refused = returns.gstr_3b(returns.payloads(store.spark, path, returns.GSTR_3B), period)
-        summary = None
+        payloads = returns.payloads(store.spark, path, returns.GSTR_3B)
+        heads, lines, refused = returns.gstr_3b(payloads, period)
+        more, second = returns.inward_supply(payloads, period), "gstr_3b_inward_supply"
     if reasons := [r.reason for r in refused.limit(20).collect()]:
         return _quarantined(store, up, reasons)
     table = up.document_type.lower()
     rows = heads.withColumns({"entity_id": F.lit(up.entity_id), "tax_period": period, "valid_from": period, "line": F.lit(1)})
     key = ["entity_id", "gstin", "tax_period"]
     made = upsert.natural(rows, _live(store, table, key, rows), key)
-    if summary is not None and not made.where(F.col("action").isin("inserted", "superseded")).isEmpty():
-        store.stage(f"{table}_summary", up.batch_id, summary.drop("path"))
-    return _finish(store, up, table, made, None, (f"{table}_line", lines.drop("path")), lines.count())
+    if not made.where(F.col("action").isin("inserted", "superseded")).isEmpty():
+        store.stage(second, up.batch_id, more.drop("path"))
+    return _finish(store, up, table, made, None, (f"{table}_line", lines.drop("path")), lines.count() + (more.count() if table == "gstr_3b" else 0))
 
 
 def load_text(store: TenantStore, docs: DataFrame, up: Upload) -> Outcome:

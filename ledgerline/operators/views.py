@@ -19,6 +19,7 @@ SIMPLE = {
     "v1_gstr_2b_summary": ("gstr_2b_summary", ("gstr_2b", "gstin")),
     "v1_gstr_3b": ("gstr_3b", None),
     "v1_gstr_3b_line": ("gstr_3b_line", ("gstr_3b", "gstin")),
+    "v1_gstr_3b_inward_supply": ("gstr_3b_inward_supply", ("gstr_3b", "gstin")),
     "v1_rejected_row": ("rejected_row", None),
     "v1_entitlement_instrument": ("entitlement", None),
     "v1_proceeding_event": ("proceeding", None),
