@@ -137,8 +137,8 @@ def table_rows(docs: DataFrame, pattern: str, columns: list[tuple[str, str]], pa
     return docs.withColumn("rows", F.arrow_udf(run, "array<map<string,string>>")(F.col(pages)))
 
 
-def payroll_rows(docs: DataFrame, pages: str = "pages") -> DataFrame:
-    """X-05: payroll register rows, each from its EMP or CONS number to the next; the note at the end is cut."""
+def payroll_rows(docs: DataFrame, pages: str = "pages", place: str | None = None) -> DataFrame:
+    """X-05: payroll register rows, each from its EMP or CONS number to the next; the note at the end is cut. ``place`` names a column for a row's place in its document."""
     body = F.split(page_text(F.col(pages)), "Note:", 2)[0]
     chunks = docs.select("*", F.posexplode(F.split(body, r"(?=\b(?:EMP|CONS)\d{4}\b)")).alias("_at", "_chunk")).where(F.col("_chunk").rlike(r"^(EMP|CONS)\d{4}"))
     ref = F.regexp_extract("_chunk", r"^(?:EMP|CONS)\d{4}", 0)
@@ -156,16 +156,17 @@ def payroll_rows(docs: DataFrame, pages: str = "pages") -> DataFrame:
         F.regexp_extract("_rest", trail, 1).alias("tds_section"),
         F.replace(F.regexp_extract("_rest", trail, 2), F.lit(","), F.lit("")).alias("gross_amount"),
         F.replace(F.regexp_extract("_rest", trail, 3), F.lit(","), F.lit("")).alias("tds_deducted"),
+        *([F.col("_at").alias(place)] if place else []),
     )
 
 
-def realisation_rows(docs: DataFrame, banks: list[str], pages: str = "pages") -> DataFrame:
-    """X-05: inward remittance register rows, each from its export invoice number to the next."""
+def realisation_rows(docs: DataFrame, banks: list[str], pages: str = "pages", place: str | None = None) -> DataFrame:
+    """X-05: inward remittance register rows, each from its export invoice number to the next. ``place`` as in ``payroll_rows``."""
     start = r"INV/EXP/\d{2}-\s*\d{2}/\d{4}"
     body = F.split(page_text(F.col(pages)), "Both bank-issued", 2)[0]
     head = rf"^({start})\s+(\d{{2}}-[A-Za-z]{{3}}-\d{{4}})\s+([A-Z]{{3}})\s*([\d,]+)\s+(.*)$"
     flat = F.trim(F.regexp_replace("_chunk", r"\s+", " "))
-    out = docs.select("*", F.explode(F.split(body, rf"(?={start})")).alias("_chunk")).withColumn("_flat", flat).where(F.col("_flat").rlike(head))
+    out = docs.select("*", F.posexplode(F.split(body, rf"(?={start})")).alias("_at", "_chunk")).withColumn("_flat", flat).where(F.col("_flat").rlike(head))
     after = F.regexp_extract("_flat", head, 5)
     bank = F.coalesce(*[F.when(F.startswith(after, F.lit(b)), F.lit(b)) for b in banks], F.lit("")) if banks else F.lit("")
     out = out.withColumns({"_bank": bank, "_after": after}).withColumn("_rest", F.trim(F.substr("_after", F.length("_bank") + 1)))
@@ -179,6 +180,7 @@ def realisation_rows(docs: DataFrame, banks: list[str], pages: str = "pages") ->
         F.col("_bank").alias("ad_bank"),
         F.when(has, F.regexp_replace(F.regexp_extract("_rest", firc, 0), r"\s+", "")).otherwise(F.lit("")).alias("firc_no"),
         F.when(has, F.trim(F.regexp_replace("_rest", rf"^.*?{firc}", ""))).otherwise(F.regexp_replace("_rest", r"-\s+", "-")).alias("realisation_status"),
+        *([F.col("_at").alias(place)] if place else []),
     )
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import coerce, fiscal
 from ledgerline.functions import text as tx
 from ledgerline.plans.contracts import EXTRACTIONS
+from ledgerline.plans.dispatch import AD_BANKS
 
 GTA_SAC = "996791"
 ARCHETYPE_KEYS = {
@@ -82,15 +83,34 @@ def narratives(docs: DataFrame, doc_type: str) -> DataFrame:
 def shareholdings(docs: DataFrame, start: int = fiscal.START) -> DataFrame:
     """X-07: two facts for each holder's row: this fiscal year's share and the last one's."""
     low, high = fiscal.containing(F.try_to_date(_fact("as_of_date"), "yyyy-MM-dd"), start)
-    rows = docs.where("outcome = 'EXTRACTED'").select("doc_id", "entity_id", low.alias("low"), high.alias("high"), F.explode("rows").alias("r"))
+    rows = docs.where("outcome = 'EXTRACTED'").select("doc_id", "entity_id", low.alias("low"), high.alias("high"), F.posexplode("rows").alias("at", "r"))
     both = F.explode(
         F.array(
             F.struct(F.col("r")["pct_current_fy"].alias("pct"), F.col("low").alias("valid_from"), F.col("high").alias("valid_to")),
             F.struct(F.col("r")["pct_prior_fy"].alias("pct"), F.add_months("low", -12).alias("valid_from"), F.date_sub("low", 1).alias("valid_to")),
         )
     )
-    out = rows.select("doc_id", "entity_id", "r", both.alias("x"))
-    return out.select("doc_id", "entity_id", F.trim(F.col("r")["holder_name"]).alias("holder_name"), F.col("r")["shares"].try_cast("decimal(18,0)").alias("shares"), F.col("x.pct").try_cast("decimal(5,2)").alias("pct_holding"), (F.lower(F.col("r")["pledged"]) == "yes").alias("pledged"), "x.valid_from", "x.valid_to").where("pct_holding is not null")
+    out = rows.select("doc_id", "entity_id", "at", "r", both.alias("x"))
+    return out.select("doc_id", "entity_id", "at", F.trim(F.col("r")["holder_name"]).alias("holder_name"), F.col("r")["shares"].try_cast("decimal(18,0)").alias("shares"), F.col("x.pct").try_cast("decimal(5,2)").alias("pct_holding"), (F.lower(F.col("r")["pledged"]) == "yes").alias("pledged"), "x.valid_from", "x.valid_to").where("pct_holding is not null")
+
+
+def register_rows(docs: DataFrame, doc_type: str) -> tuple[DataFrame, DataFrame]:
+    """X-05, X-08: a register's rows in document text as cells (path, line, cells), and what can't be one; a document without rows is refused."""
+    if doc_type in EXTRACTIONS:
+        found = extracted(docs, doc_type)
+        facts = found.where("outcome = 'EXTRACTED'").select("doc_id", F.explode(F.array("facts")).alias("facts"))  # explode: the look-ups are not repeated for each cell
+        rows = facts.select("doc_id", F.lit(0).alias("line"), tx.remittance_row(F.col("facts")).alias("_row")).select("doc_id", "line", "_row.*")
+    else:
+        found = tx.label_outcome(docs, [], "pages")
+        text = found.where("outcome <> 'NO_TEXT_LAYER'").select("doc_id", "pages")
+        rows = tx.payroll_rows(text, place="line") if doc_type == "PAYROLL_TDS_REGISTER" else tx.realisation_rows(text, list(AD_BANKS), place="line")
+        rows = rows.drop("pages")
+        none = (F.col("outcome") != "NO_TEXT_LAYER") & F.col("_some").isNull()
+        found = found.join(rows.select("doc_id").distinct().withColumn("_some", F.lit(True)), "doc_id", "left")
+        found = found.withColumns({"missing": F.when(none, F.array(F.lit("rows"))).otherwise(F.col("missing")), "outcome": F.when(none, "PARTIAL").otherwise(F.col("outcome"))})
+    names = [c for c in rows.columns if c not in ("doc_id", "line")]
+    pairs = F.array(*[F.struct(F.lit(n).alias("key"), F.col(n).alias("value")) for n in names])
+    return rows.select(F.col("doc_id").cast("string").alias("path"), (F.col("line") + 1).alias("line"), F.explode(F.array(F.map_from_entries(pairs))).alias("cells")), quarantined(found)
 
 
 def transaction_row(docs: DataFrame, doc_type: str) -> DataFrame:

@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 from ledgerline.functions import hashing
 from ledgerline.operators import archetypes, documents, upsert
 from ledgerline.plans.contracts import CONTRACTS, EXTRACTIONS
-from ledgerline.plans.dispatch import require
+from ledgerline.plans.dispatch import PDF_FED, require
 from ledgerline.plans.registers import BY_TYPE, SALES_HEADER, SALES_LINE, Register
 from ledgerline.sources import registers, returns
 from ledgerline.sources.store import TenantStore
 
+HOLDERS = "shareholding_pattern_holder"
+
 
 @dataclass(frozen=True)
 class Upload:
@@ -113,6 +115,10 @@ def load_register(store: TenantStore, files: DataFrame, up: Upload, register: Re
     good, bad, fatal = registers.read(store.spark, files, register, up.form)
     if reasons := [r.reason for r in fatal.limit(20).collect()]:
         return _quarantined(store, up, reasons)
+    return _register(store, good, bad, up, register)
+
+
+def _register(store: TenantStore, good: DataFrame, bad: DataFrame, up: Upload, register: Register) -> Outcome:
     start, end = F.lit(up.period_start), F.lit(up.period_end)
     rows = registers.with_period(_owned(good, up), register, start, end).withColumn("valid_to", F.lit(upsert.OPEN_END).cast("date"))
     if register.natural:
@@ -182,6 +188,11 @@ def load_return(store: TenantStore, path: str, up: Upload) -> Outcome:
 
 def load_text(store: TenantStore, docs: DataFrame, up: Upload) -> Outcome:
     """X-08, U-10: the record of a text document supersedes the live one with its key. docs: doc_id, entity_id, pages."""
+    if up.document_type in PDF_FED:
+        cells, bad = archetypes.register_rows(docs, up.document_type)
+        if reasons := [", ".join(r.reasons) or r.outcome for r in bad.limit(20).collect()]:
+            return _quarantined(store, up, reasons)
+        return _register(store, *registers.accepted(cells, BY_TYPE[up.document_type]), up, BY_TYPE[up.document_type])
     archetype, _ = EXTRACTIONS[up.document_type]
     found = archetypes.extracted(docs, up.document_type)
     bad = archetypes.quarantined(found, narrative=archetype == "narrative")
@@ -200,7 +211,21 @@ def load_text(store: TenantStore, docs: DataFrame, up: Upload) -> Outcome:
     key = list(archetypes.ARCHETYPE_KEYS[archetype])
     made = upsert.natural(rows, _live(store, archetype, key, rows), key, compare=False)
     made = made.withColumn("gstin", F.lit(up.gstin).cast("string")) if "gstin" not in made.columns else made
-    return _finish(store, up, archetype, made, None)
+    facts = _holders(store, found, made, up) if up.document_type == "SHAREHOLDING_PATTERN" else None
+    return _finish(store, up, archetype, made, None, None if facts is None else (HOLDERS, facts))
+
+
+def _holders(store: TenantStore, found: DataFrame, made: DataFrame, up: Upload) -> DataFrame:
+    """X-07, U-11: the holders' facts under their new master records; those of closed records are closed with them."""
+    closed = made.where("action = 'closed'").select(F.col("live_id").alias("record_id"), F.lit(up.now).cast("timestamp").alias("superseded_at"))
+    live = store.live(HOLDERS)
+    if live is not None:
+        shut = upsert.children_of_closed(live, closed).where("superseded_at is not null")
+        store.stage_closures(HOLDERS, up.batch_id, shut)
+    records = _envelope(made.where(F.col("action").isin("inserted", "superseded")), up, "master")
+    ended = F.when(~F.col("is_live"), F.lit(up.now)).cast("timestamp")
+    facts = archetypes.shareholdings(found).join(records.select("doc_id", F.col("id").alias("record_id"), "doc_type_code", "bronze_ingest_id", "recorded_at", ended.alias("superseded_at")), "doc_id")
+    return facts.withColumn("id", hashing.surrogate(HOLDERS, "record_id", "at", "valid_from")).drop("doc_id", "at")
 
 
 def load(store: TenantStore, source: DataFrame | str, up: Upload) -> Outcome:

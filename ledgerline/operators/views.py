@@ -24,6 +24,7 @@ SIMPLE = {
     "v1_entitlement_instrument": ("entitlement", None),
     "v1_proceeding_event": ("proceeding", None),
     "v1_entity_master_record": ("master", None),
+    "v1_shareholding_pattern_holder": ("shareholding_pattern_holder", None),
     "v1_financial_statement_extract": ("statement", None),
     "v1_narrative_contract": ("narrative", None),
 }

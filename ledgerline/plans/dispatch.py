@@ -6,6 +6,8 @@ from ledgerline.plans.contracts import CONTRACTS, EXTRACTIONS
 from ledgerline.plans.registers import BY_TYPE
 
 PDF_FED = ("PAYROLL_TDS_REGISTER", "FIRC_BRC_REGISTER", "FORM_15CA_15CB")
+#: The banks whose names the remittance register's rows may start with.
+AD_BANKS = ("HDFC Bank, Fort Branch", "ICICI Bank, Nariman Point")
 RETURNS = {"GSTR_2B": "GSTN_JSON", "GSTR_3B": "GSTN_JSON"}
 NEEDED = {
     "SALES_REGISTER": ("entity_id", "gstin", "period_start", "period_end"),
@@ -34,6 +36,7 @@ def mechanism(document_type: str) -> str:
 def require(document_type: str, **given) -> str:
     """The mechanism, once all that it needs is given."""
     found = mechanism(document_type)
-    if lost := [n for n in NEEDED[found] if given.get(n) in (None, "")]:
+    needed = NEEDED["REGISTER_LOADER" if document_type in PDF_FED else found]
+    if lost := [n for n in needed if given.get(n) in (None, "")]:
         raise ValueError(f"{document_type} needs {', '.join(lost)}")
     return found

@@ -129,10 +129,16 @@ def collapsed(rows: DataFrame, file: str = "path") -> DataFrame:
 def read(spark: SparkSession, files: DataFrame, register: Register, form: str = "CSV") -> tuple[DataFrame, DataFrame, DataFrame]:
     """A register's files: accepted rows (collapsed), rejected rows, and files that can't be read."""
     found = cells(files, list(register.names), form)
-    rows = typed(found.where("fatal is null"), register.columns)
+    good, bad = accepted(found.where("fatal is null"), register)
+    return good, bad, found.where("fatal is not null").select("path", F.col("fatal").alias("reason"))
+
+
+def accepted(found: DataFrame, register: Register) -> tuple[DataFrame, DataFrame]:
+    """Accepted rows (collapsed) and rejected rows of cells."""
+    rows = typed(found, register.columns)
     good = rows.where("reject is null").drop("cells", "problem", "fatal", "reject")
     bad = rows.where("reject is not null").select("path", F.col("line").alias("source_line"), F.col("reject.column").alias("column_name"), F.col("reject.message").alias("message"))
-    return collapsed(good), bad, found.where("fatal is not null").select("path", F.col("fatal").alias("reason"))
+    return collapsed(good), bad
 
 
 def with_period(rows: DataFrame, register: Register, start: Column, end: Column) -> DataFrame:
