@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import common
@@ -61,14 +61,16 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): fp holds the fingerprint's bits as a signed long."""
+    """(doc_id, fp): fp holds the fingerprint's bits as a signed long; a column ``digest`` is kept."""
+    kept = ["digest"] if "digest" in docs.columns else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.lean(batches):
             fps = np.array([fingerprint(x.as_py()) for x in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), *batch.columns[2:]], ["doc_id", "fp", *kept])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    schema = "doc_id long, fp long" + (", digest binary" if kept else "")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *kept).mapInArrow(run, schema)
 
 
 def _rotated(fps: np.ndarray, by: int) -> np.ndarray:
@@ -217,20 +219,28 @@ def _together(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
+def _pick() -> Column:
+    """The order in which rows stand for their component: ids first, nulls last, then fingerprint and text."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "fp", "digest")
+
+
 def groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One row per document: doc_id, fp (signed), component_id."""
+    """One row per document: doc_id, fp (signed), component_id; of documents with a ``digest`` also that and ``best``, the row that stands for the component."""
     prints = common.stored(fingerprints(docs), "fingerprints")
     total = prints.count()
-    own = common.stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "distinct_fp")
+    chosen = "digest" in prints.columns
+    pick = lambda c, name: [F.min(c).alias(name)] if chosen else []
+    own = common.stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), *pick(_pick(), "pick")), "distinct_fp")
     found = common.stored(links(own.select("fp"), radius), "fp_links")
     linked = common.stored(components(found), "fp_components")
     common.release(found)
     # a fingerprint's label is the smallest id of its component's fingerprints
-    rooted = own.join(linked, own.fp == linked.node, "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
+    rooted = own.join(linked, own.fp == linked.node, "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"), *(["pick"] if chosen else []))
     rooted = common.stored(rooted, "rooted")
-    label = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m"))
-    labelled = common.keyed_join(rooted, common.stored(label, "labels"), "root", "m", total)
-    return common.keyed_join(prints, labelled.select("fp", "component_id", "n"), "fp", "n", total).select("doc_id", "fp", "component_id")
+    label = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m"), *pick("pick", "best"))
+    labelled = common.keyed_join(rooted.drop("pick"), common.stored(label, "labels"), "root", "m", total)
+    more = ["best"] if chosen else []
+    return common.keyed_join(prints, labelled.select("fp", "component_id", "n", *more), "fp", "n", total).select("doc_id", "fp", "component_id", *(["digest", *more] if chosen else []))
 
 
 def fingerprint_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -238,15 +248,18 @@ def fingerprint_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The documents with the smallest id of their component, with all their columns; null ids stay only where a component has no other."""
+    """One document of each component, with all its columns: the smallest id (nulls last), of equal ids the smallest fingerprint, then text digest."""
     names = docs.columns
     clean = docs.toDF(*[f"c{i}" for i in range(len(names))])
     id_col, text_col = f"c{names.index('doc_id')}", f"c{names.index('text')}"
-    out = groups(clean.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), radius)
-    drop = out.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(0)).alias("k_id"), F.col("doc_id").isNull().alias("k_null")).distinct()
-    key = ["k_id", "k_null"]
-    keyed = clean.withColumns({"k_id": F.coalesce(F.col(id_col).cast("long"), F.lit(0)), "k_null": F.col(id_col).isNull()})
-    return keyed.join(drop.hint("shuffle_hash"), key, "left_anti").drop(*key).toDF(*names)
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+    out = groups(clean.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), digest.alias("digest")), radius)
+    drop = out.where(_pick() != F.col("best")).select(F.coalesce("doc_id", F.lit(0)).alias("k_id"), F.col("doc_id").isNull().alias("k_null"), F.col("digest").alias("k_digest")).distinct()
+    key = ["k_id", "k_null", "k_digest"]
+    number = F.col(id_col).cast("long")
+    keyed = clean.withColumns({"k_id": F.coalesce(number, F.lit(0)), "k_null": number.isNull(), "k_digest": digest})
+    # rows that agree in id and text are one document
+    return keyed.join(drop.hint("shuffle_hash"), key, "left_anti").dropDuplicates(key).drop(*key).toDF(*names)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
