@@ -1,7 +1,9 @@
 """Operator 7: license scans by patience alignment.
 
-A text is searched for words that stand out in the license templates; where one
-is met, the template is laid over the text at that word, and the window is
+A text is searched for the signal words of the license templates: of each
+template so many of its rarest words that a find must hold one of them. Where
+one is met, the template is laid over the text at each offset that a find with
+that word can have; windows with enough of the template's words are
 aligned by patience: words that are unique both in the window and in the
 template are anchors, the longest increasing subsequence of anchors is kept,
 and the gaps between are aligned in the same way. Coverage is the share of the
@@ -17,6 +19,7 @@ table gives an empty table.
 from __future__ import annotations
 
 import functools
+import math
 import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import common
 
-COVERAGE, SIGNAL_LETTERS = 0.8, 6
+COVERAGE = 0.8
 
 #: Short notices and the public texts of well-known licenses.
 TEMPLATES = {
@@ -129,42 +132,79 @@ class Find(NamedTuple):
 
 class Scanner:
     def __init__(self, templates: dict[str, str]):
-        self.templates = {name: words_of(text) for name, text in templates.items()}
-        self.signals: dict[str, list[tuple[str, int]]] = defaultdict(list)
-        for name, words in self.templates.items():
-            for j, w in enumerate(words):
-                if len(w) >= SIGNAL_LETTERS:
-                    self.signals[w].append((name, j))
+        self.templates = {name: words for name, text in templates.items() if (words := words_of(text))}
+        self.counts = {name: Counter(words) for name, words in self.templates.items()}
+        self._signals: dict[float, dict[str, list[tuple[str, int]]]] = {}
+
+    def signals(self, least: float) -> dict[str, list[tuple[str, int]]]:
+        """Word -> (template, place): one place more of each template than a find may leave unaligned, rarest words first."""
+        if least not in self._signals:
+            often, out = Counter(w for words in self.templates.values() for w in words), defaultdict(list)
+            for name, words in self.templates.items():
+                spare = len(words) - _needed(least, len(words))
+                for j in sorted(range(len(words)), key=lambda j: (often[words[j]], -len(words[j]), j))[: spare + 1]:  # noqa: B023
+                    out[words[j]].append((name, j))
+            self._signals[least] = dict(out)
+        return self._signals[least]
+
+    def _offsets(self, words: list[str], name: str, near: list[int], need: int, slack: int) -> Iterator[int]:
+        """The offsets at which a find with a signal at one of the places ``near`` can lie and the window holds enough words of the template."""
+        n, counts = len(self.templates[name]), self.counts[name]
+        reach, spans = n - need + slack, []
+        for at in sorted(near):
+            if spans and at - reach <= spans[-1][1] + 1:
+                spans[-1][1] = at + reach
+            else:
+                spans.append([at - reach, at + reach])
+        for first, last in spans:
+            have, held = Counter(), 0
+            for w in words[max(0, first - slack) : max(0, first + n + slack)]:
+                if w in counts:
+                    have[w] += 1
+                    held += have[w] <= counts[w]
+            for s in range(first, last + 1):
+                if held >= need:
+                    yield s
+                out, new = s - slack, s + n + slack
+                if 0 <= out < len(words) and (w := words[out]) in counts:
+                    held -= have[w] <= counts[w]
+                    have[w] -= 1
+                if 0 <= new < len(words) and (w := words[new]) in counts:
+                    have[w] += 1
+                    held += have[w] <= counts[w]
 
     def scan(self, text: str | None, least: float = COVERAGE) -> list[Find]:
-        words = words_of(text)
-        starts: dict[str, set[int]] = defaultdict(set)
+        words, signals = words_of(text), self.signals(least)
+        near: dict[str, set[int]] = defaultdict(set)
         for i, w in enumerate(words):
-            if w in self.signals:
-                for name, j in self.signals[w]:
-                    starts[name].add(i - j)
+            if w in signals:
+                for name, j in signals[w]:
+                    near[name].add(i - j)
         finds: list[Find] = []
-        for name, places in starts.items():
+        for name, places in near.items():
             template = self.templates[name]
-            slack = max(2, len(template) // 10)
-            # a find needs its share of signal words; starts that agree within the slack are one window
-            last, own = -(1 << 60), []
-            for start in sorted(places):
-                if start - last <= slack // 2:
-                    continue
-                last = start
+            need, slack, own = _needed(least, len(template)), max(2, len(template) // 10), set()
+            for start in self._offsets(words, name, list(places), need, slack):
                 low = max(0, start - slack)
                 pairs = align(words[low : max(0, start + len(template) + slack)], template)
-                if len(pairs) >= least * len(template):
-                    own.append(Find(name, len(pairs) / len(template), low + pairs[0][0], low + pairs[-1][0] + 1))
-            taken: list[Find] = []
-            for find in sorted(own, key=lambda f: (-f.coverage, f.start, f.end)):
-                if all(find.end <= t.start or find.start >= t.end for t in taken):
-                    taken.append(find)
-            finds += taken
+                if len(pairs) >= need:
+                    own.add(Find(name, len(pairs) / len(template), low + pairs[0][0], low + pairs[-1][0] + 1))
+            finds += _apart(own)
         return sorted(finds, key=lambda f: (f.start, f.license))
 
 
+def _needed(least: float, n: int) -> int:
+    return max(1, math.ceil(least * n))
+
+
+def _apart(own: set[Find]) -> list[Find]:
+    taken: list[Find] = []
+    for find in sorted(own, key=lambda f: (-f.coverage, f.start, f.end)):
+        if all(find.end <= t.start or find.start >= t.end for t in taken):
+            taken.append(find)
+    return taken
+
+
 @functools.lru_cache(maxsize=4)
 def _scanner(templates: tuple[tuple[str, str], ...]) -> Scanner:
     return Scanner(dict(templates))
