@@ -10,8 +10,9 @@ are a lower bound, and a pair over the radius is pruned with all its members.
 The search is exact.
 
 Node sizes: a top node with more than NODE fingerprints (a large group of near
-copies) is split again by segments of its other bits, so no task holds it
-whole. Equal fingerprints are collapsed before, and a task returns a spanning
+copies) is split again, once, by segments of its other bits. Near copies that
+agree in such a segment too meet again in one node, and a task holds a node
+whole, so memory is not bounded there (largest node: not measured). Equal fingerprints are collapsed before, and a task returns a spanning
 forest of the links it finds, at most one link per fingerprint, not all pairs.
 
 Texts: A-Z lower-cased, words are runs of other than blanks, 4-word shingles
