@@ -1,14 +1,15 @@
 """Helpers that the training-data operators share.
 
-Scratch data goes to the folder named by ``spark.checkpoint.dir`` (shared by
-driver and executors); only where it is unset, as in tests, a local folder is
-chosen. Everything written there is a committed Parquet table, so a lost
-executor costs a re-read and no recomputation.
+Scratch data goes to the folder named by ``spark.checkpoint.dir``, which driver
+and executors share; without it nothing runs, unless Spark itself is local.
+Everything written there is a committed Parquet table, so a lost executor costs
+a re-read and no recomputation.
 """
 
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -41,6 +42,8 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared checkpoint folder; it is removed when the driver ends."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="ledgerline-")
         spark.sparkContext.setCheckpointDir(root)
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -104,6 +107,11 @@ def give_back() -> None:
 HOT_PARTS = 10_000
 
 
+def hot_limit(total: int) -> int:
+    """More rows than this make a key hot."""
+    return max(1000, total // HOT_PARTS)
+
+
 def keyed_join(rows: DataFrame, facts: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """Joins each of ``rows`` with the one row of ``facts`` that has its key, for any skew.
 
@@ -111,7 +119,7 @@ def keyed_join(rows: DataFrame, facts: DataFrame, key: str, size: str, total: in
     with more than ``max(1000, total / HOT_PARTS)`` rows number at most HOT_PARTS,
     so broadcasting them is bounded; the others are small and are joined by a shuffle.
     """
-    limit = max(1000, total // HOT_PARTS)
+    limit = hot_limit(total)
     facts = facts.withColumnRenamed(key, "_key")
     hot = F.broadcast(facts.where(F.col(size) > limit))
     cold = facts.where(F.col(size) <= limit)
@@ -119,3 +127,27 @@ def keyed_join(rows: DataFrame, facts: DataFrame, key: str, size: str, total: in
     first = rows.join(hot, same).drop("_key")
     rest = rows.join(hot.select("_key"), same, "left_anti").join(cold, same).drop("_key")
     return first.unionByName(rest)
+
+
+def row_key(digest: Column | str, doc_id: Column | str) -> Column:
+    """A key of (digest, id) with null ids equal, as column ``row_key``."""
+    doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.struct((F.col(digest) if isinstance(digest, str) else digest).alias("digest"), F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNull().alias("no_id")).alias("row_key")
+
+
+def one_each(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """One of the rows of each ``row_key``; ``keys`` are the same rows' keys in a narrow table.
+
+    Keys that repeat are counted on the narrow table, mostly there are none. Rows of
+    a key that holds many are found by a bounded broadcast and reduced where they
+    stand before any shuffle; all other rows pass as they are.
+    """
+    again = stored(keys.groupBy("row_key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"), "repeated")
+    if again.isEmpty():
+        return rows
+    total = again.agg(F.sum("copies")).first()[0]
+    twice = keyed_join(rows, again, "row_key", "copies", total).drop("copies").dropDuplicates(["row_key"])
+    hot = again.where(F.col("copies") > hot_limit(total)).select("row_key")
+    cold = again.where(F.col("copies") <= hot_limit(total)).select("row_key")
+    once = rows.join(F.broadcast(hot), "row_key", "left_anti").join(cold, "row_key", "left_anti")
+    return once.unionByName(twice.select(*rows.columns))

@@ -8,8 +8,14 @@ index, and appended. Only DataFrame operations are used.
 Texts are equal when identical after lower-casing A-Z; null counts as empty.
 Of equal texts in a batch the largest doc_id stays; null ids are smallest. Rows
 that repeat a doc_id with an equal text are one document and share a verdict.
-A text that an earlier batch has indexed keeps that batch's document. An empty
-batch changes nothing. Extra columns are never read, so their names can't clash.
+A text that an earlier batch has indexed keeps that batch's document, so a batch
+that is given again gets the same verdicts. ``group_size`` counts the rows of the
+batch at hand. An empty batch changes nothing, and a very long text costs its
+hash. Extra columns are never read, so their names can't clash.
+
+What is broadcast depends on the batch alone, whatever the index holds: the
+index is first cut to the batch's digests by a merge join with its buckets, and
+``common.keyed_join`` sends only digests that many rows of the batch share.
 """
 
 from __future__ import annotations
@@ -21,26 +27,34 @@ from ledgerline.llm import common
 
 
 class DigestIndex:
-    """Digests seen so far: (digest binary, keep_id, group_size), bucketed and sorted by digest."""
+    """Digests seen so far: (digest binary, keep_id), bucketed and sorted by digest."""
 
     def __init__(self, spark: SparkSession, name: str, path: str | None = None, buckets: int | None = None):
         self.spark, self.name = spark, name
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         place = f"LOCATION '{path}'" if path else ""
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} (digest BINARY, keep_id BIGINT, group_size BIGINT) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {name} (digest BINARY, keep_id BIGINT) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS {place}"
         )
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def append(self, digests: DataFrame) -> None:
-        """Adds the digests of (digest, doc_id) rows that the index lacks."""
+    def append(self, digests: DataFrame) -> DataFrame:
+        """Adds the digests of (digest, doc_id) rows that the index lacks; returns the batch's facts, stored: digest, keep_id, group_size."""
         batch = digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         batch = common.stored(batch, "digest_batch")  # else the anti-join moves below the aggregate and meets every copy
-        new = batch.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
+        new = batch.select("digest", "keep_id").join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
         new.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.name)
+        held = batch.select("digest", "group_size").join(self.rows().hint("merge"), "digest")
+        facts = common.stored(held.select("digest", "keep_id", "group_size"), "digest_facts")
+        common.release(batch)
+        return facts
+
+    def drop(self) -> None:
+        """Takes the table out of the catalogue; an external table's files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -51,8 +65,7 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 def verdicts(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """Adds ``docs`` to the index; one row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     seen = common.stored(digests(docs), "digests")
-    index.append(seen)
-    joined = common.keyed_join(seen, index.rows(), "digest", "group_size", seen.count())
+    joined = common.keyed_join(seen, index.append(seen), "digest", "group_size", seen.count())
     return joined.select(
         "doc_id",
         "keep_id",
@@ -63,24 +76,21 @@ def verdicts(docs: DataFrame, index: DigestIndex) -> DataFrame:
 
 
 def keep_distinct(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """The documents that stay, with all their columns, and one of each repeated row."""
+    """The documents that stay, with all their columns, and one of each repeated row.
+
+    Digests are sorted and merged; texts are dealt out by key once and looked up in
+    a hash table of their partition's keys, which is small beside the texts, instead
+    of being sorted.
+    """
     names = docs.columns
     clean = docs.toDF(*[f"c{i}" for i in range(len(names))])
     id_col, text_col = f"c{names.index('doc_id')}", f"c{names.index('text')}"
     seen = common.stored(digests(clean, id_col, text_col), "digests")
-    index.append(seen)
-    keep = index.rows().select(F.col("digest").alias("k_digest"), F.coalesce("keep_id", F.lit(0)).alias("k_id"), F.col("keep_id").isNull().alias("k_null"))
+    facts = index.append(seen)
+    stays = facts.select(common.row_key("digest", "keep_id"))
     sha = F.unhex(F.sha2(common.ascii_lower(text_col).cast("binary"), 256))
-    one = clean.withColumns({"k_digest": sha, "k_id": F.coalesce(F.col(id_col).cast("long"), F.lit(0)), "k_null": F.col(id_col).isNull()})
-    key = ["k_digest", "k_id", "k_null"]
-    # keys are hashed, so the texts are dealt out but not sorted
-    kept = one.join(keep.hint("shuffle_hash"), key, "left_semi")
-    again = common.stored(seen.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
-    if not again.isEmpty():
-        again = again.select(F.col("digest").alias("k_digest"), F.coalesce("doc_id", F.lit(0)).alias("k_id"), F.col("doc_id").isNull().alias("k_null"))
-        once = kept.join(again.hint("shuffle_hash"), key, "left_anti")
-        kept = once.unionByName(kept.join(again.hint("shuffle_hash"), key, "left_semi").dropDuplicates(key))
-    return kept.drop(*key).toDF(*names)
+    one = common.one_each(clean.withColumn("row_key", common.row_key(sha, F.col(id_col).cast("long"))), seen.select(common.row_key("digest", "doc_id")))
+    return one.join(stays.hint("shuffle_hash"), "row_key", "left_semi").drop("row_key").toDF(*names)
 
 
 def new_index(spark: SparkSession) -> DigestIndex:
@@ -90,7 +100,10 @@ def new_index(spark: SparkSession) -> DigestIndex:
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verdicts(common.table(spark, sf_dir, "documents"), new_index(spark))
+    index = new_index(spark)
+    out = verdicts(common.table(spark, sf_dir, "documents"), index)
+    index.drop()  # the batch's facts are stored apart from it
+    return out
 
 
 OP3_SQL = """

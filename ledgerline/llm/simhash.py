@@ -10,9 +10,11 @@ are a lower bound, and a pair over the radius is pruned with all its members.
 The search is exact.
 
 Node sizes: a top node with more than NODE fingerprints (a large group of near
-copies) is split again, once, by segments of its other bits. Near copies that
-agree in such a segment too meet again in one node, and a task holds a node
-whole, so memory is not bounded there (largest node: not measured). Equal fingerprints are collapsed before, and a task returns a spanning
+copies) is split again by segments of its other bits. Near copies that agree in
+such a segment too meet again; a node that is still too large is cut into tiles
+of NODE fingerprints, and each pair of tiles is a node of its own. So a node
+holds about 2 * NODE fingerprints at most, whatever the copies. Gray order holds within a node; the segment split above it
+takes the place of one global order. Equal fingerprints are collapsed before, and a task returns a spanning
 forest of the links it finds, at most one link per fingerprint, not all pairs.
 
 Texts: A-Z lower-cased, words are runs of other than blanks, 4-word shingles
@@ -158,7 +160,7 @@ def _top(fp: str, rotation: str, start: int, length: int) -> str:
 
 
 def _nodes(fps: DataFrame, radius: int, node: int) -> DataFrame:
-    """(key, turn, fp): each fingerprint under the top nodes it belongs to; large nodes are split once more."""
+    """(key, turn, fp): each fingerprint under the top nodes it belongs to; large nodes are split, and tiled if still large."""
     parts = _segments(64, radius + 1)
     options = ", ".join(f"struct({k} AS part, {a} AS turn, {_top('fp', str(a), 0, n)} AS bits)" for k, (a, n) in enumerate(parts))
     first = common.stored(fps.selectExpr("fp", f"inline(array({options}))"), "nodes")
@@ -174,7 +176,17 @@ def _nodes(fps: DataFrame, radius: int, node: int) -> DataFrame:
     rest = _segments(64 - length, radius + 1)
     more = ", ".join(f"struct({k} AS sub, {_top('fp', 'turn', length + a, n)} AS sub_bits)" for k, (a, n) in enumerate(rest))
     split = large.selectExpr("part", "bits", "turn", "fp", f"inline(array({more}))")
-    return small.unionByName(split.select(F.xxhash64("part", "bits", "sub", "sub_bits").alias("key"), "turn", "fp"))
+    split = common.stored(split.select(F.xxhash64("part", "bits", "sub", "sub_bits").alias("key"), "turn", "fp"), "split_nodes")
+    still = split.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > node)
+    still = common.stored(still.withColumn("cuts", F.ceil(F.col("n") / node).cast("int")), "tiled_nodes")
+    if still.isEmpty():
+        return small.unionByName(split)
+    # at most 25 * fingerprints / node of them; a fingerprint meets every other tile of its node
+    rest = split.join(still.select("key"), "key", "left_anti")
+    tiled = split.join(still.select("key", "cuts"), "key").withColumn("own", F.pmod(F.xxhash64("fp"), "cuts").cast("int"))
+    tiled = tiled.withColumn("other", F.explode(F.filter(F.sequence(F.lit(0), F.col("cuts") - 1), lambda x: x != F.col("own"))))
+    tiled = tiled.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "turn", "fp")
+    return small.unionByName(rest).unionByName(tiled)
 
 
 def links(fps: DataFrame, radius: int = RADIUS, node: int = NODE) -> DataFrame:
@@ -255,12 +267,11 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     id_col, text_col = f"c{names.index('doc_id')}", f"c{names.index('text')}"
     digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
     out = groups(clean.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), digest.alias("digest")), radius)
-    drop = out.where(_pick() != F.col("best")).select(F.coalesce("doc_id", F.lit(0)).alias("k_id"), F.col("doc_id").isNull().alias("k_null"), F.col("digest").alias("k_digest")).distinct()
-    key = ["k_id", "k_null", "k_digest"]
-    number = F.col(id_col).cast("long")
-    keyed = clean.withColumns({"k_id": F.coalesce(number, F.lit(0)), "k_null": number.isNull(), "k_digest": digest})
-    # rows that agree in id and text are one document
-    return keyed.join(drop.hint("shuffle_hash"), key, "left_anti").dropDuplicates(key).drop(*key).toDF(*names)
+    out = common.stored(out.select("doc_id", "fp", "digest", "best"), "chosen")
+    drop = out.where(_pick() != F.col("best")).select(common.row_key("digest", "doc_id")).distinct()
+    # rows that agree in id and text are one document; texts meet a hash table of their partition's keys and aren't sorted
+    one = common.one_each(clean.withColumn("row_key", common.row_key(digest, F.col(id_col).cast("long"))), out.select(common.row_key("digest", "doc_id")))
+    return one.join(drop.hint("shuffle_hash"), "row_key", "left_anti").drop("row_key").toDF(*names)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
