@@ -94,6 +94,13 @@ def shareholdings(docs: DataFrame, start: int = fiscal.START) -> DataFrame:
     return out.select("doc_id", "entity_id", "at", F.trim(F.col("r")["holder_name"]).alias("holder_name"), F.col("r")["shares"].try_cast("decimal(18,0)").alias("shares"), F.col("x.pct").try_cast("decimal(5,2)").alias("pct_holding"), (F.lower(F.col("r")["pledged"]) == "yes").alias("pledged"), "x.valid_from", "x.valid_to").where("pct_holding is not null")
 
 
+def listed(docs: DataFrame, doc_type: str) -> DataFrame:
+    """The rows that a master record's document lists, typed by its spec: doc_id, entity_id, at, the columns; the document's day is valid_from."""
+    columns = EXTRACTIONS[doc_type][1].columns
+    rows = docs.where("outcome = 'EXTRACTED'").select("doc_id", "entity_id", F.try_to_date(_fact("as_of_date"), "yyyy-MM-dd").alias("valid_from"), F.posexplode("rows").alias("at", "r"))
+    return rows.select("doc_id", "entity_id", "at", *[F.col("r")[n].try_cast(coerce.SQL_TYPES[k]).alias(n) for n, k in columns], "valid_from", F.lit(None).cast("date").alias("valid_to"))
+
+
 def register_rows(docs: DataFrame, doc_type: str) -> tuple[DataFrame, DataFrame]:
     """X-05, X-08: a register's rows in document text as cells (path, line, cells), and what can't be one; a document without rows is refused."""
     if doc_type in EXTRACTIONS:

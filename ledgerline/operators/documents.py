@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerline.functions import coerce, hashing
 from ledgerline.plans.contracts import OPTIONAL, REQUIRED, Contract
@@ -46,14 +45,12 @@ def transaction_rows(rows: DataFrame, contract: Contract, rule: str = "file") ->
 def transactions(rows: DataFrame, contract: Contract, file: str = "path") -> tuple[DataFrame, DataFrame, DataFrame]:
     """A-01, A-02, P-15, P-17: documents, lines, and what is wrong; a file with one bad row is refused whole."""
     group = [file, "doc_number", "counterparty_gstin"]
-    same_line, same_file = Window.partitionBy(*group, "line_number"), Window.partitionBy(file)
     typed = transaction_rows(rows, contract)
-    typed = typed.withColumns({"_same": F.count("line_number").over(same_line), "_first": F.min("line").over(same_line)})
-    typed = typed.withColumn("_bad", F.max(F.size("problems") + F.when(F.col("_same") > 1, 1).otherwise(0)).over(same_file))
-    twice = (F.col("_same") > 1) & (F.col("line") == F.col("_first"))
-    said = F.when(twice, F.array(F.concat(F.lit("line_number: given twice: "), F.col("line_number").cast("string")))).otherwise(F.array().cast("array<string>"))
-    wrong = typed.where("_bad > 0").select(file, "line", F.explode(F.concat("problems", said)).alias("message"))
-    good = typed.where("_bad = 0").drop("cells", "problems", "_same", "_first", "_bad")
+    # the bad files are few and narrow, and found by sums that combine before the shuffle
+    again = typed.where("line_number is not null").groupBy(*group, "line_number").agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("line")).where("n > 1")
+    twice = again.select(file, "line", F.concat(F.lit("line_number: given twice: "), F.col("line_number").cast("string")).alias("message"))
+    wrong = typed.select(file, "line", F.explode("problems").alias("message")).unionByName(twice)
+    good = typed.join(wrong.select(file).distinct(), file, "left_anti").drop("cells", "problems")
     first = [F.min_by(c, "line").alias(c) for c in ("doc_date", "counterparty_name", "currency", *(a.name for a in contract.doc))]
     tax = F.col("cgst_amount") + F.col("sgst_amount") + F.col("igst_amount") + F.col("cess_amount")
     documents = good.groupBy(*group).agg(*first, *totals(F.col("taxable_value"), tax), F.min("line").alias("first_line"))
@@ -104,9 +101,12 @@ def unknown_values(rows: DataFrame, column: str, vocabulary: DataFrame) -> DataF
     return rows.where(F.col(column).isNotNull()).join(vocabulary.select(F.col("value").alias(column)), column, "left_anti")
 
 
+CONFLICT, INVALID = "CONFLICT", "INVALID"
+
+
 def violation(unique: Column, other: Column) -> Column:
     """P-30: CONFLICT for a key that exists, INVALID for any other broken rule."""
-    return F.when(unique, "CONFLICT").when(other, "INVALID")
+    return F.when(unique, CONFLICT).when(other, INVALID)
 
 
 def header_disagrees(headers: DataFrame, lines: DataFrame, key: str, head_total: str, line_value: str) -> DataFrame:

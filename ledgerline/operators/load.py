@@ -1,10 +1,12 @@
 """Loading a file end to end: scan, coerce, hash, collapse, upsert, stage, publish (S-19, U-02, U-03, U-07 to U-09, U-12, U-13, D-01).
 
-A load stages the new versions, the closures of live rows, and the rejected
-rows under its batch id and publishes the manifest last, so it shows whole or
-not at all and can be repeated after any failure. A file that can't be read, or
-that its type refuses whole, leaves a quarantine row and no batch; a load that
-changes nothing publishes no batch.
+A load computes its versions once, stages from them the new versions, the
+closures of live rows and the rejected rows under its attempt, and publishes the
+manifest last, so it shows whole or not at all. It can be repeated after any
+failure; a batch that is already published is UNCHANGED and nothing is written.
+A file that can't be read, or that its type refuses whole, leaves a quarantine
+row and no batch; so does one with a value outside a closed vocabulary (INVALID).
+A load that changes nothing publishes no batch.
 """
 
 from __future__ import annotations
@@ -21,9 +23,16 @@ from ledgerline.plans.contracts import CONTRACTS, EXTRACTIONS
 from ledgerline.plans.dispatch import PDF_FED, require
 from ledgerline.plans.registers import BY_TYPE, SALES_HEADER, SALES_LINE, Register
 from ledgerline.sources import registers, returns
-from ledgerline.sources.store import TenantStore
+from ledgerline.sources.store import TenantStore, folder_of
 
 HOLDERS = "shareholding_pattern_holder"
+#: Tables of the rows that a master record's document lists.
+CHILDREN = {"SHAREHOLDING_PATTERN": HOLDERS, "GSTIN_REGISTER": "gstin_register_entry", "DIRECTOR_LIST_WITH_DIN": "director_list_din", "KMP_LIST": "kmp_list_member"}
+#: The order of a batch's rows where several files come in together.
+ORDER = ("path", "line")
+
+
+QUARANTINE = "ingest_id string, document_type string, reasons array<string>, quarantined_at timestamp"
 
 
 @dataclass(frozen=True)
@@ -51,7 +60,7 @@ class Outcome:
 
 
 def _envelope(rows: DataFrame, up: Upload, table: str) -> DataFrame:
-    key = ["entity_id", "gstin", "row_hash", "line"] if "line" in rows.columns else ["entity_id", "gstin", "row_hash"]
+    key = ["entity_id", "gstin", "row_hash", *[c for c in ORDER if c in rows.columns]]
     return rows.withColumns(
         {
             "id": hashing.surrogate(f"{table}:{up.batch_id}", *key),
@@ -68,36 +77,58 @@ def _owned(rows: DataFrame, up: Upload) -> DataFrame:
 
 def _quarantined(store: TenantStore, up: Upload, reasons: list[str]) -> Outcome:
     """U-12: the last verdict on an upload wins; at most 20 reasons are kept with it."""
-    row = store.spark.createDataFrame([(up.ingest_id, up.document_type, reasons[:20], up.now)], "ingest_id string, document_type string, reasons array<string>, quarantined_at timestamp")
-    row.write.mode("overwrite").parquet(f"{store.path}/quarantine/ingest={up.ingest_id}")
+    store.abandon(up.batch_id)
+    row = store.spark.createDataFrame([(up.ingest_id, up.document_type, reasons[:20], up.now)], QUARANTINE)
+    row.write.mode("overwrite").parquet(f"{store.path}/quarantine/{folder_of(up.ingest_id)}")
     return Outcome("QUARANTINED", reasons=reasons)
 
 
 def quarantine(store: TenantStore) -> DataFrame | None:
     place = f"{store.path}/quarantine"
-    return store.spark.read.option("recursiveFileLookup", "true").parquet(place) if store._exists(place) else None
+    return store.spark.read.schema(QUARANTINE).option("recursiveFileLookup", "true").parquet(place) if store._exists(place) else None
 
 
-def _finish(store: TenantStore, up: Upload, table: str, versions: DataFrame, wrong: DataFrame | None, lines: tuple[str, DataFrame] | None = None, line_count: int | None = None) -> Outcome:
-    """Stages what an upsert made, and publishes it if it changes anything."""
-    made = versions.where(F.col("action").isin("inserted", "superseded"))
-    counts = upsert.counters(versions, wrong).first().asDict()
+def _finish(store: TenantStore, up: Upload, table: str, versions: DataFrame, wrong: DataFrame | None, *lines: tuple[str, DataFrame, list[str]], count_lines: bool = True) -> Outcome:
+    """Computes what an upsert made once, stages what follows from it, and publishes it if it changes anything.
+
+    lines: (table, rows, the columns that lead to their header). Lines carry the id of
+    their header's version; those of headers that made no version are left out.
+    """
+    ended = F.when(~F.col("is_live"), F.lit(up.now)) if "is_live" in versions.columns else F.lit(None)
+    held = store.work(up.batch_id, "versions", _envelope(versions, up, table).withColumn("superseded_at", ended.cast("timestamp")))
+    bad = store.work(up.batch_id, "rejected", wrong) if wrong is not None else None
+    counts = upsert.counters(held, bad).first().asDict()
     n = counts["inserted"] + counts["superseded"]
-    if wrong is not None and counts["rejected"]:
-        wrong.withColumn("ingest_id", F.lit(up.ingest_id)).write.mode("overwrite").parquet(f"{store.path}/silver/rejected_row/batch_id={up.batch_id}")
     if n or counts["rejected"]:
-        ended = F.when(~F.col("is_live"), F.lit(up.now)) if "is_live" in versions.columns else F.lit(None)
-        rows = _envelope(made, up, table).withColumn("superseded_at", ended.cast("timestamp"))
-        store.stage(table, up.batch_id, rows.drop("action", "next_from", "prior", "is_live", "live_id", "copies", "path"))
+        made = held.where(F.col("action").isin("inserted", "superseded"))
+        if counts["rejected"]:
+            store.stage("rejected_row", up.batch_id, bad.withColumn("ingest_id", F.lit(up.ingest_id)))
+        store.stage(table, up.batch_id, made.drop("action", "next_from", "prior", "is_live", "live_id", "copies", "path"))
         if "live_id" in versions.columns:
-            shut = versions.where("action = 'closed'").select(F.col("live_id").alias("id"), F.lit(up.now).alias("superseded_at"), "valid_to")
+            shut = held.where("action = 'closed'").select(F.col("live_id").alias("id"), F.lit(up.now).alias("superseded_at"), "valid_to")
             store.stage_closures(table, up.batch_id, shut)
-        if lines:
-            store.stage(lines[0], up.batch_id, lines[1])
-        store.publish({"batch_id": up.batch_id, "entity_id": up.entity_id, "document_type": up.document_type, "period_start": up.period_start, "period_end": up.period_end, "row_count": n if line_count is None else line_count, "status": "READY", "ready_at": up.now, "content_hash": up.ingest_id})
+        total = 0
+        for name, rows, to_header in lines:
+            link = "record_id" if name in CHILDREN.values() else "header_id"
+            heads = made.select(F.col("id").alias(link), F.col("superseded_at").alias("_ended"), *[F.col(c).alias(f"_{c}") for c in to_header])
+            same = F.lit(True)
+            for c in to_header:
+                same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+            own = rows.join(heads, same)
+            if "superseded_at" in rows.columns:
+                own = own.withColumn("superseded_at", F.col("_ended"))
+            total += store.stage(name, up.batch_id, own.drop("path", "_ended", *[f"_{c}" for c in to_header])).count()
+        store.publish({"batch_id": up.batch_id, "entity_id": up.entity_id, "document_type": up.document_type, "period_start": up.period_start, "period_end": up.period_end, "row_count": total if lines and count_lines else n, "status": "READY", "ready_at": up.now, "content_hash": up.ingest_id})
+    store.abandon(up.batch_id)
     return Outcome("PARTIAL" if counts["rejected"] else "ACCEPTED" if n else "UNCHANGED", counts)
 
 
+def _invalid(store: TenantStore, up: Upload, rows: DataFrame, table: str) -> list[str]:
+    """P-28, P-30: a value outside a closed vocabulary breaks a rule of the table: the file is refused as INVALID."""
+    outside = documents.outside_vocabulary(rows, table).limit(20).collect()
+    return [f"{documents.INVALID}: line {r.line}: {r.column_name}: {r.value}" for r in outside]
+
+
 def _live(store: TenantStore, table: str, key: list[str], like: DataFrame) -> DataFrame:
     """The live rows of a table, or none with the columns that an upsert needs."""
     rows = store.live(table)
@@ -112,18 +143,29 @@ def _live(store: TenantStore, table: str, key: list[str], like: DataFrame) -> Da
 
 def load_register(store: TenantStore, files: DataFrame, up: Upload, register: Register | None = None) -> Outcome:
     register = register or BY_TYPE[up.document_type]
-    good, bad, fatal = registers.read(store.spark, files, register, up.form)
-    if reasons := [r.reason for r in fatal.limit(20).collect()]:
+    found = _parsed(store, up, registers.cells(files, list(register.names), up.form))
+    if reasons := _fatal(found):
         return _quarantined(store, up, reasons)
-    return _register(store, good, bad, up, register)
+    return _register(store, *registers.accepted(found, register), up, register)
+
+
+def _parsed(store: TenantStore, up: Upload, rows: DataFrame) -> DataFrame:
+    """A load's input, read and parsed once; what follows starts from a short plan."""
+    return store.work(up.batch_id, "parsed", rows)
+
+
+def _fatal(found: DataFrame) -> list[str]:
+    return [r.fatal for r in found.where("fatal is not null").limit(20).collect()]
 
 
 def _register(store: TenantStore, good: DataFrame, bad: DataFrame, up: Upload, register: Register) -> Outcome:
     start, end = F.lit(up.period_start), F.lit(up.period_end)
+    if reasons := _invalid(store, up, good, register.table):
+        return _quarantined(store, up, reasons)
     rows = registers.with_period(_owned(good, up), register, start, end).withColumn("valid_to", F.lit(upsert.OPEN_END).cast("date"))
     if register.natural:
         key = list(register.key_columns)
-        made = upsert.natural(rows.drop("valid_to"), _live(store, register.table, key, rows), key)
+        made = upsert.natural(rows.drop("valid_to"), _live(store, register.table, key, rows), key, ORDER)
     else:
         key = ["entity_id", "gstin", register.period]
         made = upsert.content(rows, _live(store, register.table, key, rows), register.period)
@@ -132,24 +174,24 @@ def _register(store: TenantStore, good: DataFrame, bad: DataFrame, up: Upload, r
 
 def load_sales(store: TenantStore, files: DataFrame, up: Upload) -> Outcome:
     """U-07: whole documents compare by their hash; the period isn't part of the key."""
-    found = registers.cells(files, [c.name for c in SALES_HEADER + SALES_LINE], up.form)
-    if reasons := [r.fatal for r in found.where("fatal is not null").limit(20).collect()]:
+    found = _parsed(store, up, registers.cells(files, [c.name for c in SALES_HEADER + SALES_LINE], up.form))
+    if reasons := _fatal(found):
         return _quarantined(store, up, reasons)
     heads, lines, wrong = documents.sales(registers.typed(found.where("fatal is null"), SALES_HEADER + SALES_LINE))
     if reasons := [f"line {r.line}: {r.message}" for r in wrong.orderBy("line", "message").limit(20).collect()]:
         return _quarantined(store, up, reasons)
+    if reasons := _invalid(store, up, heads, "sales_register"):
+        return _quarantined(store, up, reasons)
     rows = _owned(heads, up).withColumns({"valid_from": F.col("invoice_date"), "tax_period": F.lit(up.period_start)})
     key = ["entity_id", "gstin", "invoice_no"]
-    made = upsert.natural(rows, _live(store, "sales_register", key, rows), key)
-    fresh = made.where(F.col("action").isin("inserted", "superseded")).select("path", "invoice_no")
-    new_lines = lines.join(fresh, ["path", "invoice_no"]).drop("path")
-    return _finish(store, up, "sales_register", made, None, ("sales_register_line", new_lines), new_lines.count())
+    made = upsert.natural(rows, _live(store, "sales_register", key, rows), key, ORDER)
+    return _finish(store, up, "sales_register", made, None, ("sales_register_line", lines, ["path", "invoice_no"]))
 
 
 def load_transactions(store: TenantStore, files: DataFrame, up: Upload) -> Outcome:
     """U-08: a document always supersedes the live one with its number."""
-    found = registers.cells(files, ["doc_number", "doc_date", "line_number"], up.form, lower=True)
-    if reasons := [r.fatal for r in found.where("fatal is not null").limit(20).collect()]:
+    found = _parsed(store, up, registers.cells(files, ["doc_number", "doc_date", "line_number"], up.form, lower=True))
+    if reasons := _fatal(found):
         return _quarantined(store, up, reasons)
     return _transactions(store, found.where("fatal is null").select("path", "line", "cells"), up)
 
@@ -158,11 +200,20 @@ def _transactions(store: TenantStore, cells: DataFrame, up: Upload) -> Outcome:
     heads, lines, wrong = documents.transactions(cells, CONTRACTS[up.document_type])
     if reasons := [f"line {r.line}: {r.message}" for r in wrong.orderBy("line", "message").limit(20).collect()]:
         return _quarantined(store, up, reasons)
-    rows = heads.withColumns({"entity_id": F.lit(up.entity_id), "gstin": F.coalesce("counterparty_gstin", F.lit("")), "document_type": F.lit(up.document_type), "valid_from": F.col("doc_date"), "line": F.col("first_line")})
+    contract = CONTRACTS[up.document_type]
+    rows = _gathered(heads, contract.doc).withColumns({"entity_id": F.lit(up.entity_id), "gstin": F.coalesce("counterparty_gstin", F.lit("")), "document_type": F.lit(up.document_type), "direction": F.lit(contract.direction), "valid_from": F.col("doc_date"), "line": F.col("first_line")})
     rows = rows.withColumn("row_hash", hashing.row_hash("doc_number", "doc_date", "total_value", "row_count"))
     key = ["entity_id", "document_type", "gstin", "doc_number"]
-    made = upsert.natural(rows, _live(store, "transaction_document", key, rows), key, compare=False)
-    return _finish(store, up, "transaction_document", made, None, ("transaction_line", lines.drop("path")), lines.count())
+    made = upsert.natural(rows, _live(store, "transaction_document", key, rows), key, ORDER, compare=False)
+    lines = _gathered(lines.drop(*[a.name for a in contract.doc]), contract.line)
+    return _finish(store, up, "transaction_document", made, None, ("transaction_line", lines, ["path", "doc_number", "counterparty_gstin"]))
+
+
+def _gathered(rows: DataFrame, declared: tuple) -> DataFrame:
+    """A contract's own columns as one map of text, so that the table has one layout for all document types."""
+    pairs = [F.struct(F.lit(a.name).alias("key"), F.col(a.name).cast("string").alias("value")) for a in declared]
+    filled = F.map_from_entries(F.filter(F.array(*pairs), lambda x: x["value"].isNotNull())) if pairs else F.create_map().cast("map<string,string>")
+    return rows.withColumn("attributes", filled).drop(*[a.name for a in declared])
 
 
 def load_return(store: TenantStore, path: str, up: Upload) -> Outcome:
@@ -180,26 +231,26 @@ def load_return(store: TenantStore, path: str, up: Upload) -> Outcome:
     table = up.document_type.lower()
     rows = heads.withColumns({"entity_id": F.lit(up.entity_id), "tax_period": period, "valid_from": period, "line": F.lit(1)})
     key = ["entity_id", "gstin", "tax_period"]
-    made = upsert.natural(rows, _live(store, table, key, rows), key)
-    if not made.where(F.col("action").isin("inserted", "superseded")).isEmpty():
-        store.stage(second, up.batch_id, more.drop("path"))
-    return _finish(store, up, table, made, None, (f"{table}_line", lines.drop("path")), lines.count() + (more.count() if table == "gstr_3b" else 0))
+    made = upsert.natural(rows, _live(store, table, key, rows), key, ORDER)
+    return _finish(store, up, table, made, None, (f"{table}_line", lines, ["path"]), (second, more, ["path"]))
 
 
 def load_text(store: TenantStore, docs: DataFrame, up: Upload) -> Outcome:
     """X-08, U-10: the record of a text document supersedes the live one with its key. docs: doc_id, entity_id, pages."""
     if up.document_type in PDF_FED:
         cells, bad = archetypes.register_rows(docs, up.document_type)
+        cells = store.work(up.batch_id, "parsed", cells)
         if reasons := [", ".join(r.reasons) or r.outcome for r in bad.limit(20).collect()]:
             return _quarantined(store, up, reasons)
         return _register(store, *registers.accepted(cells, BY_TYPE[up.document_type]), up, BY_TYPE[up.document_type])
     archetype, _ = EXTRACTIONS[up.document_type]
-    found = archetypes.extracted(docs, up.document_type)
+    found = _parsed(store, up, archetypes.extracted(docs, up.document_type))
     bad = archetypes.quarantined(found, narrative=archetype == "narrative")
     if reasons := [", ".join(r.reasons) or r.outcome for r in bad.limit(20).collect()]:
         return _quarantined(store, up, reasons)
     if archetype == "transaction":
-        return _transactions(store, archetypes.transaction_row(found, up.document_type).withColumn("path", F.lit(up.ingest_id)), up)
+        rows = archetypes.transaction_row(found, up.document_type).withColumn("path", F.lit(up.ingest_id))
+        return _transactions(store, store.work(up.batch_id, "cells", rows), up)
     if archetype == "statement":
         rows = archetypes.statements(found, up.document_type, F.lit(up.period_start))
     else:
@@ -209,26 +260,28 @@ def load_text(store: TenantStore, docs: DataFrame, up: Upload) -> Outcome:
     start = F.col("valid_from") if "valid_from" in rows.columns else F.lit(up.period_start or up.now.date())
     rows = rows.withColumns({"line": F.lit(1), "valid_from": start, "row_hash": hashing.row_hash(*[c for c in rows.columns if c != "doc_id"])}).drop("valid_to") if archetype != "entitlement" else rows.withColumns({"line": F.lit(1), "instrument_valid_to": F.col("valid_to"), "row_hash": hashing.row_hash("instrument_number", "valid_from", "valid_to")}).drop("valid_to")
     key = list(archetypes.ARCHETYPE_KEYS[archetype])
-    made = upsert.natural(rows, _live(store, archetype, key, rows), key, compare=False)
+    made = upsert.natural(rows, _live(store, archetype, key, rows), key, "line" if "path" not in rows.columns else ORDER, compare=False)
     made = made.withColumn("gstin", F.lit(up.gstin).cast("string")) if "gstin" not in made.columns else made
-    facts = _holders(store, found, made, up) if up.document_type == "SHAREHOLDING_PATTERN" else None
-    return _finish(store, up, archetype, made, None, None if facts is None else (HOLDERS, facts))
+    children = [(CHILDREN[up.document_type], _children(store, found, made, up), ["doc_id"])] if up.document_type in CHILDREN else []
+    return _finish(store, up, archetype, made, None, *children, count_lines=False)
 
 
-def _holders(store: TenantStore, found: DataFrame, made: DataFrame, up: Upload) -> DataFrame:
-    """X-07, U-11: the holders' facts under their new master records; those of closed records are closed with them."""
+def _children(store: TenantStore, found: DataFrame, made: DataFrame, up: Upload) -> DataFrame:
+    """X-07, U-11: the rows that a master record lists, with ids of their own; those of closed records are closed with them."""
+    table = CHILDREN[up.document_type]
     closed = made.where("action = 'closed'").select(F.col("live_id").alias("record_id"), F.lit(up.now).cast("timestamp").alias("superseded_at"))
-    live = store.live(HOLDERS)
+    live = store.live(table)
     if live is not None:
         shut = upsert.children_of_closed(live, closed).where("superseded_at is not null")
-        store.stage_closures(HOLDERS, up.batch_id, shut)
-    records = _envelope(made.where(F.col("action").isin("inserted", "superseded")), up, "master")
-    ended = F.when(~F.col("is_live"), F.lit(up.now)).cast("timestamp")
-    facts = archetypes.shareholdings(found).join(records.select("doc_id", F.col("id").alias("record_id"), "doc_type_code", "bronze_ingest_id", "recorded_at", ended.alias("superseded_at")), "doc_id")
-    return facts.withColumn("id", hashing.surrogate(HOLDERS, "record_id", "at", "valid_from")).drop("doc_id", "at")
+        store.stage_closures(table, up.batch_id, shut)
+    rows = archetypes.shareholdings(found) if table == HOLDERS else archetypes.listed(found, up.document_type)
+    same = hashing.surrogate(f"{table}:{up.batch_id}", "doc_id", "at", "valid_from")
+    return rows.withColumns({"id": same, "doc_type_code": F.lit(up.document_type), "bronze_ingest_id": F.lit(up.ingest_id), "recorded_at": F.lit(up.now), "superseded_at": F.lit(None).cast("timestamp")})
 
 
 def load(store: TenantStore, source: DataFrame | str, up: Upload) -> Outcome:
     """D-01: loads an upload by its type's mechanism."""
+    if store.published(up.batch_id):
+        return Outcome("UNCHANGED")
     way = require(up.document_type, entity_id=up.entity_id, gstin=up.gstin, period_start=up.period_start, period_end=up.period_end)
     return {"REGISTER_LOADER": load_register, "SALES_REGISTER": load_sales, "TRANSACTION": load_transactions, "GSTN_JSON": load_return, "PDF_EXTRACTION": load_text}[way](store, source, up)

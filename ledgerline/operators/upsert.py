@@ -28,7 +28,7 @@ def touching(live: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFr
     return live.join(keys, condition, "left_semi")
 
 
-def natural(incoming: DataFrame, live: DataFrame, key: Sequence[str], order: str = "line", compare: bool = True) -> DataFrame:
+def natural(incoming: DataFrame, live: DataFrame, key: Sequence[str], order: str | Sequence[str] = "line", compare: bool = True) -> DataFrame:
     """U-02, U-04 to U-08: every version that the batch makes or touches.
 
     incoming: key, ``order``, row_hash, valid_from (duplicates by hash collapsed).
@@ -37,16 +37,17 @@ def natural(incoming: DataFrame, live: DataFrame, key: Sequence[str], order: str
     equal to the live row), closed (the live row got a successor) or kept; next_from
     and prior (id of a live predecessor). ``compare=False`` supersedes even equal rows (U-08).
     """
-    rest = [c for c in incoming.columns if c not in {*key, order, "row_hash", "valid_from"}]
-    old = touching(live, incoming, key).select(*key, F.lit(None).cast(incoming.schema[order].dataType).alias(order), "row_hash", "valid_from", "valid_to", F.col("id").alias("live_id"), F.lit(0).alias("_new"))
-    new = incoming.select(*key, order, "row_hash", "valid_from", *rest, F.lit(OPEN_END).cast("date").alias("valid_to"), F.lit(None).cast(live.schema["id"].dataType).alias("live_id"), F.lit(1).alias("_new"))
-    w = Window.partitionBy(*key).orderBy("_new", order)
+    order = [order] if isinstance(order, str) else list(order)
+    rest = [c for c in incoming.columns if c not in {*key, *order, "row_hash", "valid_from"}]
+    old = touching(live, incoming, key).select(*key, *[F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in order], "row_hash", "valid_from", "valid_to", F.col("id").alias("live_id"), F.lit(0).alias("_new"))
+    new = incoming.select(*key, *order, "row_hash", "valid_from", *rest, F.lit(OPEN_END).cast("date").alias("valid_to"), F.lit(None).cast(live.schema["id"].dataType).alias("live_id"), F.lit(1).alias("_new"))
+    w = Window.partitionBy(*key).orderBy("_new", *order)
     rows = new.unionByName(old, allowMissingColumns=True)
     rows = rows.withColumns({"_prev": F.lag("row_hash").over(w), "_has_prev": F.lag(F.lit(True), 1, False).over(w), "_prev_id": F.lag("live_id").over(w)})
     same = (F.col("_new") == 1) & F.col("_has_prev") & F.col("_prev").eqNullSafe(F.col("row_hash")) if compare else F.lit(False)
     rows = rows.withColumn("_same", same)
     # an unchanged row makes no version, so the version after it succeeds the live row
-    w2 = Window.partitionBy(*key).orderBy("_new", order).rowsBetween(1, Window.unboundedFollowing)
+    w2 = Window.partitionBy(*key).orderBy("_new", *order).rowsBetween(1, Window.unboundedFollowing)
     rows = rows.withColumn("next_from", F.first(F.when(~F.col("_same"), F.col("valid_from")), ignorenulls=True).over(w2))
     rows = rows.withColumn("_followed", F.coalesce(F.max(~F.col("_same")).over(w2), F.lit(False)))
     action = (
@@ -71,12 +72,13 @@ def content(incoming: DataFrame, live: DataFrame, period: str = "tax_period") ->
 
 
 def counters(result: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
-    """A-05: inserted, unchanged, superseded, collapsed and rejected, as one row."""
+    """A-05: inserted, unchanged, superseded, collapsed and rejected, as one row of sums over both tables."""
     count = lambda a: F.count_if(F.col("action") == a).alias(a)
     copies = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)) if "copies" in result.columns else F.lit(0)
     out = result.agg(count("inserted"), count("unchanged"), count("superseded"), copies.cast("long").alias("collapsed"))
-    n = rejected.agg(F.count(F.lit(1)).alias("rejected")) if rejected is not None else None
-    return out.crossJoin(n) if n is not None else out.withColumn("rejected", F.lit(0).cast("long"))  # one row by one row
+    n = rejected.agg(F.count(F.lit(1)).alias("rejected")) if rejected is not None else out.select(F.lit(0).cast("long").alias("rejected"))
+    names = [*out.columns, "rejected"]
+    return out.unionByName(n, allowMissingColumns=True).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
 
 
 def live_versions(rows: DataFrame, key: Sequence[str], by: Sequence[Column]) -> DataFrame:

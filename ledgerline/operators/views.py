@@ -5,39 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators import readers
+from ledgerline.operators import load, readers
 from ledgerline.plans.registers import BY_TABLE
 from ledgerline.sources.store import TenantStore
 
-#: View -> (table, header table and the key that its lines join on, if it is a view of lines).
+#: View -> (table, header table if it is a view of lines).
 SIMPLE = {
     "v1_transaction_document": ("transaction_document", None),
-    "v1_transaction_line": ("transaction_line", ("transaction_document", "doc_number")),
-    "v1_sales_register_line": ("sales_register_line", ("sales_register", "invoice_no")),
+    "v1_transaction_line": ("transaction_line", "transaction_document"),
+    "v1_sales_register_line": ("sales_register_line", "sales_register"),
     "v1_gstr_2b": ("gstr_2b", None),
-    "v1_gstr_2b_line": ("gstr_2b_line", ("gstr_2b", "gstin")),
-    "v1_gstr_2b_summary": ("gstr_2b_summary", ("gstr_2b", "gstin")),
+    "v1_gstr_2b_line": ("gstr_2b_line", "gstr_2b"),
+    "v1_gstr_2b_summary": ("gstr_2b_summary", "gstr_2b"),
     "v1_gstr_3b": ("gstr_3b", None),
-    "v1_gstr_3b_line": ("gstr_3b_line", ("gstr_3b", "gstin")),
-    "v1_gstr_3b_inward_supply": ("gstr_3b_inward_supply", ("gstr_3b", "gstin")),
+    "v1_gstr_3b_line": ("gstr_3b_line", "gstr_3b"),
+    "v1_gstr_3b_inward_supply": ("gstr_3b_inward_supply", "gstr_3b"),
     "v1_rejected_row": ("rejected_row", None),
     "v1_entitlement_instrument": ("entitlement", None),
     "v1_proceeding_event": ("proceeding", None),
     "v1_entity_master_record": ("master", None),
     "v1_shareholding_pattern_holder": ("shareholding_pattern_holder", None),
+    "v1_gstin_register_entry": ("gstin_register_entry", None),
+    "v1_director_list_din": ("director_list_din", None),
+    "v1_kmp_list_member": ("kmp_list_member", None),
     "v1_financial_statement_extract": ("statement", None),
     "v1_narrative_contract": ("narrative", None),
 }
+#: Full histories; what is approved and in force is the reader's to resolve.
+HISTORY_VIEWS = {"v1_reconciliation_tenant_setting": "tenant_setting", "v1_reconciliation_category_bridge": "gl_category_bridge", "v1_ref02_notified_rcm_category": "ref02_notified_rcm_category"}
+#: Tables that are appended and never closed.
+_PLAIN = ("rejected_row",)
 
 
 def names() -> list[str]:
-    return sorted([*SIMPLE, "v1_ingest_batch", "v1_purchase_invoice", "v1_sales_register", *(f"v1_{t}" for t in BY_TABLE)])
+    return sorted([*SIMPLE, *HISTORY_VIEWS, "v1_ingest_batch", "v1_purchase_invoice", "v1_sales_register", "v1_quarantined_artefact", *(f"v1_{t}" for t in BY_TABLE)])
 
 
 def view(store: TenantStore, name: str) -> DataFrame | None:
     """A view's rows; null while its table has none. Lines carry their header's version: id, batch and times."""
     if name == "v1_ingest_batch":
-        return store.manifests()
+        return store.manifests().drop("attempt", "schemas")
+    if name in HISTORY_VIEWS:
+        return store.history(HISTORY_VIEWS[name])
+    if name == "v1_quarantined_artefact":
+        return quarantined_artefacts(store)
     table = name.removeprefix("v1_")
     if name == "v1_purchase_invoice":
         rows = store.rows("purchase_register")
@@ -51,12 +62,16 @@ def view(store: TenantStore, name: str) -> DataFrame | None:
     if name not in SIMPLE:
         raise LookupError(f"no view {name}")
     table, header = SIMPLE[name]
-    rows = store.spark.read.parquet(f"{store.path}/silver/{table}").join(store.manifests().select("batch_id"), "batch_id", "left_semi") if header or table == "rejected_row" else store.rows(table)
+    rows = store.raw(table) if header or table in _PLAIN else store.rows(table)
     if rows is None or not header:
         return rows
-    heads = store.rows(header[0])
-    own = heads.select("batch_id", header[1], F.col("id").alias("header_id"), "recorded_at", "superseded_at")
-    return rows.join(own, ["batch_id", header[1]])
+    return rows.join(store.rows(header).select(F.col("id").alias("header_id"), "recorded_at", "superseded_at"), "header_id")
+
+
+def quarantined_artefacts(store: TenantStore) -> DataFrame | None:
+    """V-12: uploads that were refused whole, with the first reason and all of them."""
+    rows = load.quarantine(store)
+    return None if rows is None else rows.select("ingest_id", "document_type", F.col("quarantined_at").alias("rejected_at"), F.get("reasons", F.lit(0)).alias("reason"), "reasons")
 
 
 def counts_agree(before: DataFrame, after: DataFrame, *key: str) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from importlib import resources
 
 KINDS = ("text", "date", "money", "qty", "rate", "int", "gstin", "hsn", "hash64")
 TEXT_KINDS = ("text", "date", "date_range", "money", "int", "gstin", "hsn")
-DIRECTIONS, COUNTERPARTIES = ("OUTWARD", "INWARD"), ("REQUIRED", "OPTIONAL", "FOREIGN")
+DIRECTIONS, COUNTERPARTIES = ("INWARD", "OUTWARD", "INTERNAL"), ("REQUIRED", "OPTIONAL", "FOREIGN")
 REQUIRED = ("doc_number", "doc_date", "line_number", "hsn_sac", "quantity", "unit_price", "taxable_value", "gst_rate")
 OPTIONAL = ("counterparty_gstin", "counterparty_name", "currency", "description", "uom", "cgst_amount", "sgst_amount", "igst_amount", "cess_amount", "itc_amount")
 
@@ -87,41 +88,14 @@ def extraction(text: str) -> Extraction:
     return Extraction(clauses.get("authority"), tuple(fields), pattern, cols)
 
 
-#: The contracts of the transaction types.
-CONTRACTS = {
-    name: contract(text)
-    for name, text in {
-        "SALES_REGISTER": "direction=OUTWARD;counterparty=OPTIONAL;doc=place_of_supply:text!,invoice_type:text;line=",
-        "CREDIT_DEBIT_NOTE_REGISTER": "direction=OUTWARD;counterparty=OPTIONAL;doc=note_type:text!,original_doc_number:text!,original_doc_date:date!,reason:text;line=",
-        "PURCHASE_REGISTER": "direction=INWARD;counterparty=REQUIRED;doc=payment_due_date:date;line=itc_eligibility:text",
-        "HO_COMMON_INPUT_SERVICE_INVOICE": "direction=INWARD;counterparty=REQUIRED;doc=isd_distribution_basis:text!,recipient_gstin:gstin!;line=",
-        "GTA_INVOICE_CONSIGNMENT_NOTE": "direction=INWARD;counterparty=OPTIONAL;doc=consignment_note_number:text!,consignment_note_date:date!,rcm_applicable:text!;line=",
-        "BILL_OF_ENTRY": "direction=INWARD;counterparty=FOREIGN;doc=be_number:text!,be_date:date!,port_code:text!;line=bcd_amount:money,social_welfare_surcharge:money",
-        "IRN_IRP_REGISTER": "direction=OUTWARD;counterparty=OPTIONAL;doc=irn:hash64!,ack_number:text!,ack_date:date!;line=",
-        "EWAY_BILL_OUTWARD_REGISTER": "direction=OUTWARD;counterparty=OPTIONAL;doc=ewb_number:text!,ewb_date:date!,transport_mode:text,vehicle_number:text;line=",
-        "ICEGATE_SHIPPING_BILL": "direction=OUTWARD;counterparty=FOREIGN;doc=shipping_bill_number:text!,shipping_bill_date:date!,port_code:text!,export_scheme:text;line=",
-        "ICEGATE_BILL_OF_ENTRY": "direction=INWARD;counterparty=FOREIGN;doc=be_number:text!,be_date:date!,port_code:text!;line=bcd_amount:money,social_welfare_surcharge:money",
-        "SEZ_BILL_OF_ENTRY": "direction=INWARD;counterparty=REQUIRED;doc=be_number:text!,be_date:date!,sez_unit_name:text;line=",
-    }.items()
-}
-
-#: Extraction specs of representative document types, by archetype.
-EXTRACTIONS = {
-    name: (archetype, extraction(text))
-    for name, (archetype, text) in {
-        "LUT": ("entitlement", 'authority=GSTN;fields=instrument_number:text!:"LUT ARN",validity:date_range!:"Validity"'),
-        "IEC_CERTIFICATE": ("entitlement", 'authority=DGFT;fields=instrument_number:text!:"IEC Number",valid_from:date!:"Date of Issue"'),
-        "SEZ_LETTER_OF_APPROVAL": ("entitlement", 'authority=DEV_COMMISSIONER;fields=instrument_number:text!:"LoA No.",validity:date_range!:"Validity Period"'),
-        "EPCG_LICENCE": ("entitlement", 'authority=DGFT;fields=instrument_number:text!:"EPCG Licence No.",valid_from:date!:"Date of Issue"'),
-        "AEO_CERTIFICATE": ("entitlement", 'authority=CUSTOMS;fields=instrument_number:text!:"AEO Certificate No.",validity:date_range!:"Validity"'),
-        "ITC_04_ACKNOWLEDGEMENT": ("proceeding", 'authority=GSTN;fields=reference_number:text!:"ITC-04 Filing Reference",event_date:date!:"ITC-04 Filing Date"'),
-        "RBI_COMPOUNDING_ORDER": ("proceeding", 'authority=RBI;fields=reference_number:text!:"Compounding Application No.",event_date:date!:"Date of Compounding Order",amount:money:"Compounding Amount Paid"'),
-        "CERTIFICATE_OF_INCORPORATION": ("master", 'fields=reference_number:text!:"Corporate Identification Number (CIN)",as_of_date:date!:"Date of Incorporation"'),
-        "SHAREHOLDING_PATTERN": ("master", 'fields=reference_number:text!:"Financial Year",as_of_date:date!:"As On Date";table_pattern="(?P<holder_name>(?:\\S+\\s+){0,5}?\\S+)\\s+(?P<shares>[\\d,]+)\\s+(?P<pct_current_fy>[\\d.]+)%\\s+(?P<pct_prior_fy>[\\d.]+)%\\s+(?P<pledged>Yes|No)";table_columns=holder_name:text,shares:money,pct_current_fy:money,pct_prior_fy:money,pledged:text'),
-        "RELATED_PARTY_DISCLOSURE_IND_AS_24": ("statement", 'fields=auditor:text!:"Auditors"'),
-        "DIRECTOR_SERVICE_AGREEMENT": ("narrative", "fields="),
-        "GTA_INVOICE_CONSIGNMENT_NOTE": ("transaction", 'fields=doc_number:text!:"Consignment Note (LR) No.",doc_date:date!:"Consignment Note Date",counterparty_gstin:gstin!:"GTA GSTIN",counterparty_name:text!:"GTA Name",taxable_value:money!:"Freight Charges",gst_amount:money!:"GST Payable under RCM"'),
-        "BILL_OF_ENTRY": ("transaction", 'fields=doc_number:text!:"Bill of Entry No.",doc_date:date!:"BoE Date",counterparty_name:text!:"Supplier",port_code:text!:"Port Code",hsn_sac:hsn!:"HSN Code",taxable_value:money!:"Assessable (Customs) Value",igst_amount:money!:"IGST"'),
-        "FORM_15CA_15CB": ("register", 'fields=form_15ca_ack_no:text!:"Form 15CA Acknowledgement No.",remittee_name:text!:"Remittee",remittance_amount_raw:text!:"Remittance Amount",nature_of_remittance:text:"Nature of Remittance",form_15cb_cert_no:text:"Form 15CB CA Certificate No.",classification:text:"Classification Under Income-tax Act"'),
-    }.items()
-}
+def _rows(name: str) -> list[list[str]]:
+    """The rows of a data file of this package."""
+    lines = resources.files(__package__).joinpath(name).read_text("utf-8").splitlines()
+    n = 1 if name.startswith("contracts") else 2
+    return [[x.strip() for x in line.split("|", n)] for line in lines if line and not line.startswith("#")]
+
+
+#: The contracts of the transaction types.
+CONTRACTS = {name: contract(text) for name, text in _rows("contracts.txt")}
+#: Document type -> (archetype, spec) of the types that are read from text.
+EXTRACTIONS = {name: (archetype, extraction(text)) for name, archetype, text in _rows("extractions.txt")}

@@ -8,7 +8,6 @@ from pyspark.sql.window import Window
 
 MAX_BYTES = 200 * 1024 * 1024
 EXTENSIONS = ("csv", "json", "ndjson", "pdf")
-BUCKETS = ("bronze", "silver", "schema")
 
 
 def files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = True) -> DataFrame:

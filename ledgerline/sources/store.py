@@ -1,21 +1,34 @@
 """A Parquet store committed by manifest (S-18 to S-21, U-14, C-08).
 
-A batch's rows are written under its own directory, then its manifest; readers
-join rows to manifests, so a batch is seen whole or not at all, and a retry of a
-batch that failed overwrites what no manifest names. Closures of live rows are
-appended as rows of their own, so nothing is rewritten. A tenant is a directory
-that carries the tenant's name; opening it under another name fails. This keeps
-mistakes apart; it is not an authorization boundary.
+A load stages its rows in folders of its attempt, which no other attempt shares,
+then publishes a manifest that names the attempt; readers take the rows of
+published attempts, so a batch is seen whole or not at all. What a failed attempt
+left stays unseen, and a batch that is published is never written again. Closures
+of live rows are appended as rows of their own, so nothing is rewritten. Ids are
+stored columns, never parts of paths that a reader would have to guess types from,
+and a manifest keeps the schemas that its batch was written with, so all columns of
+all batches are read without opening a file. A tenant is a directory that carries
+the tenant's name; opening it under another name fails. This keeps mistakes apart;
+it is not an authorization boundary.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MANIFEST = "batch_id string, entity_id string, document_type string, source_stream string, period_start date, period_end date, row_count long, content_hash string, status string, ready_at timestamp, superseded_by string"
-CLOSURE = "id string, superseded_at timestamp, valid_to date"
+MANIFEST = "batch_id string, entity_id string, document_type string, source_stream string, period_start date, period_end date, row_count long, content_hash string, status string, ready_at timestamp, superseded_by string, attempt string, schemas map<string,string>"
+CLOSURE = "id string, superseded_at timestamp, valid_to date, batch_id string, attempt string"
+#: Append-only histories that readers resolve themselves: approvals and effective dates are theirs to judge.
+HISTORIES = {
+    "tenant_setting": "setting_row_id string, setting_id string, entity_id string, gstin string, value_type string, value_numeric decimal(18,4), value_text string, value_boolean boolean, value_json string, unit string, version int, approval_state string, approved_by string, approved_at timestamp, effective_from date, effective_to date, source_reference string, recorded_at timestamp, superseded_at timestamp",
+    "gl_category_bridge": "bridge_id string, entity_id string, gstin string, gl_code string, ref02_category_code string, match_mode string, normalized_narration_pattern string, inclusion_terms array<string>, exclusion_terms array<string>, priority int, effective_from date, effective_to date, approval_state string, bridge_version string, source_reference string, recorded_at timestamp, superseded_at timestamp",
+    "ref02_notified_rcm_category": "category_code string, applicability_test string, conditions_json string, approval_state string, effective_from date, effective_to date, reference_version string, source_record_id string, source_version string, citation_reference string, recorded_at timestamp, superseded_at timestamp",
+}
 
 
 class TenantStore:
@@ -23,6 +36,7 @@ class TenantStore:
         if not tenant or not tenant.replace("_", "").isalnum():
             raise ValueError("a tenant is needed")
         self.spark, self.path, self.tenant = spark, f"{root.rstrip('/')}/{tenant}", tenant
+        self._attempts: dict[str, tuple[str, dict[str, str]]] = {}
         mark = f"{self.path}/tenant"
         if self._exists(mark):
             found = self.spark.read.text(mark).first()[0]
@@ -35,21 +49,60 @@ class TenantStore:
         place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return place.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(place)
 
-    def stage(self, table: str, batch_id: str, rows: DataFrame) -> None:
-        """Writes a batch's rows; nobody sees them before ``publish``."""
-        rows.drop("batch_id").write.mode("overwrite").parquet(f"{self.path}/silver/{table}/batch_id={batch_id}")
+    def own(self, path: str) -> str:
+        """S-16: a path that is read again must lie in this tenant's store, whatever a row says."""
+        if not path.startswith(f"{self.path}/") or ".." in path.split("/"):
+            raise PermissionError(f"{path} is not in the store of {self.tenant}")
+        return path
+
+    def attempt(self, batch_id: str) -> str:
+        """The name of the current attempt to load a batch; a new one after a failure or a publication."""
+        return self._attempts.setdefault(batch_id, (uuid.uuid4().hex, {}))[0]
+
+    def stage(self, table: str, batch_id: str, rows: DataFrame) -> DataFrame:
+        """Writes a batch's rows, which nobody sees before ``publish``, and reads them back."""
+        attempt = self.attempt(batch_id)
+        rows = rows.drop("attempt").withColumns({"batch_id": F.lit(batch_id), "attempt": F.lit(attempt)})
+        place = f"{self.path}/silver/{table}/{attempt}"
+        rows.write.mode("errorifexists").parquet(place)
+        self._attempts[batch_id][1][table] = rows.schema.json()
+        return self.spark.read.schema(rows.schema).parquet(place)
 
     def stage_closures(self, table: str, batch_id: str, closures: DataFrame) -> None:
-        closures.select("id", "superseded_at", "valid_to").write.mode("overwrite").parquet(f"{self.path}/closures/{table}/batch_id={batch_id}")
+        attempt = self.attempt(batch_id)
+        rows = closures.select(F.col("id").cast("string").alias("id"), F.col("superseded_at").cast("timestamp").alias("superseded_at"), F.col("valid_to").cast("date").alias("valid_to"))
+        rows.withColumns({"batch_id": F.lit(batch_id), "attempt": F.lit(attempt)}).write.mode("errorifexists").parquet(f"{self.path}/closures/{table}/{attempt}")
+
+    def work(self, batch_id: str, name: str, rows: DataFrame) -> DataFrame:
+        """A load's intermediate table, computed once; ``abandon`` or ``publish`` removes it."""
+        place = f"{self.path}/work/{self.attempt(batch_id)}/{name}"
+        rows.write.parquet(place)
+        return self.spark.read.schema(rows.schema).parquet(place)
+
+    def abandon(self, batch_id: str) -> None:
+        """Ends an attempt: its intermediate tables go, and whatever it staged stays unseen."""
+        attempt, _ = self._attempts.pop(batch_id, (None, {}))
+        if attempt:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/work/{attempt}")
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    def published(self, batch_id: str) -> bool:
+        return not self.manifest(batch_id).isEmpty()
 
     def publish(self, manifest: dict) -> bool:
         """The commit: a batch is published once; False when it was already there."""
-        place = f"{self.path}/manifest/batch={manifest['batch_id']}"
+        batch = str(manifest["batch_id"])
+        place = f"{self.path}/manifest/{folder_of(batch)}"
         if self._exists(place):
+            self.abandon(batch)
             return False
         schema = T._parse_datatype_string(MANIFEST)
-        row = tuple(manifest.get(f.name) for f in schema.fields)
+        self.attempt(batch)
+        attempt, schemas = self._attempts[batch]
+        given = manifest | {"batch_id": batch, "attempt": attempt, "schemas": schemas}
+        row = tuple(given.get(f.name) for f in schema.fields)
         self.spark.createDataFrame([row], schema).coalesce(1).write.mode("errorifexists").parquet(place)
+        self.abandon(batch)
         return True
 
     def manifests(self) -> DataFrame:
@@ -59,20 +112,36 @@ class TenantStore:
 
     def manifest(self, batch_id: str) -> DataFrame:
         """S-20."""
-        return self.manifests().where(F.col("batch_id") == batch_id)
+        return self.manifests().where(F.col("batch_id") == str(batch_id))
+
+    def schema(self, table: str) -> T.StructType | None:
+        """All columns that published batches of a table have; a handful of distinct schemas, one for each layout."""
+        found = self.manifests().select(F.col("schemas")[table].alias("s")).where("s is not null").distinct().orderBy("s").collect()
+        columns: dict[str, T.StructField] = {}
+        for row in found:
+            for f in T.StructType.fromJson(json.loads(row.s)).fields:
+                if columns.setdefault(f.name, f).dataType != f.dataType:
+                    raise TypeError(f"{table}.{f.name} was written as {columns[f.name].dataType.simpleString()} and as {f.dataType.simpleString()}")
+        return T.StructType([T.StructField(f.name, f.dataType) for f in columns.values()]) if found else None
+
+    def raw(self, table: str) -> DataFrame | None:
+        """The rows of published batches as they were written; null if the table has none."""
+        schema = self.schema(table)
+        if schema is None:
+            return None
+        rows = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.path}/silver/{table}")
+        return rows.join(self.manifests().select("batch_id", "attempt"), ["batch_id", "attempt"], "left_semi").drop("attempt")
 
     def rows(self, table: str, schema: str | T.StructType | None = None) -> DataFrame | None:
         """All versions in published batches with their closures applied; null if the table has none."""
-        place = f"{self.path}/silver/{table}"
-        if not self._exists(place):
+        own = self.raw(table)
+        if own is None:
             return self.spark.createDataFrame([], schema) if schema else None
-        own = self.spark.read.parquet(place).withColumn("batch_id", F.col("batch_id").cast("string"))
-        done = self.manifests().select("batch_id")
-        own = own.join(done, "batch_id", "left_semi")
         shut = f"{self.path}/closures/{table}"
         if not self._exists(shut):
             return own
-        ends = self.spark.read.parquet(shut).withColumn("batch_id", F.col("batch_id").cast("string")).join(done, "batch_id", "left_semi")
+        done = self.manifests().select("batch_id", "attempt")
+        ends = self.spark.read.schema(CLOSURE).option("recursiveFileLookup", "true").parquet(shut).join(done, ["batch_id", "attempt"], "left_semi")
         ends = ends.groupBy("id").agg(F.min_by("valid_to", "superseded_at").alias("_to"), F.min("superseded_at").alias("_at"))
         out = own.join(ends, "id", "left")
         return out.withColumns({"superseded_at": F.coalesce("superseded_at", "_at"), "valid_to": F.coalesce("_to", "valid_to")}).drop("_to", "_at")
@@ -87,6 +156,21 @@ class TenantStore:
         at = F.to_timestamp(F.lit(known))
         return None if rows is None else rows.where((F.col("recorded_at") <= at) & (F.col("superseded_at").isNull() | (F.col("superseded_at") > at)))
 
+    def record(self, history: str, rows: DataFrame) -> None:
+        """Appends rows to one of HISTORIES; columns that are not given are null."""
+        schema = T._parse_datatype_string(HISTORIES[history])
+        none = {f.name: F.lit(None) for f in schema.fields if f.name not in rows.columns}
+        rows.withColumns(none).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("append").parquet(f"{self.path}/gold/{history}")
+
+    def history(self, name: str) -> DataFrame:
+        place = f"{self.path}/gold/{name}"
+        return self.spark.read.schema(HISTORIES[name]).parquet(place) if self._exists(place) else self.spark.createDataFrame([], HISTORIES[name])
+
+
+def folder_of(batch_id: str) -> str:
+    """A folder name for any id: it holds neither separators nor the sign of a partition value."""
+    return "batch-" + batch_id.encode().hex()
+
 
 class NoDoorbell:
     """S-21: the default publisher; readers poll, so nothing is lost without it."""
@@ -101,9 +185,14 @@ class KafkaDoorbell:
     def __init__(self, spark: SparkSession, servers: str, topic: str):
         self.spark, self.servers, self.topic = spark, servers, topic
 
+    @staticmethod
+    def message(manifest: dict) -> tuple[str, str]:
+        """Key and JSON value; dates and times as ISO text."""
+        return str(manifest["batch_id"]), json.dumps(manifest, default=lambda v: v.isoformat() if hasattr(v, "isoformat") else str(v), sort_keys=True)
+
     def ring(self, manifest: dict) -> None:
         try:
-            row = self.spark.createDataFrame([(str(manifest["batch_id"]), str(manifest))], "key string, value string")
+            row = self.spark.createDataFrame([self.message(manifest)], "key string, value string")
             row.write.format("kafka").option("kafka.bootstrap.servers", self.servers).option("topic", self.topic).save()
         except Exception:  # noqa: BLE001  a doorbell is a hint
             return None

@@ -11,8 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+
 from ledgerline.operators.readers import VERSION
 from ledgerline.sources.store import MANIFEST
 
@@ -37,20 +39,15 @@ def poll(stream: DataFrame, executions: str, versions: dict[str, str], handle: C
         place = spark._jvm.org.apache.hadoop.fs.Path(executions)
         ran = spark.read.schema(schema).parquet(executions) if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place) else spark.createDataFrame([], schema)
         for name, value in zip(VERSION, values, strict=True):
-            ran = ran.where(f"{name} = '{value}'")
+            ran = ran.where(F.col(name) == F.lit(value))
         fresh = batches.where("status = 'READY' and superseded_by is null").dropDuplicates(["batch_id"]).join(ran.select("batch_id"), "batch_id", "left_anti")
         fresh = fresh.persist()  # a micro-batch of manifests
         try:
             handle(fresh, epoch)
-            done = fresh.select("batch_id", *[_lit(v).alias(n) for n, v in zip(VERSION, values, strict=True)])
+            done = fresh.select("batch_id", *[F.lit(v).alias(n) for n, v in zip(VERSION, values, strict=True)])
             done.write.mode("append").parquet(executions)
         finally:
             fresh.unpersist()
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
-
-def _lit(value: str):
-    from pyspark.sql import functions as F
-
-    return F.lit(value)
