@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+#: What a cell is trimmed of.
+BLANKS = " \t\n\x0b\f\r"
 WHOLE = r"^[+-]?\d+$"
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 HSN, HASH64 = r"^[0-9]{4,8}$", r"^[0-9a-fA-F]{64}$"
@@ -24,7 +26,8 @@ TRUE, FALSE = ("true", "t", "yes", "y", "1"), ("false", "f", "no", "n", "0")
 def cell(c: Column | str) -> Column:
     """P-01: trimmed of white space; empty is null."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.nullif(F.regexp_replace(c, r"^\s+|\s+$", ""), F.lit(""))
+    trimmed = F.btrim(c, F.lit(BLANKS))
+    return F.when(trimmed != "", trimmed)
 
 
 def number(c: Column, precision: int = 18, scale: int = 2) -> Column:
@@ -62,7 +65,8 @@ def boolean(c: Column) -> Column:
 
 def gstin(c: Column) -> Column:
     """P-11: upper case without blanks."""
-    return F.nullif(F.upper(F.regexp_replace(c, r"\s", "")), F.lit(""))
+    number = F.upper(F.regexp_replace(c, r"\s", ""))
+    return F.when(number != "", number)
 
 
 def currency(c: Column) -> Column:

@@ -143,7 +143,7 @@ def payroll_rows(docs: DataFrame, pages: str = "pages", place: str | None = None
     chunks = docs.select("*", F.posexplode(F.split(body, r"(?=\b(?:EMP|CONS)\d{4}\b)")).alias("_at", "_chunk")).where(F.col("_chunk").rlike(r"^(EMP|CONS)\d{4}"))
     ref = F.regexp_extract("_chunk", r"^(?:EMP|CONS)\d{4}", 0)
     rest = F.trim(F.regexp_replace(F.substr("_chunk", F.length(ref) + 1), r"\s+", " "))
-    trail = r"(\S+)\s+([\d,]+)\s+([\d,]+)\s*$"
+    trail = r"\b(\d{3}[A-Z]?)\s+([\d,]+)\s+([\d,]+)\s*$"
     out = chunks.withColumns({"ref_no": ref, "_rest": rest}).where(F.col("_rest").rlike(trail))
     middle = F.trim(F.regexp_replace("_rest", trail, ""))
     out = out.withColumn("_middle", middle).where(F.col("_middle").rlike(r"\b(Employee|Contractor|Professional)\b"))

@@ -11,25 +11,23 @@ from ledgerline.plans.registers import SALES_HEADER, SALES_LINE, VOCABULARIES
 
 _LINE_KINDS = {"line_number": "int", "hsn_sac": "hsn", "quantity": "qty", "unit_price": "money", "taxable_value": "money", "gst_rate": "rate", "cgst_amount": "money", "sgst_amount": "money", "igst_amount": "money", "cess_amount": "money", "itc_amount": "money", "description": "text", "uom": "text"}
 
+_ZERO_IF_BLANK = ("cgst_amount", "sgst_amount", "igst_amount", "cess_amount", "itc_amount")
+
 
 def transaction_rows(rows: DataFrame, contract: Contract, rule: str = "file") -> DataFrame:
     """P-08 to P-14: typed cells of a transaction file, with ``problems``: all that is wrong with each row."""
-    cell = lambda n: coerce.cell(F.col("cells")[n])
-    out, tests = {}, []
-    for name in REQUIRED:
-        tests.append(F.when(cell(name).isNull(), f"{name}: required"))
-    kinds = {"doc_date": "date", **_LINE_KINDS, **{a.name: a.kind for a in contract.doc + contract.line}}
-    for name, kind in kinds.items():
-        value, bad = coerce.attribute(kind, cell(name))
-        if name in ("cgst_amount", "sgst_amount", "igst_amount", "cess_amount", "itc_amount"):
-            value = F.when(cell(name).isNull(), F.lit(0).cast("decimal(18,2)")).otherwise(value)
-        out[name] = value
-        tests.append(F.when(bad, F.concat(F.lit(f"{name}: not a {kind}: "), cell(name))))
-    for a in contract.doc + contract.line:
-        if a.required:
-            tests.append(F.when(cell(a.name).isNull(), f"{a.name}: required"))
-    gstin = coerce.gstin(F.col("cells")["counterparty_gstin"])
-    out |= {"doc_number": cell("doc_number"), "counterparty_gstin": gstin, "counterparty_name": cell("counterparty_name"), "currency": coerce.currency(F.col("cells")["currency"])}
+    own = contract.doc + contract.line
+    kinds = {"doc_date": "date", **_LINE_KINDS, **{a.name: a.kind for a in own}}
+    names = dict.fromkeys([*REQUIRED, *kinds, "counterparty_name", "currency"])
+    # cells and their values are columns of their own, so that no test computes them again
+    rows = rows.withColumns({f"_t_{n}": coerce.cell(F.col("cells")[n]) for n in names} | {"_t_counterparty_gstin": coerce.gstin(F.col("cells")["counterparty_gstin"])})
+    rows = rows.withColumns({f"_v_{n}": coerce.attribute(k, F.col(f"_t_{n}"))[0] for n, k in kinds.items()})
+    cell = lambda n: F.col(f"_t_{n}")
+    value = lambda n: F.col(f"_v_{n}")
+    tests = [F.when(cell(n).isNull(), f"{n}: required") for n in REQUIRED]
+    tests += [F.when(cell(n).isNotNull() & value(n).isNull(), F.concat(F.lit(f"{n}: not a {k}: "), cell(n))) for n, k in kinds.items() if k != "text"]
+    tests += [F.when(cell(a.name).isNull(), f"{a.name}: required") for a in own if a.required]
+    gstin = F.col("_t_counterparty_gstin")
     if contract.counterparty == "REQUIRED":
         tests.append(F.when(gstin.isNull(), "counterparty_gstin: required"))
     if contract.counterparty == "FOREIGN":
@@ -37,9 +35,12 @@ def transaction_rows(rows: DataFrame, contract: Contract, rule: str = "file") ->
         tests.append(F.when(cell("counterparty_name").isNull(), "counterparty_name: required"))
     else:
         tests.append(F.when(~gstin.rlike(coerce.GSTIN[rule]), "counterparty_gstin: wrong shape"))
-    typed = rows.withColumns(out)
+    zero = lambda n: F.when(cell(n).isNull(), F.lit(0).cast("decimal(18,2)")).otherwise(value(n)) if n in _ZERO_IF_BLANK else value(n)
+    out = {n: zero(n) for n in kinds} | {"doc_number": cell("doc_number"), "counterparty_gstin": gstin, "counterparty_name": cell("counterparty_name"), "currency": coerce.currency(F.col("cells")["currency"])}
     clash = coerce.tax_heads_clash(F.col("igst_amount"), F.col("cgst_amount"), F.col("sgst_amount"))
-    return typed.withColumn("problems", F.array_compact(F.array(*tests, F.when(clash, "igst excludes cgst and sgst"))))
+    typed = rows.withColumns(out)
+    typed = typed.withColumn("problems", F.array_compact(F.array(*tests, F.when(clash, "igst excludes cgst and sgst"))))
+    return typed.drop(*[c for c in typed.columns if c.startswith(("_t_", "_v_"))])
 
 
 def transactions(rows: DataFrame, contract: Contract, file: str = "path") -> tuple[DataFrame, DataFrame, DataFrame]:

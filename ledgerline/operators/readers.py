@@ -159,8 +159,8 @@ def resolved_settings(settings: DataFrame, scopes: list[str], day: Column, key:
     """W-04, V-18, an extension: the setting in force with the most specific scope, then the highest priority."""
     rank = F.array_position(F.array(*[F.lit(s) for s in scopes]), F.col("scope"))
     ok = settings.where((rank > 0) & day.between(F.col("valid_from"), F.coalesce("valid_to", F.lit("9999-12-31").cast("date"))))
-    w = Window.partitionBy(key).orderBy(rank, F.desc("priority"), F.desc("version"))
-    return ok.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    best = ok.groupBy(key).agg(F.max_by(F.struct(*settings.columns), F.struct(-rank, "priority", "version")).alias("_setting"))
+    return best.select("_setting.*")
 
 
 def data_quality(batches: DataFrame) -> DataFrame:
@@ -183,8 +183,8 @@ def open_actions(notices: DataFrame, today: Column) -> DataFrame:
 
 def latest_pins(pins: DataFrame) -> DataFrame:
     """V-21, W-01: the latest pin of each document type."""
-    w = Window.partitionBy("doc_type_code").orderBy(F.desc("pinned_at"), F.desc("id"))
-    return pins.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    last = pins.groupBy("doc_type_code").agg(F.max_by(F.struct(*pins.columns), F.struct("pinned_at", "id")).alias("_pin"))  # combines before the shuffle
+    return last.select("_pin.*")
 
 
 def rolled_forward(pins: DataFrame, release: DataFrame, now: Column) -> DataFrame:
@@ -202,15 +202,20 @@ def lineage(facts: DataFrame, ledger: DataFrame) -> DataFrame:
 def overlapping(windows: DataFrame, key: str, first: str, last: str, row_id: str) -> DataFrame:
     """J-11, Q-10, V-20: pairs of windows of one key that overlap (closed bounds).
 
-    A window overlaps an earlier one just when it starts no later than the latest
-    end before it; only those rows and the rows they meet are joined.
+    Windows are cut into spans of time, and windows of one span and key are joined: what a
+    window meets depends on the spans it covers, not on how many windows its key has. A pair
+    counts in the span in which the later of the two starts. Spans are as long as the
+    average window, so a window covers two of them or so.
     """
-    w = Window.partitionBy(key).orderBy(first, row_id).rowsBetween(Window.unboundedPreceding, -1)
-    late = windows.withColumn("_reach", F.max(last).over(w)).where(F.col("_reach") >= F.col(first))
-    a = windows.select(F.col(key), F.col(row_id).alias("a_id"), F.col(first).alias("a_from"), F.col(last).alias("a_to"))
-    b = late.select(F.col(key), F.col(row_id).alias("b_id"), F.col(first).alias("b_from"), F.col(last).alias("b_to"))
+    day = lambda c: F.unix_date(F.col(c).cast("date"))
+    average = windows.agg(F.avg(day(last) - day(first))).first()[0]
+    span = max(1, int(average or 0) + 1)
+    of = lambda c: F.floor(day(c) / span)
+    held = windows.where(F.col(first) <= F.col(last))
+    a = held.select(F.col(key), F.explode(F.sequence(of(first), of(last))).alias("_span"), F.col(row_id).alias("a_id"), F.col(first).alias("a_from"), F.col(last).alias("a_to"))
+    b = held.select(F.col(key), of(first).alias("_span"), F.col(row_id).alias("b_id"), F.col(first).alias("b_from"), F.col(last).alias("b_to"))
     before = (F.col("a_from") < F.col("b_from")) | ((F.col("a_from") == F.col("b_from")) & (F.col("a_id") < F.col("b_id")))
-    return a.join(b, key).where(before & (F.col("a_to") >= F.col("b_from")))
+    return a.join(b, [key, "_span"]).where(before & (F.col("a_to") >= F.col("b_from"))).drop("_span")
 
 
 def as_of(events: DataFrame, states: DataFrame, key: list[str], event_time: str, state_time: str, value: list[str]) -> DataFrame:

@@ -10,9 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerline.functions import coerce
-from ledgerline.operators.readers import as_of
+
+#: As many steps of thresholds are broadcast at most.
+STEPS = 10_000
 
 
 def _found(rows: DataFrame, check: str) -> DataFrame:
@@ -111,8 +114,13 @@ def above_threshold_without(invoices: DataFrame, references: DataFrame, threshol
 
     thresholds: scope, effective_from, threshold; invoices: scope, invoice_no, invoice_date, value.
     """
-    judged = as_of(invoices, thresholds, ["scope"], "invoice_date", "effective_from", ["threshold"])
-    over = judged.where(F.col("threshold").isNotNull() & (F.col("value") >= F.col("threshold")))
+    key = Window.partitionBy("scope").orderBy("effective_from")
+    steps = thresholds.select("scope", F.col("effective_from").alias("_from"), F.lead("effective_from").over(key).alias("_until"), "threshold")
+    # the steps of a published threshold are a handful; past the bound Spark joins by scope
+    few = steps.limit(STEPS + 1).count() <= STEPS
+    since = (F.col("invoice_date") >= F.col("_from")) & (F.col("_until").isNull() | (F.col("invoice_date") < F.col("_until")))
+    judged = invoices.join(F.broadcast(steps) if few else steps, "scope").where(since).drop("_from", "_until")
+    over = judged.where(F.col("value") >= F.col("threshold"))
     return _found(over.join(references.select("invoice_no"), "invoice_no", "left_anti"), check)
 
 

@@ -130,18 +130,13 @@ def upsert_counters(spark, sf):
 
 
 @query(f"""WITH {PURCHASES} SELECT invoice_no, row_hash, line, CASE WHEN EXISTS (SELECT 1 FROM purchases l WHERE l.valid_from < DATE '{CUT}' AND l.row_hash = p.row_hash AND l.gstin = p.gstin) THEN 'unchanged' ELSE 'inserted' END AS action
-  FROM purchases p WHERE l_suppkey % 2 = 0""")
+  FROM purchases p""")
 def content_upsert(spark, sf):
     rows = purchases(spark, sf).withColumn("tax_period", F.lit("2024-04"))
-    return upsert.content(rows.where("l_suppkey % 2 = 0"), rows.where(F.col("valid_from") < CUT)).select("invoice_no", "row_hash", "line", "action")
+    return upsert.content(rows, rows.where(F.col("valid_from") < CUT)).select("invoice_no", "row_hash", "line", "action")
 
 
-@query(f"""WITH {PURCHASES} SELECT invoice_no, row_hash, line, CASE WHEN EXISTS (SELECT 1 FROM purchases l WHERE l.valid_from < DATE '{CUT}' AND l.row_hash = p.row_hash AND l.gstin = p.gstin) THEN 'unchanged' ELSE 'inserted' END AS action
-  FROM purchases p""")
-def content_upsert_all(spark, sf):
-    """content_upsert with every row of the file."""
-    rows = purchases(spark, sf).withColumn("tax_period", F.lit("2024-04"))
-    return upsert.content(rows, rows.where(F.col("valid_from") < CUT)).select("invoice_no", "row_hash", "line", "action")
+QUERIES["content_upsert_all"], ORACLES["content_upsert_all"] = content_upsert, ORACLES["content_upsert"]
 
 
 @query(f"""WITH {PURCHASES} SELECT invoice_no, supplier_gstin, line, lag(line) OVER w AS supersedes, lead(valid_from) OVER w AS superseded_at FROM purchases
@@ -377,17 +372,13 @@ def _instruments(spark, sf):
 
 
 def _supplies(spark, sf):
-    return _all_supplies(spark, sf).where("supply_id % 10 = 0")
-
-
-def _all_supplies(spark, sf):
     o = t(spark, sf, "orders")
     return o.select(F.col("o_orderkey").alias("supply_id"), (F.col("o_custkey") % 20).alias("entity_id"), F.lit("LUT").alias("instrument_type"), F.format_string("%08d", F.col("o_orderkey") * 7919 % 100000000).alias("hsn"), F.to_date("o_orderdate").alias("day"))
 
 
 _ENTITLED = """i AS (SELECT p_partkey AS id, p_partkey % 20 AS e, DATE '1995-01-01' + (p_partkey % 700)::INT AS f, DATE '1995-01-01' + (p_partkey % 700)::INT + 500 AS u,
   CASE WHEN p_partkey % 50 <> 0 THEN left(printf('%08d', p_partkey * 7919 % 100000000), ((p_size % 4) + 1) * 2) END AS code FROM part WHERE p_partkey % 6 <> 0),
-s AS (SELECT o_orderkey AS supply_id, o_custkey % 20 AS e, printf('%08d', o_orderkey * 7919 % 100000000) AS hsn, o_orderdate::DATE AS day FROM orders WHERE o_orderkey % 10 = 0),
+s AS (SELECT o_orderkey AS supply_id, o_custkey % 20 AS e, printf('%08d', o_orderkey * 7919 % 100000000) AS hsn, o_orderdate::DATE AS day FROM orders),
 m AS (SELECT s.supply_id, i.id, i.f FROM s JOIN i ON s.e = i.e AND s.day BETWEEN i.f AND i.u AND (i.code IS NULL OR starts_with(s.hsn, i.code)))"""
 
 
@@ -401,19 +392,8 @@ def is_entitled(spark, sf):
     return readers.is_entitled(_supplies(spark, sf), _instruments(spark, sf)).select("supply_id", "entitled")
 
 
-_ALL_ENTITLED = _ENTITLED.replace(" WHERE o_orderkey % 10 = 0", "")
-
-
-@query(f"WITH {_ALL_ENTITLED} SELECT supply_id, id AS instrument_id, row_number() OVER (PARTITION BY supply_id ORDER BY f DESC, id) AS rank FROM m")
-def entitlement_asof_all(spark, sf):
-    """entitlement_asof for every order."""
-    return readers.entitlements(_all_supplies(spark, sf), _instruments(spark, sf)).select("supply_id", "instrument_id", F.col("rank").cast("long").alias("rank"))
-
-
-@query(f"WITH {_ALL_ENTITLED} SELECT supply_id, EXISTS (SELECT 1 FROM m WHERE m.supply_id = s.supply_id) AS entitled FROM s")
-def is_entitled_all(spark, sf):
-    """is_entitled for every order."""
-    return readers.is_entitled(_all_supplies(spark, sf), _instruments(spark, sf)).select("supply_id", "entitled")
+for _name in ("entitlement_asof", "is_entitled"):  # the names under which the whole tables were first asked
+    QUERIES[f"{_name}_all"], ORACLES[f"{_name}_all"] = QUERIES[_name], ORACLES[_name]
 
 
 @query("""SELECT p_partkey, array_to_string(list_distinct_sorted, ',') AS prefixes FROM (SELECT p_partkey, list_sort(list_distinct(list_append([left(c, n) FOR n IN [2, 4, 6, 8] IF n <= greatest(2, length(c))], c))) AS list_distinct_sorted

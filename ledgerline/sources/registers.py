@@ -15,7 +15,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerline.functions import coerce, hashing
 from ledgerline.plans.registers import Column as Spec
@@ -105,7 +104,9 @@ def typed(rows: DataFrame, columns: tuple[Spec, ...], cell=lambda name: F.col("c
     """
     raw = {c.name: coerce.cell(cell(c.name)) for c in columns}
     trimmed = rows.withColumns({f"_t_{n}": v for n, v in raw.items()})
+    trimmed = trimmed.withColumns({f"_v_{c.name}": coerce.KINDS[c.kind](F.col(f"_t_{c.name}")) for c in columns if c.kind != "text"})
     t = lambda c: F.col(f"_t_{c.name}")
+    v = lambda c: F.col(f"_v_{c.name}") if c.kind != "text" else t(c)
     needed = [c for c in columns if c.required]
     problem = F.col("problem") if "problem" in rows.columns else F.lit(None).cast("string")
     tests: list[Column] = [F.when(problem.isNotNull(), F.struct(F.lit(None).cast("string").alias("column"), problem.alias("message")))]
@@ -115,15 +116,15 @@ def typed(rows: DataFrame, columns: tuple[Spec, ...], cell=lambda name: F.col("c
     for c in columns:
         if c.kind != "text":
             message = F.concat(F.lit(f"{c.name}: not a {c.kind}: "), t(c))
-            tests.append(F.when(coerce.bad(c.kind, t(c)), F.struct(F.lit(c.name).alias("column"), message.alias("message"))))
+            tests.append(F.when(t(c).isNotNull() & v(c).isNull(), F.struct(F.lit(c.name).alias("column"), message.alias("message"))))
     out = trimmed.withColumn("reject", F.coalesce(*tests)).withColumn("row_hash", hashing.row_hash(*[f"_t_{c.name}" for c in columns]))
-    return out.withColumns({c.name: coerce.KINDS[c.kind](t(c)) for c in columns}).drop(*[f"_t_{c.name}" for c in columns])
+    return out.withColumns({c.name: v(c) for c in columns}).drop(*[f"_{x}_{c.name}" for c in columns for x in "tv"])
 
 
 def collapsed(rows: DataFrame, file: str = "path") -> DataFrame:
     """A-04, U-06: of a file's rows with equal hash the first, with ``copies``; before any upsert."""
-    w = Window.partitionBy(file, "row_hash")
-    return rows.withColumn("copies", F.count(F.lit(1)).over(w)).withColumn("_n", F.row_number().over(w.orderBy("line"))).where("_n = 1").drop("_n")
+    first = rows.groupBy(file, "row_hash").agg(F.min_by(F.struct(*[c for c in rows.columns if c not in (file, "row_hash")]), "line").alias("_row"), F.count(F.lit(1)).alias("copies"))
+    return first.select(file, "row_hash", "_row.*", "copies").select(*rows.columns, "copies")
 
 
 def read(spark: SparkSession, files: DataFrame, register: Register, form: str = "CSV") -> tuple[DataFrame, DataFrame, DataFrame]:
