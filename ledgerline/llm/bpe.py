@@ -9,7 +9,8 @@ Decoding concatenates vocabulary strings and reads the bytes as UTF-8.
 
 A null text counts as empty and gives no ids. Rows are independent: repeated
 rows, any id, null or not, and extra columns pass unchanged; an empty table
-gives an empty table.
+gives an empty table. A column that has the result's name stays too: the result
+takes the next free name, with underscores appended.
 """
 
 from __future__ import annotations
@@ -89,8 +90,17 @@ def pairs(path: str) -> BytePairs:
     return BytePairs(path)
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, or the first that the table doesn't have, as Spark compares names."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def encode(docs: DataFrame, text: str = "text", into: str = "ids", vocabulary: str | None = None) -> DataFrame:
     """Adds column ``into``, array<int>: the ids of each text."""
+    into = _free(docs, into)
     path = vocabulary or words.default_vocabulary()
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -105,6 +115,7 @@ def encode(docs: DataFrame, text: str = "text", into: str = "ids", vocabulary: s
 
 def decode(docs: DataFrame, ids: str = "ids", into: str = "decoded", vocabulary: str | None = None) -> DataFrame:
     """Adds column ``into``, string: the text of each list of ids; null counts as an empty list."""
+    into = _free(docs, into)
     path = vocabulary or words.default_vocabulary()
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -56,7 +56,31 @@ TEMPLATES = {
         ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
     "zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable
         for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose,
-        including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions""",
+        including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+        1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use
+        this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+        2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+        3. This notice may not be removed or altered from any source distribution.""",
+    "bsd-2-clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions
+        and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of
+        conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS
+        SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT
+        NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT
+        SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+        DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+        INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING
+        NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH
+        DAMAGE.""",
+    "bsd-3-clause:third": """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission.""",
+    "mpl-2.0:header": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "lgpl-2.1:header": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General
+        Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later
+        version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more
+        details.""",
     "apache-2.0:header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
         with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by
         applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT

@@ -15,7 +15,10 @@ the counts of all blocks and answers each block with the totals of its
 n-grams, from which the block compiles its part of the automaton and scores its
 documents. What is shuffled grows with the distinct n-grams of the blocks, a
 frequent n-gram costs one entry a block, and all steps are keyed by hashes or
-blocks, so there are no hot keys. Hashes of n-grams have 56 bits.
+blocks, so there are no hot keys. There are as many buckets as keep one at about
+BUCKET_MB, whatever the size of the corpus: a worker holds one bucket or one block
+at a time. Hashes of n-grams have 56 bits: of V distinct n-grams V * V / 2**57 pairs
+share a hash (7 of a billion n-grams), and such n-grams share their counts.
 
 A null text counts as empty: one end token. Null ids count as the empty text
 for the fold. Repeated rows are scored alike; extra columns don't matter; an
@@ -39,6 +42,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm import common, words
 
 MU, BLOCK_TOKENS = 1000.0, 1_000_000
+#: Aim for the compressed n-grams of one bucket and order; packed n-grams take about GRAMS times the bytes of their text.
+BUCKET_MB, GRAMS = 32, 1.3
 KEY_BITS = np.uint64(56)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD))
 END = b" "  # no word holds a blank
@@ -120,7 +125,7 @@ def blocks(docs: DataFrame, buckets: int, block_tokens: int = BLOCK_TOKENS) -> D
                         out.append(row(block=name, n=n, grams=j - i, bucket=b, keys=_planes(np.diff(keys[i:j], prepend=np.uint64(0))), counts=_planes(counts[i:j])))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-        for batch in batches:
+        for batch in common.lean(batches, "lm", _hash.clear):
             for i in range(batch.num_rows):
                 found = tokens(batch.column(1)[i].as_py())
                 ids.append(batch.column(0)[i].as_py())
@@ -152,6 +157,8 @@ def totals(grams: DataFrame) -> DataFrame:
         out = [(key[0].as_py(), key[1].as_py(), r["block"], _planes(sums[number[e - len(k) : e]]), None, None, None, None) for r, k, e in zip(rows, keys, ends, strict=True)]
         out.append((key[0].as_py(), key[1].as_py(), None, None, int((sums > 0).sum()), int(sums.sum()), int((sums == 1).sum()), int((sums == 2).sum())))
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), *[pa.int64()] * 4]
+        del rows, keys, number, distinct, sums
+        common.give_back()
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], [c.split()[0] for c in TOTALS.split(", ")])
 
     return grams.groupBy("n", "bucket").applyInArrow(run, TOTALS)
@@ -242,7 +249,10 @@ def _aligned(keys: np.ndarray, totals: list[np.ndarray]) -> np.ndarray:
 def score(docs: DataFrame, mu: float = MU, buckets: int | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Learns from the rows of (doc_id, text, held_out) that aren't held out and scores all."""
     spark = docs.sparkSession
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not buckets:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        # both orders share the bytes; at least a bucket for each task that could run
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size * GRAMS / 2 / (BUCKET_MB << 20)) + 1)
     cut = common.stored(blocks(docs, buckets, block_tokens), "lm_blocks", by="n")
     sums = common.stored(totals(cut.where("n > 0").select("n", "bucket", "block", "keys", "counts")), "lm_totals")
     for n in (1, 2):

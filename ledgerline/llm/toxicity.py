@@ -11,9 +11,13 @@ most weights are exactly zero and the model that goes to the tasks is compact;
 The classifier is fitted on at most ``max_train`` labelled rows, those with the
 smallest hashes of their ids; scoring covers every row and whole text.
 Only texts are inputs of a score. Null texts count as empty and get the bias
-alone. Null labels are ignored; of repeated labels of an id the largest counts.
-Without labels of both kinds the score is the share of label 1 (0 without any).
-Repeated rows and null ids are scored like others; extra columns don't matter.
+alone. Null labels are ignored; of repeated labels of an id the largest counts,
+and of rows that repeat a labelled id one text is learned (the smallest hash), so
+the one task that fits holds ``max_train`` rows of at most 2**BITS features each,
+whatever the tables repeat. Without labels of both kinds the score is the share of
+label 1 (0 without any). A very long text has no more than 2**BITS features.
+Repeated rows and null ids are scored like others; extra columns don't matter; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -130,6 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tup
     share = min(1.0, 2 * max_train / max(1, known.count()))
     chosen = known.where(F.pmod(mark, F.lit(1_000_003)) <= share * 1_000_003).orderBy(mark, "doc_id").limit(max_train)
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    sample = sample.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("doc_id", "toxic", "t.text")
     model = sample.repartition(1).sortWithinPartitions(mark, "doc_id", "text").select("text", "toxic").mapInArrow(fit, "at binary, weights binary, bias double").first()
     return (bytes(model["at"]), bytes(model["weights"]), model["bias"]) if model else (b"", b"", -35.0)
 
