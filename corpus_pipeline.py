@@ -2,7 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and works on everything its predecessor
 kept; its result is written as Parquet and read again as the next stage's docs.
-All but the last return the columns of documents.
+All but the last return the columns of documents, whatever others there are.
+
+Null texts count as empty everywhere: they are one text for the exact and the near
+stage, so one of them stays, and encode to no ids. Null ids are documents too: of
+equal texts one with an id stays before one without. Rows that repeat id and text
+are one document. Null source or lang is a value of its own. Very long texts are
+read whole. Of ties the largest id stays in the exact stage, the smallest in the
+near stage. An empty table passes all stages; without labels nothing is rejected.
 """
 
 from __future__ import annotations
