@@ -122,8 +122,8 @@ def test_money_and_dates_without_colons(spark):
 
 
 def test_shareholdings(spark):
-    page = "Financial Year: 2024-25\nAs On Date: 31 March 2025\nName Shares % %\nArvind Rao\nDeshmukh 18,50,000\n37.00% 36.50% No\nMeera Nair 10 1.5% 2% Yes\nTotal 100%"
-    out = archetypes.extracted(pages(spark, [page], ["Financial Year: 2024-25\nAs On Date: 31 March 2025\nno rows"]), "SHAREHOLDING_PATTERN")
+    page = "Financial Year: 2024-25 (as on 31 March 2025)\nName Shares % %\nArvind Rao\nDeshmukh 18,50,000\n37.00% 36.50% No\nMeera Nair 10 1.5% 2% Yes\nTotal 100%"
+    out = archetypes.extracted(pages(spark, [page], ["Financial Year: 2024-25 (as on 31 March 2025)\nno rows"]), "SHAREHOLDING_PATTERN")
     facts = sorted((r.holder_name, r.valid_from, r.valid_to, r.pct_holding, r.shares, r.pledged) for r in archetypes.shareholdings(out).collect())
     assert [f[1:4] for f in facts if f[0].endswith("Deshmukh")] == [(dt.date(2023, 4, 1), dt.date(2024, 3, 31), Decimal("36.50")), (dt.date(2024, 4, 1), dt.date(2025, 3, 31), Decimal("37.00"))]
     assert len(facts) == 4 and facts[-1][5] is True and facts[0][4] == 1850000

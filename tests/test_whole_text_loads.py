@@ -50,7 +50,7 @@ def test_remittance(spark, store):
 
 
 def test_holders(spark, store):
-    text = "Financial Year: 2024-25\nAs On Date: 31 March 2025\nName Shares % %\nArvind Rao\nDeshmukh 18,50,000\n{}% 36.50% No\nMeera Nair 10 1.5% 2% Yes\nTotal 100%"
+    text = "Financial Year: 2024-25 (as on 31 March 2025)\nName Shares % %\nArvind Rao\nDeshmukh 18,50,000\n{}% 36.50% No\nMeera Nair 10 1.5% 2% Yes\nTotal 100%"
     for n, share in ((1, "37.00"), (2, "38.00")):
         assert load.load(store, docs(spark, text.format(share)), up("SHAREHOLDING_PATTERN", n)).status == "ACCEPTED"
     facts = views.view(store, "v1_shareholding_pattern_holder")
