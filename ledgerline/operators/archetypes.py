@@ -135,7 +135,8 @@ def transaction_row(docs: DataFrame, doc_type: str) -> DataFrame:
     else:
         cells |= {"be_number": _fact("doc_number"), "be_date": _fact("doc_date"), "port_code": _fact("port_code")}
     pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in cells.items()])
-    return docs.where("outcome = 'EXTRACTED'").select(F.col("doc_id").alias("path"), F.lit(2).alias("line"), F.map_from_entries(pairs).alias("cells"))
+    found = docs.where("outcome = 'EXTRACTED'").select("doc_id", F.explode(F.array("facts")).alias("facts"))  # explode: the look-ups are not repeated for each cell
+    return found.select(F.col("doc_id").alias("path"), F.lit(2).alias("line"), F.map_from_entries(pairs).alias("cells"))
 
 
 def single_document_batches(records: DataFrame, document_type: str, day: str) -> DataFrame:

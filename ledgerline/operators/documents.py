@@ -19,7 +19,8 @@ def transaction_rows(rows: DataFrame, contract: Contract, rule: str = "file") ->
     own = contract.doc + contract.line
     kinds = {"doc_date": "date", **_LINE_KINDS, **{a.name: a.kind for a in own}}
     names = dict.fromkeys([*REQUIRED, *kinds, "counterparty_name", "currency"])
-    # cells and their values are columns of their own, so that no test computes them again
+    # cells and their values are columns of their own, so that no test computes them again; explode: nor what the cells come from
+    rows = rows.withColumn("cells", F.explode(F.array("cells")))
     rows = rows.withColumns({f"_t_{n}": coerce.cell(F.col("cells")[n]) for n in names} | {"_t_counterparty_gstin": coerce.gstin(F.col("cells")["counterparty_gstin"])})
     rows = rows.withColumns({f"_v_{n}": coerce.attribute(k, F.col(f"_t_{n}"))[0] for n, k in kinds.items()})
     cell = lambda n: F.col(f"_t_{n}")
