@@ -142,9 +142,10 @@ def broken_rules(spark, sf):
 def party_rules(spark, sf):
     """P-11, P-12: a required party without a number, and numbers of a wrong shape."""
     raw = F.when(F.col("s_suppkey") % 3 == 0, " ").when(F.col("s_suppkey") % 3 == 1, "29 aaaaa").otherwise("29 aaaaa0000a1z5")
-    rows = t(spark, sf, "supplier").select("s_suppkey", F.create_map(F.lit("counterparty_gstin"), raw).alias("cells"))
-    found = documents.transaction_rows(rows, CONTRACTS["PURCHASE_REGISTER"]).select("s_suppkey", F.explode("problems").alias("problem"))
-    return found.where(F.startswith("problem", F.lit("counterparty_gstin")))
+    cells = F.from_json(F.to_json(F.struct(raw.alias("counterparty_gstin"))), "map<string,string>")
+    rows = t(spark, sf, "supplier").select("s_suppkey", cells.alias("cells"))
+    problems = documents.transaction_rows(rows, CONTRACTS["PURCHASE_REGISTER"]).select("s_suppkey", "problems")
+    return problems.select("s_suppkey", F.explode(F.filter("problems", lambda p: F.startswith(p, F.lit("counterparty_gstin")))).alias("problem"))
 
 
 # header/line documents (P-08 to P-17, A-01, Q-02)
