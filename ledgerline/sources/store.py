@@ -125,10 +125,11 @@ class TenantStore:
         return T.StructType([T.StructField(f.name, f.dataType) for f in columns.values()]) if found else None
 
     def raw(self, table: str) -> DataFrame | None:
-        """The rows of published batches as they were written; null if the table has none."""
+        """The rows of published batches as they were written; empty if there are only rows staged here, null without any."""
         schema = self.schema(table)
         if schema is None:
-            return None
+            staged = [schemas[table] for _, schemas in self._attempts.values() if table in schemas]
+            return self.spark.createDataFrame([], T.StructType.fromJson(json.loads(staged[0]))).drop("attempt") if staged else None
         rows = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.path}/silver/{table}")
         return rows.join(self.manifests().select("batch_id", "attempt"), ["batch_id", "attempt"], "left_semi").drop("attempt")
 
