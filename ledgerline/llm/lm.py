@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import common, words
+from ledgerline.llm import common
 
 MU, BLOCK_TOKENS = 1000.0, 1_000_000
 #: Aim for the compressed n-grams of one bucket and order; packed n-grams take about GRAMS times the bytes of their text.
@@ -48,8 +48,6 @@ KEY_BITS = np.uint64(56)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD))
 END = b" "  # no word holds a blank
 
-_hash = words.WordMemory(lambda w: xxhash.xxh3_64_intdigest(w), 500_000)
-
 
 def tokens(text: str | None) -> list[bytes]:
     """Lower-cased words and the end."""
@@ -105,35 +103,49 @@ def blocks(docs: DataFrame, buckets: int, block_tokens: int = BLOCK_TOKENS) -> D
         def block() -> Iterator[pa.RecordBatch]:
             name = part << 32 | seq
             lengths = np.fromiter(map(len, hashes), np.int64, len(hashes))
-            codes, distinct = pd.factorize(np.concatenate(hashes))
+            flat = np.concatenate(hashes)
+            hashes.clear()
+            codes, distinct = pd.factorize(flat)
+            del flat
             codes, starts = codes.astype(np.uint32), np.cumsum(lengths) - lengths
             train = np.repeat(~np.array(held, bool), lengths)
             nulls = np.array([x is None for x in ids], bool)
-            out = [row(block=name, n=0, ids=_planes(np.array([x or 0 for x in ids], np.int64)), id_nulls=_planes(nulls), held=_planes(np.array(held, bool)), lengths=_planes(lengths), codes=_planes(codes), hashes=distinct.tobytes())]
+            yield sent([row(block=name, n=0, ids=_planes(np.array([x or 0 for x in ids], np.int64)), id_nulls=_planes(nulls), held=_planes(np.array(held, bool)), lengths=_planes(lengths), codes=_planes(codes), hashes=distinct.tobytes())])
+            yield sent(grams(name, 1, word_keys(distinct), np.bincount(codes[train], minlength=len(distinct))))
             at, number, pairs = pairs_of(codes, starts, len(distinct))
-            first, second = np.divmod(pairs, np.uint64(len(distinct)))
-            for n, keys, counts in (
-                (1, word_keys(distinct), np.bincount(codes[train], minlength=len(distinct))),
-                (2, pair_keys(distinct[first], distinct[second]), np.bincount(number[train[at]], minlength=len(pairs))),
-            ):
-                order = np.argsort(keys, kind="stable")
-                keys, counts = keys[order], counts[order].astype(np.uint32)
-                edges = [(b << int(KEY_BITS)) // buckets for b in range(1, buckets)]
-                cuts = [0, *np.searchsorted(keys, np.array(edges, np.uint64)).tolist(), len(keys)]
-                for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                    if j > i:
-                        out.append(row(block=name, n=n, grams=j - i, bucket=b, keys=_planes(np.diff(keys[i:j], prepend=np.uint64(0))), counts=_planes(counts[i:j])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-
-        for batch in common.lean(batches, "lm", _hash.clear):
+            counts = np.bincount(number[train[at]], minlength=len(pairs))
+            del codes, train, at, number
+            if len(pairs):
+                first, second = np.divmod(pairs, np.uint64(len(distinct)))
+                keys = pair_keys(distinct[first], distinct[second])
+                del pairs, first, second, distinct
+                yield sent(grams(name, 2, keys, counts))
+
+        def grams(name: int, n: int, keys: np.ndarray, counts: np.ndarray) -> list:
+            """A row with each bucket's n-grams."""
+            order = np.argsort(keys, kind="stable")
+            keys, counts = keys[order], counts[order].astype(np.uint32)
+            edges = [(b << int(KEY_BITS)) // buckets for b in range(1, buckets)]
+            cuts = [0, *np.searchsorted(keys, np.array(edges, np.uint64)).tolist(), len(keys)]
+            return [
+                row(block=name, n=n, grams=j - i, bucket=b, keys=_planes(np.diff(keys[i:j], prepend=np.uint64(0))), counts=_planes(counts[i:j]))
+                for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False))
+                if j > i
+            ]
+
+        def sent(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+        for batch in common.lean(batches, "lm"):
             for i in range(batch.num_rows):
                 found = tokens(batch.column(1)[i].as_py())
                 ids.append(batch.column(0)[i].as_py())
                 held.append(batch.column(2)[i].as_py())
-                hashes.append(np.fromiter(map(_hash.__getitem__, found), np.uint64, len(found)))
+                hashes.append(np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)))
                 size += len(found)
                 if size >= block_tokens:
                     yield from block()
+                    common.give_back()
                     ids, held, hashes, size, seq = [], [], [], 0, seq + 1
         if ids:
             yield from block()
