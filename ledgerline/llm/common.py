@@ -114,6 +114,18 @@ def keyed_join(rows: DataFrame, facts: DataFrame, key: str, size: str, total: in
     return first.unionByName(rest)
 
 
+def keyed_left(rows: DataFrame, facts: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """``keyed_join`` that keeps the rows without facts, which get nulls."""
+    limit = hot_limit(total)
+    facts = facts.withColumnRenamed(key, "_key")
+    hot = F.broadcast(facts.where(F.col(size) > limit))
+    cold = facts.where(F.col(size) <= limit)
+    same = F.col(key) == F.col("_key")
+    first = rows.join(hot, same).drop("_key")
+    rest = rows.join(hot.select("_key"), same, "left_anti").join(cold, same, "left").drop("_key")
+    return first.unionByName(rest)
+
+
 def row_key(digest: Column | str, doc_id: Column | str) -> Column:
     """A key of (digest, id) with null ids equal, as column ``row_key``."""
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id

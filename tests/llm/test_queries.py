@@ -16,6 +16,8 @@ COLUMNS = {
     "op6_embed": ["vec_id", "n_links", "component_id", "kept"],
     "op8_token_store": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op10_token_count": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+    "op12_importance": ["doc_id", "n_features", "weight", "score", "rank"],
+    "op13_decontaminate": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
 }
 
 
