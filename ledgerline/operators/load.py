@@ -2,7 +2,8 @@
 
 A load computes its versions once, stages from them the new versions, the
 closures of live rows and the rejected rows under its attempt, and publishes the
-manifest last, so it shows whole or not at all. It can be repeated after any
+manifest last, so it shows whole or not at all. Loads may run at the same time: one
+that another has overtaken on a key is done again. It can be repeated after any
 failure; a batch that is already published is UNCHANGED and nothing is written.
 A file that can't be read, or that its type refuses whole, leaves a quarantine
 row and no batch; so does one with a value outside a closed vocabulary (INVALID).
@@ -11,6 +12,7 @@ A load that changes nothing publishes no batch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -23,6 +25,7 @@ from ledgerline.plans.contracts import CONTRACTS, EXTRACTIONS
 from ledgerline.plans.dispatch import PDF_FED, require
 from ledgerline.plans.registers import BY_TYPE, SALES_HEADER, SALES_LINE, Register
 from ledgerline.sources import registers, returns
+from ledgerline.sources.commitlog import Conflict
 from ledgerline.sources.store import TenantStore, folder_of
 
 HOLDERS = "shareholding_pattern_holder"
@@ -88,7 +91,7 @@ def quarantine(store: TenantStore) -> DataFrame | None:
     return store.spark.read.schema(QUARANTINE).option("recursiveFileLookup", "true").parquet(place) if store._exists(place) else None
 
 
-def _finish(store: TenantStore, up: Upload, table: str, versions: DataFrame, wrong: DataFrame | None, *lines: tuple[str, DataFrame, list[str]], count_lines: bool = True) -> Outcome:
+def _finish(store: TenantStore, up: Upload, table: str, key: list[str], versions: DataFrame, wrong: DataFrame | None, *lines: tuple[str, DataFrame, list[str]], count_lines: bool = True) -> Outcome:
     """Computes what an upsert made once, stages what follows from it, and publishes it if it changes anything.
 
     lines: (table, rows, the columns that lead to their header). Lines carry the id of
@@ -107,6 +110,7 @@ def _finish(store: TenantStore, up: Upload, table: str, versions: DataFrame, wro
         if "live_id" in versions.columns:
             shut = held.where("action = 'closed'").select(F.col("live_id").alias("id"), F.lit(up.now).alias("superseded_at"), "valid_to")
             store.stage_closures(table, up.batch_id, shut)
+        store.stage_live(table, up.batch_id, key, _live_run(held, key))
         total = 0
         for name, rows, to_header in lines:
             link = "record_id" if name in CHILDREN.values() else "header_id"
@@ -123,15 +127,26 @@ def _finish(store: TenantStore, up: Upload, table: str, versions: DataFrame, wro
     return Outcome("PARTIAL" if counts["rejected"] else "ACCEPTED" if n else "UNCHANGED", counts)
 
 
+def _live_run(held: DataFrame, key: list[str]) -> DataFrame:
+    """What an upsert changes of the live set: its live new versions, and the live rows that it closed."""
+    new, closed = F.col("action").isin("inserted", "superseded"), F.lit(False)
+    if "live_id" in held.columns:
+        new, closed = new & F.col("is_live"), F.col("action") == "closed"
+    rows = held.where(new | closed).withColumn("_removed", closed)
+    if "live_id" in held.columns:
+        rows = rows.withColumn("id", F.when(closed, F.col("live_id")).otherwise(F.col("id")))
+    return rows.select(*dict.fromkeys([*key, "row_hash", "valid_from", "valid_to", "id"]), F.col("_removed").alias("removed"))
+
+
 def _invalid(store: TenantStore, up: Upload, rows: DataFrame, table: str) -> list[str]:
     """P-28, P-30: a value outside a closed vocabulary breaks a rule of the table: the file is refused as INVALID."""
     outside = documents.outside_vocabulary(rows, table).limit(20).collect()
     return [f"{documents.INVALID}: line {r.line}: {r.column_name}: {r.value}" for r in outside]
 
 
-def _live(store: TenantStore, table: str, key: list[str], like: DataFrame) -> DataFrame:
-    """The live rows of a table, or none with the columns that an upsert needs."""
-    rows = store.live(table)
+def _live(store: TenantStore, up: Upload, table: str, key: list[str], like: DataFrame) -> DataFrame:
+    """The live rows that the incoming rows ``like`` may meet, or none with the columns that an upsert needs."""
+    rows = store.live_for(table, up.batch_id, like, key)
     want = [*dict.fromkeys([*key, "row_hash", "valid_from", "valid_to", "id"])]
     if rows is not None:
         return rows.select(*want)
@@ -158,18 +173,18 @@ def _fatal(found: DataFrame) -> list[str]:
     return [r.fatal for r in found.where("fatal is not null").limit(20).collect()]
 
 
-def _register(store: TenantStore, good: DataFrame, bad: DataFrame, up: Upload, register: Register) -> Outcome:
+def _register(store: TenantStore, good: DataFrame, bad: DataFrame | None, up: Upload, register: Register) -> Outcome:
     start, end = F.lit(up.period_start), F.lit(up.period_end)
     if reasons := _invalid(store, up, good, register.table):
         return _quarantined(store, up, reasons)
     rows = registers.with_period(_owned(good, up), register, start, end).withColumn("valid_to", F.lit(upsert.OPEN_END).cast("date"))
     if register.natural:
         key = list(register.key_columns)
-        made = upsert.natural(rows.drop("valid_to"), _live(store, register.table, key, rows), key, ORDER)
+        made = upsert.natural(rows.drop("valid_to"), _live(store, up, register.table, key, rows), key, ORDER)
     else:
-        key = ["entity_id", "gstin", register.period]
-        made = upsert.content(rows, _live(store, register.table, key, rows), register.period)
-    return _finish(store, up, register.table, made, bad)
+        key = ["entity_id", "gstin", register.period, "row_hash"]
+        made = upsert.content(rows, _live(store, up, register.table, key, rows), register.period)
+    return _finish(store, up, register.table, key, made, bad)
 
 
 def load_sales(store: TenantStore, files: DataFrame, up: Upload) -> Outcome:
@@ -184,8 +199,8 @@ def load_sales(store: TenantStore, files: DataFrame, up: Upload) -> Outcome:
         return _quarantined(store, up, reasons)
     rows = _owned(heads, up).withColumns({"valid_from": F.col("invoice_date"), "tax_period": F.lit(up.period_start)})
     key = ["entity_id", "gstin", "invoice_no"]
-    made = upsert.natural(rows, _live(store, "sales_register", key, rows), key, ORDER)
-    return _finish(store, up, "sales_register", made, None, ("sales_register_line", lines, ["path", "invoice_no"]))
+    made = upsert.natural(rows, _live(store, up, "sales_register", key, rows), key, ORDER)
+    return _finish(store, up, "sales_register", key, made, None, ("sales_register_line", lines, ["path", "invoice_no"]))
 
 
 def load_transactions(store: TenantStore, files: DataFrame, up: Upload) -> Outcome:
@@ -204,9 +219,9 @@ def _transactions(store: TenantStore, cells: DataFrame, up: Upload) -> Outcome:
     rows = _gathered(heads, contract.doc).withColumns({"entity_id": F.lit(up.entity_id), "gstin": F.coalesce("counterparty_gstin", F.lit("")), "document_type": F.lit(up.document_type), "direction": F.lit(contract.direction), "valid_from": F.col("doc_date"), "line": F.col("first_line")})
     rows = rows.withColumn("row_hash", hashing.row_hash("doc_number", "doc_date", "total_value", "row_count"))
     key = ["entity_id", "document_type", "gstin", "doc_number"]
-    made = upsert.natural(rows, _live(store, "transaction_document", key, rows), key, ORDER, compare=False)
+    made = upsert.natural(rows, _live(store, up, "transaction_document", key, rows), key, ORDER, compare=False)
     lines = _gathered(lines.drop(*[a.name for a in contract.doc]), contract.line)
-    return _finish(store, up, "transaction_document", made, None, ("transaction_line", lines, ["path", "doc_number", "counterparty_gstin"]))
+    return _finish(store, up, "transaction_document", key, made, None, ("transaction_line", lines, ["path", "doc_number", "counterparty_gstin"]))
 
 
 def _gathered(rows: DataFrame, declared: tuple) -> DataFrame:
@@ -231,8 +246,8 @@ def load_return(store: TenantStore, path: str, up: Upload) -> Outcome:
     table = up.document_type.lower()
     rows = heads.withColumns({"entity_id": F.lit(up.entity_id), "tax_period": period, "valid_from": period, "line": F.lit(1)})
     key = ["entity_id", "gstin", "tax_period"]
-    made = upsert.natural(rows, _live(store, table, key, rows), key, ORDER)
-    return _finish(store, up, table, made, None, (f"{table}_line", lines, ["path"]), (second, more, ["path"]))
+    made = upsert.natural(rows, _live(store, up, table, key, rows), key, ORDER)
+    return _finish(store, up, table, key, made, None, (f"{table}_line", lines, ["path"]), (second, more, ["path"]))
 
 
 def load_text(store: TenantStore, docs: DataFrame, up: Upload) -> Outcome:
@@ -260,10 +275,10 @@ def load_text(store: TenantStore, docs: DataFrame, up: Upload) -> Outcome:
     start = F.col("valid_from") if "valid_from" in rows.columns else F.lit(up.period_start or up.now.date())
     rows = rows.withColumns({"line": F.lit(1), "valid_from": start, "row_hash": hashing.row_hash(*[c for c in rows.columns if c != "doc_id"])}).drop("valid_to") if archetype != "entitlement" else rows.withColumns({"line": F.lit(1), "instrument_valid_to": F.col("valid_to"), "row_hash": hashing.row_hash("instrument_number", "valid_from", "valid_to")}).drop("valid_to")
     key = list(archetypes.ARCHETYPE_KEYS[archetype])
-    made = upsert.natural(rows, _live(store, archetype, key, rows), key, "line" if "path" not in rows.columns else ORDER, compare=False)
+    made = upsert.natural(rows, _live(store, up, archetype, key, rows), key, "line" if "path" not in rows.columns else ORDER, compare=False)
     made = made.withColumn("gstin", F.lit(up.gstin).cast("string")) if "gstin" not in made.columns else made
     children = [(CHILDREN[up.document_type], _children(store, found, made, up), ["doc_id"])] if up.document_type in CHILDREN else []
-    return _finish(store, up, archetype, made, None, *children, count_lines=False)
+    return _finish(store, up, archetype, key, made, None, *children, count_lines=False)
 
 
 def _children(store: TenantStore, found: DataFrame, made: DataFrame, up: Upload) -> DataFrame:
@@ -279,9 +294,32 @@ def _children(store: TenantStore, found: DataFrame, made: DataFrame, up: Upload)
     return rows.withColumns({"id": same, "doc_type_code": F.lit(up.document_type), "bronze_ingest_id": F.lit(up.ingest_id), "recorded_at": F.lit(up.now), "superseded_at": F.lit(None).cast("timestamp")})
 
 
+#: How often a load is done again after a conflict before the caller is told.
+TRIES = 5
+
+
 def load(store: TenantStore, source: DataFrame | str, up: Upload) -> Outcome:
-    """D-01: loads an upload by its type's mechanism."""
-    if store.published(up.batch_id):
-        return Outcome("UNCHANGED")
+    """D-01: loads an upload by its type's mechanism; again from the new state if another load touched one of its keys meanwhile."""
     way = require(up.document_type, entity_id=up.entity_id, gstin=up.gstin, period_start=up.period_start, period_end=up.period_end)
-    return {"REGISTER_LOADER": load_register, "SALES_REGISTER": load_sales, "TRANSACTION": load_transactions, "GSTN_JSON": load_return, "PDF_EXTRACTION": load_text}[way](store, source, up)
+    run = {"REGISTER_LOADER": load_register, "SALES_REGISTER": load_sales, "TRANSACTION": load_transactions, "GSTN_JSON": load_return, "PDF_EXTRACTION": load_text}[way]
+    return again(store, up, lambda: run(store, source, up))
+
+
+def again(store: TenantStore, up: Upload, run: Callable[[], Outcome]) -> Outcome:
+    """Runs a load until it commits or finds its batch published."""
+    for n in range(TRIES):
+        if store.published(up.batch_id):
+            store.abandon(up.batch_id)
+            return Outcome("UNCHANGED")
+        try:
+            return run()
+        except Conflict:
+            if n == TRIES - 1:
+                raise
+    raise AssertionError
+
+
+def load_rows(store: TenantStore, rows: DataFrame, up: Upload) -> Outcome:
+    """A register's rows that are typed already (path, line, its columns, row_hash), as ``load`` would take them from a file."""
+    register = BY_TYPE[up.document_type]
+    return again(store, up, lambda: _register(store, rows, None, up, register))

@@ -4,7 +4,13 @@ A load stages its rows in folders of its attempt, which no other attempt shares,
 then publishes a manifest that names the attempt; readers take the rows of
 published attempts, so a batch is seen whole or not at all. What a failed attempt
 left stays unseen, and a batch that is published is never written again. Closures
-of live rows are appended as rows of their own, so nothing is rewritten. Ids are
+of live rows are appended as rows of their own, so nothing is rewritten.
+
+The commit itself is an entry of an ordered log (``sources.commitlog``). An attempt
+remembers the version it started from, and ``publish`` refuses with ``Conflict`` if a
+commit since then touched one of its keys, so of loads that interleave each sees the
+others' rows or is done again. The entry holds the manifest; should a writer be lost
+between the two, the next one that publishes writes the manifest from the entry. Ids are
 stored columns, never parts of paths that a reader would have to guess types from,
 and a manifest keeps the schemas that its batch was written with, so all columns of
 all batches are read without opening a file. A tenant is a directory that carries
@@ -14,13 +20,18 @@ it is not an authorization boundary.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.sources.commitlog import CommitLog, Conflict, LiveIndex, Run, State, key_hash
+
 MANIFEST = "batch_id string, entity_id string, document_type string, source_stream string, period_start date, period_end date, row_count long, content_hash string, status string, ready_at timestamp, superseded_by string, attempt string, schemas map<string,string>"
 CLOSURE = "id string, superseded_at timestamp, valid_to date, batch_id string, attempt string"
 #: Append-only histories that readers resolve themselves: approvals and effective dates are theirs to judge.
@@ -31,12 +42,24 @@ HISTORIES = {
 }
 
 
+@dataclass
+class Attempt:
+    """A load under way: its name, the state it reads, the schemas it wrote, and its runs of the live index."""
+
+    name: str
+    state: State
+    schemas: dict[str, str] = field(default_factory=dict)
+    runs: list[Run] = field(default_factory=list)
+
+
 class TenantStore:
     def __init__(self, spark: SparkSession, root: str, tenant: str):
         if not tenant or not tenant.replace("_", "").isalnum():
             raise ValueError("a tenant is needed")
         self.spark, self.path, self.tenant = spark, f"{root.rstrip('/')}/{tenant}", tenant
-        self._attempts: dict[str, tuple[str, dict[str, str]]] = {}
+        self._attempts: dict[str, Attempt] = {}
+        self.log = CommitLog(spark, f"{self.path}/log")
+        self.index = LiveIndex(spark, self.log, f"{self.path}/index")
         mark = f"{self.path}/tenant"
         if self._exists(mark):
             found = self.spark.read.text(mark).first()[0]
@@ -55,9 +78,29 @@ class TenantStore:
             raise PermissionError(f"{path} is not in the store of {self.tenant}")
         return path
 
+    def _attempt(self, batch_id: str) -> Attempt:
+        if batch_id not in self._attempts:
+            self._attempts[batch_id] = Attempt(uuid.uuid4().hex, self.log.state())
+        return self._attempts[batch_id]
+
     def attempt(self, batch_id: str) -> str:
-        """The name of the current attempt to load a batch; a new one after a failure or a publication."""
-        return self._attempts.setdefault(batch_id, (uuid.uuid4().hex, {}))[0]
+        """The name of the current attempt to load a batch; a new one after a failure or a publication. It reads the state as of its start."""
+        return self._attempt(batch_id).name
+
+    def live_for(self, table: str, batch_id: str, incoming: DataFrame, key: Sequence[str]) -> DataFrame | None:
+        """The live rows, as of the attempt's start, among which are all that have an incoming key; null if the table has none.
+
+        Only the incoming keys' buckets of the live index are read; a table without an
+        index (written row by row, not by loads) is read whole.
+        """
+        found = self.index.live(self._attempt(batch_id).state, table, incoming, key)
+        return self.live(table) if found is None else found
+
+    def stage_live(self, table: str, batch_id: str, key: Sequence[str], rows: DataFrame) -> None:
+        """Stages a run of the live index: new live versions, and the ids of closed ones (removed). rows: key, row_hash, valid_from, valid_to, id, removed."""
+        run = self.index.write(table, rows.withColumn("key_hash", key_hash(key)))
+        if run:
+            self._attempt(batch_id).runs.append(run)
 
     def stage(self, table: str, batch_id: str, rows: DataFrame) -> DataFrame:
         """Writes a batch's rows, which nobody sees before ``publish``, and reads them back."""
@@ -65,7 +108,7 @@ class TenantStore:
         rows = rows.drop("attempt").withColumns({"batch_id": F.lit(batch_id), "attempt": F.lit(attempt)})
         place = f"{self.path}/silver/{table}/{attempt}"
         rows.write.mode("errorifexists").parquet(place)
-        self._attempts[batch_id][1][table] = rows.schema.json()
+        self._attempts[batch_id].schemas[table] = rows.schema.json()
         return self.spark.read.schema(rows.schema).parquet(place)
 
     def stage_closures(self, table: str, batch_id: str, closures: DataFrame) -> None:
@@ -81,30 +124,56 @@ class TenantStore:
 
     def abandon(self, batch_id: str) -> None:
         """Ends an attempt: its intermediate tables go, and whatever it staged stays unseen."""
-        attempt, _ = self._attempts.pop(batch_id, (None, {}))
+        attempt = self._attempts.pop(batch_id, None)
         if attempt:
-            place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/work/{attempt}")
-            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+            self.log.files.delete(f"{self.path}/work/{attempt.name}")
 
     def published(self, batch_id: str) -> bool:
-        return not self.manifest(batch_id).isEmpty()
+        return self._exists(f"{self.path}/manifest/{folder_of(str(batch_id))}")
 
     def publish(self, manifest: dict) -> bool:
-        """The commit: a batch is published once; False when it was already there."""
+        """The commit: a batch is published once; False when it was already there, ``Conflict`` when it must be loaded again."""
         batch = str(manifest["batch_id"])
-        place = f"{self.path}/manifest/{folder_of(batch)}"
-        if self._exists(place):
+        if self.published(batch):
             self.abandon(batch)
             return False
-        schema = T._parse_datatype_string(MANIFEST)
-        self.attempt(batch)
-        attempt, schemas = self._attempts[batch]
-        given = manifest | {"batch_id": batch, "attempt": attempt, "schemas": schemas}
-        row = tuple(given.get(f.name) for f in schema.fields)
-        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("errorifexists").parquet(place)
+        own = self._attempt(batch)
+        given = manifest | {"batch_id": batch, "attempt": own.name, "schemas": own.schemas}
+        seen = own.state.version
+        while True:
+            for entry in self.log.entries(seen):
+                seen = entry["version"]
+                if entry["batch_id"] == batch:
+                    self._materialize(entry)
+                    self.abandon(batch)
+                    return False
+                if entry["batch_id"] and self.index.clash(own.runs, [Run(**r) for r in entry["runs"]]):
+                    self.abandon(batch)
+                    raise Conflict(f"batch {batch} met a key of batch {entry['batch_id']}")
+                if entry["batch_id"]:
+                    self._materialize(entry)
+            if self.log.append(seen + 1, batch, own.runs, manifest=_to_json(given)):
+                break
+        self._materialize({"batch_id": batch, "manifest": _to_json(given)})
+        for table in {r.table for r in own.runs}:
+            self.index.compact(table)
         self.abandon(batch)
         return True
 
+    def recover(self) -> int:
+        """Writes the manifests of commits whose writer was lost before it wrote them; all entries are looked at."""
+        return sum(self._materialize(e) for e in self.log.entries(0) if e["batch_id"])
+
+    def _materialize(self, entry: dict) -> bool:
+        """The manifest table's row of a commit, from its log entry."""
+        place = f"{self.path}/manifest/{folder_of(entry['batch_id'])}"
+        if self._exists(place):
+            return False
+        schema = T._parse_datatype_string(MANIFEST)
+        given = _from_json(entry["manifest"], schema)
+        self.spark.createDataFrame([tuple(given.get(f.name) for f in schema.fields)], schema).coalesce(1).write.mode("ignore").parquet(place)
+        return True
+
     def manifests(self) -> DataFrame:
         if not self._exists(f"{self.path}/manifest"):
             return self.spark.createDataFrame([], MANIFEST)
@@ -128,21 +197,26 @@ class TenantStore:
         """The rows of published batches as they were written; empty if there are only rows staged here, null without any."""
         schema = self.schema(table)
         if schema is None:
-            staged = [schemas[table] for _, schemas in self._attempts.values() if table in schemas]
+            staged = [a.schemas[table] for a in self._attempts.values() if table in a.schemas]
             return self.spark.createDataFrame([], T.StructType.fromJson(json.loads(staged[0]))).drop("attempt") if staged else None
         rows = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.path}/silver/{table}")
         return rows.join(self.manifests().select("batch_id", "attempt"), ["batch_id", "attempt"], "left_semi").drop("attempt")
 
-    def rows(self, table: str, schema: str | T.StructType | None = None) -> DataFrame | None:
-        """All versions in published batches with their closures applied; null if the table has none."""
+    def rows(self, table: str, schema: str | T.StructType | None = None, known: str | None = None) -> DataFrame | None:
+        """All versions in published batches with their closures applied, those known at a time if one is given; null if the table has none."""
         own = self.raw(table)
         if own is None:
             return self.spark.createDataFrame([], schema) if schema else None
+        if known is not None:  # what a later closure says of a row wasn't known
+            later = F.col("superseded_at") > F.to_timestamp(F.lit(known))
+            own = own.withColumn("superseded_at", F.when(~F.coalesce(later, F.lit(False)), F.col("superseded_at")))
         shut = f"{self.path}/closures/{table}"
         if not self._exists(shut):
             return own
         done = self.manifests().select("batch_id", "attempt")
         ends = self.spark.read.schema(CLOSURE).option("recursiveFileLookup", "true").parquet(shut).join(done, ["batch_id", "attempt"], "left_semi")
+        if known is not None:
+            ends = ends.where(F.col("superseded_at") <= F.to_timestamp(F.lit(known)))
         ends = ends.groupBy("id").agg(F.min_by("valid_to", "superseded_at").alias("_to"), F.min("superseded_at").alias("_at"))
         out = own.join(ends, "id", "left")
         return out.withColumns({"superseded_at": F.coalesce("superseded_at", "_at"), "valid_to": F.coalesce("_to", "valid_to")}).drop("_to", "_at")
@@ -151,11 +225,19 @@ class TenantStore:
         rows = self.rows(table)
         return None if rows is None else rows.where("superseded_at is null")
 
-    def as_of(self, table: str, known: str) -> DataFrame | None:
-        """An extension: what the store held at a time of system time."""
-        rows = self.rows(table)
+    def as_of(self, table: str, known: str, valid: str | None = None) -> DataFrame | None:
+        """An extension, on both axes: what the store held at a time of system time, as it was written then, and of it what was valid on a day.
+
+        A version whose end came with a later closure has the end that was known then: the
+        open one. The end of a version that the same batch already succeeded came with it.
+        """
+        rows = self.rows(table, known=known)
+        if rows is None:
+            return None
         at = F.to_timestamp(F.lit(known))
-        return None if rows is None else rows.where((F.col("recorded_at") <= at) & (F.col("superseded_at").isNull() | (F.col("superseded_at") > at)))
+        rows = rows.where((F.col("recorded_at") <= at) & F.col("superseded_at").isNull())
+        day = F.to_date(F.lit(valid))
+        return rows if valid is None else rows.where((F.col("valid_from") <= day) & (F.col("valid_to").isNull() | (F.col("valid_to") > day)))
 
     def record(self, history: str, rows: DataFrame) -> None:
         """Appends rows to one of HISTORIES; columns that are not given are null."""
@@ -173,6 +255,17 @@ def folder_of(batch_id: str) -> str:
     return "batch-" + batch_id.encode().hex()
 
 
+def _to_json(manifest: dict) -> dict:
+    """Dates and times as ISO text."""
+    return {k: v.isoformat() if isinstance(v, dt.date) else v for k, v in manifest.items()}
+
+
+def _from_json(manifest: dict, schema: T.StructType) -> dict:
+    read = {"date": dt.date.fromisoformat, "timestamp": dt.datetime.fromisoformat}
+    kinds = {f.name: f.dataType.typeName() for f in schema.fields}
+    return {k: read[kinds[k]](v) if v is not None and kinds.get(k) in read else v for k, v in manifest.items()}
+
+
 class NoDoorbell:
     """S-21: the default publisher; readers poll, so nothing is lost without it."""
 
