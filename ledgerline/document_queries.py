@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions import coerce, text
+from ledgerline.functions import coerce, hashing, text
 from ledgerline.operators import archetypes, documents, load, readers, recon, upsert, views
 from ledgerline.plans import catalogue
 from ledgerline.plans.contracts import CONTRACTS
@@ -324,6 +324,53 @@ def replayed_batch(spark, sf):
     return store.rows("transaction_document").select("doc_number", "gstin", F.col("superseded_at").isNull().alias("live"), F.lit(n).cast("long").alias("batches"))
 
 
+_NEW_ROWS = "b AS (SELECT supplier_gstin, invoice_no, row_hash, valid_from, l_partkey % 2 AS batch, min(line) AS line FROM purchases GROUP BY ALL)"
+
+
+@query(f"""WITH {PURCHASES}, {_NEW_ROWS}, v AS (SELECT *, lag(row_hash) OVER w AS prev, row_number() OVER (PARTITION BY supplier_gstin, invoice_no ORDER BY batch DESC, line DESC) AS n FROM b WINDOW w AS (PARTITION BY supplier_gstin, invoice_no ORDER BY batch, line))
+  SELECT supplier_gstin, invoice_no, arg_min(row_hash, n) AS row_hash, arg_min(valid_from, n) AS valid_from, count(*) FILTER (prev IS NULL OR prev <> row_hash) AS versions, 1::BIGINT AS live FROM v GROUP BY ALL""")
+def interleaved_loads(spark, sf):
+    """S-19, U-02, U-15: two loads that both start from the empty store; the later one meets the other's keys and is done again, so each key has one live version."""
+    root = scratch(spark, "store")
+    rows = purchases(spark, sf).withColumn("path", F.lit("f.csv"))
+    stores = [TenantStore(spark, root, "acme") for _ in range(2)]
+    for k, store in enumerate(stores):
+        store.attempt(f"{k}")  # both read the same state
+    for k, store in enumerate(stores):
+        part = registers.collapsed(rows.where(F.col("l_partkey") % 2 == k).select("path", "line", "row_hash", "supplier_gstin", "invoice_no", "invoice_date", "taxable_value"))
+        load.load_rows(store, part, _upload("PURCHASE_REGISTER", f"{k}", k + 1))
+    versions = stores[0].rows("purchase_register")
+    alive = F.col("superseded_at").isNull()
+    last = lambda c: F.max(F.when(alive, F.col(c))).alias(c)
+    return versions.groupBy("supplier_gstin", "invoice_no").agg(last("row_hash"), last("valid_from"), F.count(F.lit(1)).alias("versions"), F.count_if(alive).alias("live"))
+
+
+_POINTS = [(known, valid) for known in ("2024-05-10", "2024-05-25") for valid in ("1995-06-01", "1997-06-01")]
+
+
+@query(f"""WITH c AS (SELECT o_custkey, min((o_orderdate::DATE, o_orderkey, o_totalprice::DECIMAL(18,2))) AS a, max((o_orderdate::DATE, o_orderkey, o_totalprice::DECIMAL(18,2))) AS z FROM orders GROUP BY 1),
+  r AS (SELECT o_custkey, a[1] AS d1, a[3] AS v1, z[1] AS d2, z[3] AS v2, o_custkey % 3 <> 0 AND a[2] <> z[2] AND (a[1] <> z[1] OR a[3] <> z[3]) AS moved FROM c),
+  p AS (SELECT * FROM (VALUES {", ".join(f"(DATE '{k}', DATE '{v}')" for k, v in _POINTS)}) t(known, valid)),
+  x AS (SELECT o_custkey, d1 AS f, CASE WHEN moved AND known >= DATE '2024-05-20' THEN CASE WHEN d2 > d1 THEN d2 END ELSE DATE '9999-12-31' END AS u, v1 AS v, known, valid FROM r, p
+    UNION ALL SELECT o_custkey, d2, DATE '9999-12-31', v2, known, valid FROM r, p WHERE moved AND known >= DATE '2024-05-20')
+  SELECT known, valid, 'C' || o_custkey AS invoice_no, f AS valid_from, u AS valid_to, v AS taxable_value FROM x WHERE u IS NOT NULL AND f <= valid AND valid < u""")
+def bitemporal_points(spark, sf):
+    """U-04, W-06: what a store knew at two times of what held on two days; ends that came later aren't known earlier."""
+    store = _store(spark)
+    row = F.struct(F.to_date("o_orderdate").alias("d"), "o_orderkey", F.col("o_totalprice").cast(MONEY).alias("v"))
+    held = t(spark, sf, "orders").groupBy("o_custkey").agg(F.min(row).alias("a"), F.max(row).alias("z"))
+    for n, day, c in (("1", 1, "a"), ("2", 20, "z")):
+        own = held.where("o_custkey % 3 <> 0") if c == "z" else held
+        rows = own.select(F.lit("f.csv").alias("path"), F.col("o_custkey").alias("line"), F.lit(None).cast("string").alias("supplier_gstin"), F.concat(F.lit("C"), text_of("o_custkey")).alias("invoice_no"), F.col(f"{c}.d").alias("invoice_date"), F.col(f"{c}.v").alias("taxable_value"))
+        load.load_rows(store, rows.withColumn("row_hash", hashing.row_hash("invoice_no", "invoice_date", "taxable_value")), _upload("PURCHASE_REGISTER", n, day))
+    out = None
+    for known, valid in _POINTS:
+        at = store.as_of("purchase_register", known, valid, ["entity_id", "gstin", "supplier_gstin", "invoice_no"])
+        at = at.select(F.lit(known).cast("date").alias("known"), F.lit(valid).cast("date").alias("valid"), "invoice_no", "valid_from", "valid_to", "taxable_value")
+        out = at if out is None else out.unionByName(at)
+    return out
+
+
 # readers over prepared rows (V-02, V-14, V-16, J-01, J-03, U-11, A-08)
 
 

@@ -29,6 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ledgerline.sources.commitlog import CommitLog, Conflict, LiveIndex, Run, State, key_hash
 
@@ -225,19 +226,28 @@ class TenantStore:
         rows = self.rows(table)
         return None if rows is None else rows.where("superseded_at is null")
 
-    def as_of(self, table: str, known: str, valid: str | None = None) -> DataFrame | None:
-        """An extension, on both axes: what the store held at a time of system time, as it was written then, and of it what was valid on a day.
+    def as_of(self, table: str, known: str, valid: str | None = None, key: Sequence[str] = ()) -> DataFrame | None:
+        """An extension, on both axes: what the store held at a time of system time, as it was written then; with ``valid``, what held on that day.
 
-        A version whose end came with a later closure has the end that was known then: the
-        open one. The end of a version that the same batch already succeeded came with it.
+        A version that a later load ended has the end that was known then: the open one.
+        On the axis of validity a superseded version still speaks for the days up to the end
+        that its successor gave it; one whose end wasn't shortened was corrected as a whole
+        and speaks for none. Where versions of a ``key`` both speak for a day, since one came
+        in late, the one recorded last does.
         """
         rows = self.rows(table, known=known)
         if rows is None:
             return None
-        at = F.to_timestamp(F.lit(known))
-        rows = rows.where((F.col("recorded_at") <= at) & F.col("superseded_at").isNull())
-        day = F.to_date(F.lit(valid))
-        return rows if valid is None else rows.where((F.col("valid_from") <= day) & (F.col("valid_to").isNull() | (F.col("valid_to") > day)))
+        rows = rows.where(F.col("recorded_at") <= F.to_timestamp(F.lit(known)))
+        if valid is None:
+            return rows.where("superseded_at is null")
+        day, open_end = F.to_date(F.lit(valid)), F.col("valid_to").isNull() | (F.col("valid_to") == F.lit("9999-12-31").cast("date"))
+        spoke = F.col("superseded_at").isNull() | ~open_end
+        rows = rows.where(spoke & (F.col("valid_from") <= day) & (open_end | (F.col("valid_to") > day)))
+        if not key:
+            return rows
+        last = Window.partitionBy(*key).orderBy(F.desc("recorded_at"), F.desc("valid_from"), "id")
+        return rows.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
 
     def record(self, history: str, rows: DataFrame) -> None:
         """Appends rows to one of HISTORIES; columns that are not given are null."""
