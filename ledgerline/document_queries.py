@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerline.functions import coerce, hashing, text
 from ledgerline.operators import archetypes, documents, load, readers, recon, upsert, views
@@ -18,7 +19,7 @@ from ledgerline.plans.contracts import CONTRACTS
 from ledgerline.plans.dispatch import AD_BANKS
 from ledgerline.plans.registers import BY_TABLE, SALES_HEADER, SALES_LINE
 from ledgerline.queries import MONEY, PURCHASES, purchases, query, t
-from ledgerline.session import scratch
+from ledgerline.session import held, scratch
 from ledgerline.sources import intake, registers, returns
 from ledgerline.sources.store import TenantStore
 
@@ -151,22 +152,25 @@ def party_rules(spark, sf):
 # header/line documents (P-08 to P-17, A-01, Q-02)
 
 _TXN = """
-c AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_orderkey % 50 AS path, l_extendedprice::DECIMAL(18,2) AS v, (l_tax * 100)::DECIMAL(6,3) AS r, l_orderkey * 10 + l_linenumber AS line FROM lineitem),
-twice AS (SELECT path, l_orderkey, l_linenumber, min(line) AS line FROM c GROUP BY ALL HAVING count(*) > 1),
-wrong AS (SELECT path, line, 'hsn_sac: not a hsn: 1' AS message FROM c WHERE l_orderkey % 50 = 7 AND l_partkey % 3 = 0
-  UNION ALL SELECT path, line, 'line_number: given twice: ' || l_linenumber FROM twice)"""
+n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_tax) AS rn FROM lineitem),
+c AS (SELECT l_orderkey, l_partkey, l_orderkey % 50 AS path, CASE WHEN l_orderkey % 50 = 3 THEN least(rn, 2) ELSE rn END AS line_number, l_extendedprice::DECIMAL(18,2) AS v, l_orderkey * 100 + rn AS line FROM n),
+twice AS (SELECT path, l_orderkey, line_number, min(line) AS line FROM c GROUP BY ALL HAVING count(*) > 1),
+wrong AS (SELECT path, line, 'hsn_sac: not a hsn: 1' AS message FROM c WHERE path = 7 AND l_partkey % 3 = 0
+  UNION ALL SELECT path, line, 'line_number: given twice: ' || line_number FROM twice)"""
 
 
 def _transactions(spark, sf):
-    x = t(spark, sf, "lineitem")
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax")
+    x = t(spark, sf, "lineitem").withColumn("rn", F.row_number().over(order))
+    number = F.when(F.col("l_orderkey") % 50 == 3, F.least("rn", F.lit(2))).otherwise(F.col("rn"))  # file 3 gives numbers twice
     hsn = F.when((F.col("l_orderkey") % 50 == 7) & (F.col("l_partkey") % 3 == 0), "1").otherwise(" 8471 ")
     pairs = {
-        "doc_number": F.concat(F.lit("D"), text_of("l_orderkey")), "doc_date": F.lit("03/04/2024"), "line_number": text_of("l_linenumber"), "hsn_sac": hsn, "quantity": F.lit("1"), "unit_price": F.lit("1"),
+        "doc_number": F.concat(F.lit("D"), text_of("l_orderkey")), "doc_date": F.lit("03/04/2024"), "line_number": text_of(number), "hsn_sac": hsn, "quantity": F.lit("1"), "unit_price": F.lit("1"),
         "taxable_value": text_of(F.col("l_extendedprice").cast(MONEY)), "gst_rate": text_of((F.col("l_tax") * 100).cast("decimal(6,3)")), "place_of_supply": F.lit("29"), "cgst_amount": F.lit(" "), "igst_amount": F.lit("2.50"),
     }
     cells = F.map_from_arrays(F.array(*[F.lit(k) for k in pairs]), F.array(*pairs.values()))
-    rows = x.select((F.col("l_orderkey") % 50).alias("path"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"), cells.alias("cells"))
-    return documents.transactions(rows, CONTRACTS["SALES_REGISTER"])
+    rows = x.select((F.col("l_orderkey") % 50).alias("path"), (F.col("l_orderkey") * 100 + F.col("rn")).alias("line"), cells.alias("cells"))
+    return documents.transactions(rows, CONTRACTS["SALES_REGISTER"], hold=held)
 
 
 @query(f"""WITH {_TXN} SELECT path, 'D' || l_orderkey AS doc_number, sum(v)::DECIMAL(18,2) AS total_taxable_value, (2.5 * count(*))::DECIMAL(18,2) AS total_tax_value, (sum(v) + 2.5 * count(*))::DECIMAL(18,2) AS total_value,
@@ -181,18 +185,19 @@ def transaction_problems(spark, sf):
 
 
 _SALE = """
-s AS (SELECT o_orderkey % 40 AS path, o_orderkey * 2 + k AS line, 'S' || (o_orderkey // 2) AS invoice_no, o_orderkey, k, o_totalprice::DECIMAL(18,2) AS v FROM orders, range(2) r(k)),
+s AS (SELECT o_orderkey // 2 % 40 AS path, o_orderkey * 2 + k AS line, 'S' || (o_orderkey // 2) AS invoice_no, o_orderkey, k, o_totalprice::DECIMAL(18,2) AS v FROM orders, range(2) r(k)),
 h AS (SELECT path, invoice_no, count(DISTINCT o_orderkey) AS n, min(line) AS line, count(*) AS c, count(DISTINCT k + 2 * (o_orderkey % 2)) AS lines, count(DISTINCT CASE WHEN path = 3 THEN o_orderkey END) AS irns FROM s GROUP BY ALL),
 bad AS (SELECT path, line, 'irn: rows disagree' AS message FROM h WHERE irns > 1)"""
 
 
 def _sales(spark, sf):
     o = t(spark, sf, "orders").withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
-    irn = F.when(F.col("o_orderkey") % 40 == 3, text_of("o_orderkey")).otherwise("")
+    path = F.expr("o_orderkey div 2") % 40
+    irn = F.when(path == 3, text_of("o_orderkey")).otherwise("")
     pairs = {"invoice_no": F.concat(F.lit("S"), text_of(F.expr("o_orderkey div 2"))), "invoice_date": F.lit("2024-04-03"), "invoice_type": F.lit("B2B"), "line_number": text_of(F.col("k") + 2 * (F.col("o_orderkey") % 2) + 1), "taxable_value": text_of(F.col("o_totalprice").cast(MONEY)), "irn": irn}
     cells = F.map_from_arrays(F.array(*[F.lit(k) for k in pairs]), F.array(*pairs.values()))
-    rows = o.select((F.col("o_orderkey") % 40).alias("path"), (F.col("o_orderkey") * 2 + F.col("k")).alias("line"), cells.alias("cells"))
-    return documents.sales(registers.typed(rows, SALES_HEADER + SALES_LINE))
+    rows = o.select(path.alias("path"), (F.col("o_orderkey") * 2 + F.col("k")).alias("line"), cells.alias("cells"))
+    return documents.sales(registers.typed(rows, SALES_HEADER + SALES_LINE), hold=held)
 
 
 @query(f"WITH {_SALE} SELECT path, invoice_no, line, c::BIGINT AS row_count, 'INR' AS currency FROM h WHERE path NOT IN (SELECT path FROM bad)")
@@ -374,10 +379,10 @@ def bitemporal_points(spark, sf):
 # readers over prepared rows (V-02, V-14, V-16, J-01, J-03, U-11, A-08)
 
 
-@query(f"""WITH {PURCHASES} SELECT line AS purchase_record_id, invoice_no, NULL AS supplier_name, taxable_value, gst_rate FROM purchases WHERE l_linenumber = 1""")
+@query(f"""WITH {PURCHASES} SELECT line AS purchase_record_id, invoice_no, NULL AS supplier_name, taxable_value, gst_rate FROM purchases""")
 def purchase_candidates(spark, sf):
     """V-16."""
-    rows = purchases(spark, sf).where("l_linenumber = 1").withColumns({"id": F.col("line"), **{c: F.lit(None).cast("string") for c in ("tax_period", "hsn_sac", "gl_code", "cost_centre", "rcm_flag", "recorded_at", "superseded_at", "batch_id", "bronze_ingest_id", "valid_to")}})
+    rows = purchases(spark, sf).withColumns({"id": F.col("line"), **{c: F.lit(None).cast("string") for c in ("tax_period", "hsn_sac", "gl_code", "cost_centre", "rcm_flag", "recorded_at", "superseded_at", "batch_id", "bronze_ingest_id", "valid_to")}})
     return readers.purchase_candidates(rows).select("purchase_record_id", "invoice_no", "supplier_name", "taxable_value", "gst_rate")
 
 

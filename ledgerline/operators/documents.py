@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,15 @@ from ledgerline.functions import coerce, hashing
 from ledgerline.plans.contracts import OPTIONAL, REQUIRED, Contract
 from ledgerline.plans.registers import SALES_HEADER, SALES_LINE, VOCABULARIES
 
+#: Writes rows that several results come from, and reads them back.
+Hold = Callable[[DataFrame], DataFrame]
+
+
+def same(rows: DataFrame) -> DataFrame:
+    """Holds nothing: each result is planned from the input."""
+    return rows
+
+
 _LINE_KINDS = {"line_number": "int", "hsn_sac": "hsn", "quantity": "qty", "unit_price": "money", "taxable_value": "money", "gst_rate": "rate", "cgst_amount": "money", "sgst_amount": "money", "igst_amount": "money", "cess_amount": "money", "itc_amount": "money", "description": "text", "uom": "text"}
 
 _ZERO_IF_BLANK = ("cgst_amount", "sgst_amount", "igst_amount", "cess_amount", "itc_amount")
@@ -44,15 +55,18 @@ def transaction_rows(rows: DataFrame, contract: Contract, rule: str = "file") ->
     return typed.drop(*[c for c in typed.columns if c.startswith(("_t_", "_v_"))])
 
 
-def transactions(rows: DataFrame, contract: Contract, file: str = "path") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """A-01, A-02, P-15, P-17: documents, lines, and what is wrong; a file with one bad row is refused whole."""
+def transactions(rows: DataFrame, contract: Contract, file: str = "path", hold: Hold = same) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A-01, A-02, P-15, P-17: documents, lines, and what is wrong; a file with one bad row is refused whole.
+
+    All three come from the typed rows; ``hold`` writes these, so that cells are coerced once.
+    """
     group = [file, "doc_number", "counterparty_gstin"]
-    typed = transaction_rows(rows, contract)
+    typed = hold(transaction_rows(rows, contract).drop("cells"))
     # the bad files are few and narrow, and found by sums that combine before the shuffle
     again = typed.where("line_number is not null").groupBy(*group, "line_number").agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("line")).where("n > 1")
     twice = again.select(file, "line", F.concat(F.lit("line_number: given twice: "), F.col("line_number").cast("string")).alias("message"))
     wrong = typed.select(file, "line", F.explode("problems").alias("message")).unionByName(twice)
-    good = typed.join(wrong.select(file).distinct(), file, "left_anti").drop("cells", "problems")
+    good = typed.join(wrong.select(file).distinct(), file, "left_anti").drop("problems")
     first = [F.min_by(c, "line").alias(c) for c in ("doc_date", "counterparty_name", "currency", *(a.name for a in contract.doc))]
     tax = F.col("cgst_amount") + F.col("sgst_amount") + F.col("igst_amount") + F.col("cess_amount")
     documents = good.groupBy(*group).agg(*first, *totals(F.col("taxable_value"), tax), F.min("line").alias("first_line"))
@@ -65,14 +79,17 @@ def totals(taxable: Column, tax: Column) -> list[Column]:
     return [F.sum(taxable).cast(money).alias("total_taxable_value"), F.sum(tax).cast(money).alias("total_tax_value"), F.sum(taxable + tax).cast(money).alias("total_value"), F.count(F.lit(1)).alias("row_count")]
 
 
-def sales(rows: DataFrame, file: str = "path") -> tuple[DataFrame, DataFrame, DataFrame]:
+def sales(rows: DataFrame, file: str = "path", hold: Hold = same) -> tuple[DataFrame, DataFrame, DataFrame]:
     """P-15 to P-17, U-07's hash: sales headers with ``row_hash``, lines, and what is wrong; a bad file is refused whole.
 
-    ``rows`` come from ``sources.registers.typed`` over the header and line columns together.
+    ``rows`` come from ``sources.registers.typed`` over the header and line columns together; ``hold`` writes them once for all three.
     """
     names = [c.name for c in SALES_HEADER]
     group = [file, "invoice_no"]
-    differ = [F.when(F.count_distinct(F.coalesce(F.col("cells")[n], F.lit(""))) > 1, F.lit(f"{n}: rows disagree")) for n in names if n != "invoice_no"]
+    rows = hold(rows)
+    # a column's rows agree if its least and greatest cell do: sums that combine, where distinct counts would copy each row for each column
+    said = lambda n: F.coalesce(F.col("cells")[n], F.lit(""))
+    differ = [F.when(F.min(said(n)) != F.max(said(n)), F.lit(f"{n}: rows disagree")) for n in names if n != "invoice_no"]
     doubles = F.when(F.count_distinct("line_number") < F.count("line_number"), F.lit("line_number: given twice"))
     checked = rows.where("reject is null").groupBy(*group).agg(F.array_compact(F.array(*differ, doubles)).alias("ms"), F.min("line").alias("line"))
     wrong = rows.where("reject is not null").select(file, "line", F.col("reject.message").alias("message")).unionByName(checked.select(file, "line", F.explode("ms").alias("message")))

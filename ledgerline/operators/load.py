@@ -192,7 +192,8 @@ def load_sales(store: TenantStore, files: DataFrame, up: Upload) -> Outcome:
     found = _parsed(store, up, registers.cells(files, [c.name for c in SALES_HEADER + SALES_LINE], up.form))
     if reasons := _fatal(found):
         return _quarantined(store, up, reasons)
-    heads, lines, wrong = documents.sales(registers.typed(found.where("fatal is null"), SALES_HEADER + SALES_LINE))
+    typed = registers.typed(found.where("fatal is null"), SALES_HEADER + SALES_LINE)
+    heads, lines, wrong = documents.sales(typed, hold=lambda rows: store.work(up.batch_id, "typed", rows))
     if reasons := [f"line {r.line}: {r.message}" for r in wrong.orderBy("line", "message").limit(20).collect()]:
         return _quarantined(store, up, reasons)
     if reasons := _invalid(store, up, heads, "sales_register"):
@@ -212,7 +213,7 @@ def load_transactions(store: TenantStore, files: DataFrame, up: Upload) -> Outco
 
 
 def _transactions(store: TenantStore, cells: DataFrame, up: Upload) -> Outcome:
-    heads, lines, wrong = documents.transactions(cells, CONTRACTS[up.document_type])
+    heads, lines, wrong = documents.transactions(cells, CONTRACTS[up.document_type], hold=lambda rows: store.work(up.batch_id, "typed", rows))
     if reasons := [f"line {r.line}: {r.message}" for r in wrong.orderBy("line", "message").limit(20).collect()]:
         return _quarantined(store, up, reasons)
     contract = CONTRACTS[up.document_type]

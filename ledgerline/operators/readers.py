@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.functions import coerce, hashing
+from ledgerline.operators import intervals
 
 VERSION = ("rule_catalog_version", "corpus_version", "tenant_pack_version")
 OVERLAP = "1 hour"
@@ -73,13 +74,16 @@ def entitlements(supplies: DataFrame, instruments: DataFrame) -> DataFrame:
 
     Scope becomes an equi-join: a scoped instrument is keyed by each of its codes, one
     without scope by null, and a supply asks under each of its prefixes and under null;
-    so nothing degrades to a nested loop. Newest has rank 1.
+    so nothing degrades to a nested loop. Days join by the length classes of ``intervals``,
+    so a supply meets the instruments around its day, not all that its entity ever had.
+    Newest has rank 1.
     """
     active = instruments.where((F.col("status") == "ACTIVE") & F.col("superseded_at").isNull())
     scoped = active.select("*", F.explode_outer("scope_hsn").alias("_code")).where(F.col("scope_hsn").isNull() | F.col("_code").isNotNull())
     keyed = scoped.select("instrument_id", "entity_id", "instrument_type", "instrument_number", "valid_from", "valid_to", F.coalesce("_code", F.lit("*")).alias("_code"))
     asked = supplies.select("*", F.explode(F.array_union(F.when(F.col("hsn").isNull(), F.array().cast("array<string>")).otherwise(hsn_prefixes(F.col("hsn"))), F.array(F.lit("*")))).alias("_code"))
-    found = asked.join(keyed, ["entity_id", "instrument_type", "_code"]).where(F.col("day").between(F.col("valid_from"), F.col("valid_to")))
+    bounded = keyed.where("valid_from is not null and valid_to is not null")
+    found = intervals.stabbed(asked, bounded, ["entity_id", "instrument_type", "_code"], "day", "valid_from", "valid_to")
     found = found.drop("_code").dropDuplicates(["supply_id", "instrument_id"])
     w = Window.partitionBy("supply_id").orderBy(F.desc("valid_from"), "instrument_id")
     return found.withColumn("rank", F.row_number().over(w))
@@ -200,22 +204,8 @@ def lineage(facts: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def overlapping(windows: DataFrame, key: str, first: str, last: str, row_id: str) -> DataFrame:
-    """J-11, Q-10, V-20: pairs of windows of one key that overlap (closed bounds).
-
-    Windows are cut into spans of time, and windows of one span and key are joined: what a
-    window meets depends on the spans it covers, not on how many windows its key has. A pair
-    counts in the span in which the later of the two starts. Spans are as long as the
-    average window, so a window covers two of them or so.
-    """
-    day = lambda c: F.unix_date(F.col(c).cast("date"))
-    average = windows.agg(F.avg(day(last) - day(first))).first()[0]
-    span = max(1, int(average or 0) + 1)
-    of = lambda c: F.floor(day(c) / span)
-    held = windows.where(F.col(first) <= F.col(last))
-    a = held.select(F.col(key), F.explode(F.sequence(of(first), of(last))).alias("_span"), F.col(row_id).alias("a_id"), F.col(first).alias("a_from"), F.col(last).alias("a_to"))
-    b = held.select(F.col(key), of(first).alias("_span"), F.col(row_id).alias("b_id"), F.col(first).alias("b_from"), F.col(last).alias("b_to"))
-    before = (F.col("a_from") < F.col("b_from")) | ((F.col("a_from") == F.col("b_from")) & (F.col("a_id") < F.col("b_id")))
-    return a.join(b, [key, "_span"]).where(before & (F.col("a_to") >= F.col("b_from"))).drop("_span")
+    """J-11, Q-10, V-20: pairs of windows of one key that overlap (closed bounds, null ones open)."""
+    return intervals.overlapping(windows, key, first, last, row_id)
 
 
 def as_of(events: DataFrame, states: DataFrame, key: list[str], event_time: str, state_time: str, value: list[str]) -> DataFrame:

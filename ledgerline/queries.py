@@ -447,6 +447,20 @@ def overlap_audit(spark, sf):
     return readers.overlapping(rows, "k", "f", "u", "id").select("a_id", "b_id")
 
 
+@query("""WITH w AS (SELECT p_partkey AS id, p_brand AS k, CASE WHEN p_partkey % 101 <> 0 THEN DATE '2020-01-01' + (p_partkey * 37 % 3000)::INT END AS f,
+    CASE WHEN p_partkey % 89 = 0 THEN NULL WHEN p_partkey % 83 = 0 THEN DATE '9999-12-31' ELSE DATE '2020-01-01' + (p_partkey * 37 % 3000 + p_size)::INT END AS u FROM part),
+  x AS (SELECT id, k, coalesce(f, DATE '0001-01-01') AS f, coalesce(u, DATE '9999-12-31') AS u FROM w)
+  SELECT a.id AS a_id, b.id AS b_id FROM x a JOIN x b ON a.k = b.k AND (a.f < b.f OR (a.f = b.f AND a.id < b.id)) AND a.u >= b.f""")
+def open_overlaps(spark, sf):
+    """J-11, Q-10, V-20: windows without a start or an end, or with the end that stands for none, among short ones."""
+    start = (F.col("p_partkey") * 37 % 3000).cast("int")
+    origin = F.lit("2020-01-01").cast("date")
+    no_start, no_end, far = (F.col("p_partkey") % n == 0 for n in (101, 89, 83))
+    ends = F.when(no_end, F.lit(None)).when(far, F.lit("9999-12-31").cast("date")).otherwise(F.date_add(origin, start + F.col("p_size")))
+    rows = t(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("k"), F.when(~no_start, F.date_add(origin, start)).alias("f"), ends.alias("u"))
+    return readers.overlapping(rows, "k", "f", "u", "id").select("a_id", "b_id")
+
+
 @query("""SELECT e.event_id, (SELECT s.event_type FROM events s WHERE s.event_id % 5 = 0 AND s.user_id = e.user_id AND s.ts <= e.ts ORDER BY s.ts DESC LIMIT 1) AS status FROM events e WHERE e.event_id % 5 <> 0""")
 def asof_status(spark, sf):
     e = t(spark, sf, "events")

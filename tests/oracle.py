@@ -31,5 +31,6 @@ def check(df, connection, sql):
     assert sorted(own) == names
     want = sorted(tuple(plain(r[own.index(n)]) for n in names) for r in found.fetchall())
     got = sorted(tuple(plain(r[n]) for n in names) for r in df.collect())
+    assert got, "a query without rows proves nothing"
     assert len(got) == len(want)
     assert got == want
