@@ -18,6 +18,7 @@ table gives an empty table.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import math
 import re
@@ -222,11 +223,15 @@ def _needed(least: float, n: int) -> int:
 
 
 def _apart(own: set[Find]) -> list[Find]:
-    taken: list[Find] = []
+    """The best finds that don't overlap. Those taken stay sorted, so a find is held against its two neighbours only."""
+    taken: list[tuple[int, int]] = []
+    out = []
     for find in sorted(own, key=lambda f: (-f.coverage, f.start, f.end)):
-        if all(find.end <= t.start or find.start >= t.end for t in taken):
-            taken.append(find)
-    return taken
+        i = bisect.bisect_left(taken, (find.end,))  # the first that starts at or after this one's end
+        if i == 0 or taken[i - 1][1] <= find.start:
+            taken.insert(i, (find.start, find.end))
+            out.append(find)
+    return out
 
 
 @functools.lru_cache(maxsize=4)

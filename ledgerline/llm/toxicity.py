@@ -8,8 +8,8 @@ McMahan et al. (2013): a learning rate for every coordinate and L1 sparsity, so
 most weights are exactly zero and the model that goes to the tasks is compact;
 2**BITS weights bound it at any input size.
 
-The classifier is fitted on at most ``max_train`` labelled rows, those with the
-smallest hashes of their ids; scoring covers every row and whole text.
+The classifier is fitted on at most ``max_train`` labelled documents of the table,
+those with the smallest hashes of their ids; scoring covers every row and whole text.
 Only texts are inputs of a score. Null texts count as empty and get the bias
 alone. Null labels are ignored; of repeated labels of an id the largest counts,
 and of rows that repeat a labelled id one text is learned (the smallest hash), so
@@ -131,6 +131,9 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tup
     mark = F.xxhash64("doc_id")
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (common.fold("doc_id", 5) != 0))
     known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # labels of other tables' documents mustn't use up the sample
+    here = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    known = common.stored(known.join(here, "doc_id", "left_semi"), "labels")
     share = min(1.0, 2 * max_train / max(1, known.count()))
     chosen = known.where(F.pmod(mark, F.lit(1_000_003)) <= share * 1_000_003).orderBy(mark, "doc_id").limit(max_train)
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
