@@ -20,7 +20,7 @@ from ledgerline.plans.dispatch import AD_BANKS
 from ledgerline.plans.registers import BY_TABLE, SALES_HEADER, SALES_LINE
 from ledgerline.queries import MONEY, PURCHASES, purchases, query, t
 from ledgerline.session import held, scratch
-from ledgerline.sources import intake, registers, returns
+from ledgerline.sources import bronze, intake, registers, returns
 from ledgerline.sources.store import TenantStore
 
 
@@ -329,6 +329,21 @@ def replayed_batch(spark, sf):
     return store.rows("transaction_document").select("doc_number", "gstin", F.col("superseded_at").isNull().alias("live"), F.lit(n).cast("long").alias("batches"))
 
 
+@query("""WITH a AS (SELECT o_orderkey AS ref, o_custkey, CASE WHEN o_orderkey % 11 = 0 THEN 'UNSUPPORTED_EXTENSION' END AS refusal FROM orders),
+  f AS (SELECT o_custkey, min(ref) FILTER (ref % 2 = 0) AS early, min(ref) AS first FROM a WHERE refusal IS NULL GROUP BY 1)
+  SELECT ref, refusal, CASE WHEN refusal IS NULL THEN coalesce(early, first)::VARCHAR END AS held_by, length('file of ' || o_custkey) AS size_bytes,
+    CASE WHEN refusal IS NULL THEN early IS NOT NULL OR ref <> first END AS deduplicated, CASE WHEN refusal IS NULL THEN 'OK' END AS verdict FROM a LEFT JOIN f USING (o_custkey)""")
+def bronze_intake(spark, sf):
+    """S-15, S-16, S-18: half of the files come in, then all of them; bytes are kept once, and each re-read is checked."""
+    store = _store(spark)
+    o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("ref"), F.lit("e").alias("entity_id"), F.lit("PURCHASE_REGISTER").alias("document_type"), F.concat(text_of("o_orderkey"), F.when(F.col("o_orderkey") % 11 == 0, ".exe").otherwise(".csv")).alias("filename"), F.lit("2024-05-01").cast("timestamp").alias("received_at"), F.concat(F.lit("file of "), text_of("o_custkey")).cast("binary").alias("content"))
+    bronze.receive(store, o.where("ref % 2 = 0"))
+    receipts = bronze.receive(store, o)
+    checked = bronze.reread(store, bronze.ledger(store)).select("content_hash", "verdict")
+    out = receipts.join(checked, "content_hash", "left")
+    return out.select("ref", "refusal", "held_by", "size_bytes", "deduplicated", F.when(F.col("refusal").isNull(), F.col("verdict")).alias("verdict"))
+
+
 _NEW_ROWS = "b AS (SELECT supplier_gstin, invoice_no, row_hash, valid_from, l_partkey % 2 AS batch, min(line) AS line FROM purchases GROUP BY ALL)"
 
 

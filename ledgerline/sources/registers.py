@@ -1,8 +1,9 @@
 """Register and transaction files as rows of text cells with record numbers (S-01 to S-04, S-23).
 
 Record numbers of CSV files count records, and a quoted cell may hold line ends,
-so a file is parsed in order by one task, on Arrow batches; files are at most
-200 MiB and are dealt out over tasks. What follows is column expressions.
+so a file is parsed in order by one task, on Arrow batches; uploads are at most
+200 MiB and are dealt out over tasks (``large_csv`` splits larger files). A file
+without data rows is refused. What follows is column expressions.
 """
 
 from __future__ import annotations
@@ -47,6 +48,8 @@ def _csv(data: bytes, wanted: list[str], lower: bool) -> Iterator[tuple]:
             continue
         number += 1
         yield number, list(zip(header, record, strict=False)), None, None
+    if number == 1:
+        yield None, None, None, "no data rows"
 
 
 def _ndjson(data: bytes, wanted: list[str]) -> Iterator[tuple]:
@@ -55,10 +58,11 @@ def _ndjson(data: bytes, wanted: list[str]) -> Iterator[tuple]:
     except UnicodeDecodeError as e:
         yield None, None, None, f"not UTF-8 at byte {e.start}"
         return
-    checked = False
+    checked, rows = False, 0
     for number, line in enumerate(text.split("\n"), 1):
         if not line.strip():
             continue
+        rows += 1
         try:
             record = json.loads(line, parse_float=str, parse_int=str)  # a number keeps its text
         except ValueError:
@@ -73,6 +77,8 @@ def _ndjson(data: bytes, wanted: list[str]) -> Iterator[tuple]:
         checked = True
         cell = lambda v: None if v is None else v if isinstance(v, str) else str(v).lower() if isinstance(v, bool) else json.dumps(v)
         yield number, [(k, cell(v)) for k, v in record.items()], None, None
+    if not rows:
+        yield None, None, None, "no data rows"
 
 
 def cells(files: DataFrame, wanted: list[str], form: str = "CSV", lower: bool = False) -> DataFrame:

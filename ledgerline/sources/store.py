@@ -139,31 +139,46 @@ class TenantStore:
             self.abandon(batch)
             return False
         own = self._attempt(batch)
-        given = manifest | {"batch_id": batch, "attempt": own.name, "schemas": own.schemas}
+        given = _to_json(manifest | {"batch_id": batch, "attempt": own.name, "schemas": own.schemas})
+        if not self._commit(batch, manifest=given):
+            return False
+        self._materialize({"batch_id": batch, "manifest": given})
+        self._settle(batch)
+        return True
+
+    def commit(self, batch_id: str) -> bool:
+        """A commit of rows that live in the index alone, such as the intake ledger's; as ``publish``, but no batch for readers."""
+        if not self._commit(batch_id):
+            return False
+        self._settle(batch_id)
+        return True
+
+    def _settle(self, batch_id: str) -> None:
+        for table in {r.table for r in self._attempt(batch_id).runs}:
+            self.index.compact(table)
+        self.abandon(batch_id)
+
+    def _commit(self, batch: str, **more: object) -> bool:
+        """Appends the attempt's entry behind all commits since its start, none of which may have its batch (False) or its keys (Conflict)."""
+        own = self._attempt(batch)
         seen = own.state.version
         while True:
             for entry in self.log.entries(seen):
                 seen = entry["version"]
-                if entry["batch_id"] == batch:
+                if entry.get("manifest"):
                     self._materialize(entry)
+                if entry["batch_id"] == batch:
                     self.abandon(batch)
                     return False
                 if entry["batch_id"] and self.index.clash(own.runs, [Run(**r) for r in entry["runs"]]):
                     self.abandon(batch)
                     raise Conflict(f"batch {batch} met a key of batch {entry['batch_id']}")
-                if entry["batch_id"]:
-                    self._materialize(entry)
-            if self.log.append(seen + 1, batch, own.runs, manifest=_to_json(given)):
-                break
-        self._materialize({"batch_id": batch, "manifest": _to_json(given)})
-        for table in {r.table for r in own.runs}:
-            self.index.compact(table)
-        self.abandon(batch)
-        return True
+            if self.log.append(seen + 1, batch, own.runs, **more):
+                return True
 
     def recover(self) -> int:
         """Writes the manifests of commits whose writer was lost before it wrote them; all entries are looked at."""
-        return sum(self._materialize(e) for e in self.log.entries(0) if e["batch_id"])
+        return sum(self._materialize(e) for e in self.log.entries(0) if e.get("manifest"))
 
     def _materialize(self, entry: dict) -> bool:
         """The manifest table's row of a commit, from its log entry."""
