@@ -11,7 +11,8 @@ one or two for a block, are brought together by their number. Nothing but the ma
 Records, their numbers and refusals are those of ``registers.cells``, which follows
 Python's ``csv``: a quote opens a field only at its start, a lone carriage return ends a
 record, blank lines aren't counted. One thing differs: if a quote is never closed, the line
-end at the very end of the file isn't part of its cell.
+end at the very end of the file isn't part of its cell. Spark's readers skip files without
+bytes; the intake gate refuses these by their length.
 """
 
 from __future__ import annotations
