@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.functions import coerce, hashing, text
-from ledgerline.operators import archetypes, documents, load, readers, recon, upsert, views
+from ledgerline.operators import archetypes, documents, load, matching, readers, recon, upsert, views
 from ledgerline.plans import catalogue
 from ledgerline.plans.contracts import CONTRACTS
 from ledgerline.plans.dispatch import AD_BANKS
@@ -572,6 +572,22 @@ def recon_expired_obligation(spark, sf):
     return recon.expired_obligation(rows, F.lit("1996-01-01").cast("date")).select("o_orderkey", "shortfall")
 
 
+@query("""SELECT CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END AS invoice_id, o_orderkey AS return_id, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey END AS bill_id,
+    CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 4 <> 0 THEN 'COMPLETE' WHEN o_orderkey % 5 <> 0 THEN 'NO_BILL' WHEN o_orderkey % 4 <> 0 THEN 'NO_INVOICE' ELSE 'RETURN_ONLY' END AS status FROM orders WHERE o_orderkey % 7 <> 0
+  UNION ALL SELECT o_orderkey, NULL, NULL, 'INVOICE_ONLY' FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 5 = 0
+  UNION ALL SELECT NULL, NULL, o_orderkey, 'BILL_ONLY' FROM orders WHERE o_orderkey % 7 = 0 AND o_orderkey % 4 <> 0""")
+def three_way_match(spark, sf):
+    """J-13: invoice, table 6A and shipping bill, by party and normalised number, within a rupee and a week; every row of each side comes out once."""
+    o, key = t(spark, sf, "orders"), F.col("o_orderkey")
+    value, day = F.col("o_totalprice").cast(MONEY), F.to_date("o_orderdate")
+    stated = value + F.when(key % 3 == 0, F.lit(0.5).cast(MONEY)).otherwise(0) + F.when(key % 5 == 0, 5).otherwise(0)
+    side = lambda number, amount, on: o.select(key.alias("id"), F.col("o_custkey").alias("party"), matching.normal_number(number).alias("number"), amount.alias("amount"), on.alias("day"))
+    invoices = side(F.format_string("INV-%09d", key), value, day)
+    returns = side(F.format_string("inv %d", key), stated, F.date_add(day, 3)).where("id % 7 <> 0")
+    bills = side(F.format_string("INV/%012d", key), stated, F.date_add(day, 5)).where("id % 4 <> 0")
+    return matching.three_way(invoices, returns, bills, ["party", "number"])
+
+
 # the catalogue (C-03, C-05, J-08, J-12, A-09)
 
 
