@@ -344,6 +344,30 @@ def bronze_intake(spark, sf):
     return out.select("ref", "refusal", "held_by", "size_bytes", "deduplicated", F.when(F.col("refusal").isNull(), F.col("verdict")).alias("verdict"))
 
 
+def _sales_files(rows: DataFrame) -> DataFrame:
+    """Sales files, one for each customer: two lines an invoice; ``more`` is added to the first line's value."""
+    names = [c.name for c in SALES_HEADER + SALES_LINE]
+    lines = rows.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2))))
+    value = F.col("o_totalprice").cast(MONEY) + F.when(F.col("k") == 1, F.col("more")).otherwise(0)
+    given = {"invoice_no": F.concat(F.lit("S"), text_of("o_orderkey")), "invoice_date": F.lit("2024-04-03"), "invoice_type": F.lit("B2B"), "invoice_igst": F.lit("7.25"), "invoice_cgst": F.lit("1"), "line_number": text_of("k"), "taxable_value": text_of(value.cast(MONEY))}
+    line = F.concat_ws(",", *[given.get(n, F.lit("")) for n in names])
+    return _files(lines, F.col("o_custkey"), F.struct("o_orderkey", "k"), line, ",".join(names))
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_totalprice::DECIMAL(18,2) AS v FROM orders)
+  SELECT 'S' || o_orderkey AS invoice_no, o_orderkey % 5 <> 0 AS live, 8.25::DECIMAL(18,2) AS total_tax, 2::BIGINT AS lines, (2 * v)::DECIMAL(28,2) AS taxable_value, DATE '9999-12-31' AS valid_to FROM o
+  UNION ALL SELECT 'S' || o_orderkey, true, 8.25, 2, 2 * v + 1, DATE '9999-12-31' FROM o WHERE o_orderkey % 5 = 0""")
+def sales_loads(spark, sf):
+    """U-07, V-09, J-01: sales are loaded twice; of the invoices that come again those are superseded whose lines differ, and lines stay with their version."""
+    store, o = _store(spark), t(spark, sf, "orders").withColumn("more", F.lit(0))
+    load.load(store, _sales_files(o), _upload("SALES_REGISTER", "1", 1))
+    again = o.where("o_orderkey % 5 < 2").withColumn("more", F.when(F.col("o_orderkey") % 5 == 0, 1).otherwise(0))
+    load.load(store, _sales_files(again), _upload("SALES_REGISTER", "2", 2))
+    lines = views.view(store, "v1_sales_register_line").groupBy(F.col("header_id").alias("id")).agg(F.count(F.lit(1)).alias("lines"), F.sum("taxable_value").cast("decimal(28,2)").alias("taxable_value"))
+    heads = views.view(store, "v1_sales_register").select("id", "invoice_no", F.col("superseded_at").isNull().alias("live"), "total_tax", "valid_to")
+    return heads.join(lines, "id").drop("id")
+
+
 _NEW_ROWS = "b AS (SELECT supplier_gstin, invoice_no, row_hash, valid_from, l_partkey % 2 AS batch, min(line) AS line FROM purchases GROUP BY ALL)"
 
 

@@ -209,11 +209,14 @@ def overlapping(windows: DataFrame, key: str, first: str, last: str, row_id: str
 
 
 def as_of(events: DataFrame, states: DataFrame, key: list[str], event_time: str, state_time: str, value: list[str]) -> DataFrame:
-    """J-13: each event with the latest state at or before it: a union, one sort per key, and the last state carried along."""
+    """J-13: each event with the latest state at or before it: a union, one sort per key, and the last state carried along.
+
+    Of several states of a key at one time the largest (by ``value``, column by column, nulls smallest) holds.
+    """
     e = events.withColumn("_t", F.col(event_time)).withColumn("_kind", F.lit(1))
-    s = states.select(*key, *value, F.col(state_time).alias("_t"), F.lit(0).alias("_kind"))
-    w = Window.partitionBy(*key).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    s = states.select(*key, *value, F.col(state_time).alias("_t"), F.lit(0).alias("_kind"), F.struct(*value).alias("_tie"))
+    w = Window.partitionBy(*key).orderBy("_t", "_kind", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     both = e.unionByName(s, allowMissingColumns=True)
     held = F.last(F.when(F.col("_kind") == 0, F.struct(*value)), ignorenulls=True).over(w)
     out = both.withColumn("_held", held).where("_kind = 1")
-    return out.withColumns({v: F.col(f"_held.{v}") for v in value}).drop("_held", "_t", "_kind")
+    return out.withColumns({v: F.col(f"_held.{v}") for v in value}).drop("_held", "_t", "_kind", "_tie")

@@ -31,7 +31,11 @@ def once(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 
 def poll(stream: DataFrame, executions: str, versions: dict[str, str], handle: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Runs ``handle(batches, epoch)`` on batches that these versions haven't run, then records them in ``executions``."""
+    """Runs ``handle(batches, epoch)`` on batches that these versions haven't run, then records them in ``executions``.
+
+    Should a run be lost after ``handle`` and before its batches are recorded, they are
+    offered again under the same epoch: what ``handle`` writes must bear that.
+    """
     values = tuple(versions[v] for v in VERSION)
 
     def each(batches: DataFrame, epoch: int) -> None:
