@@ -151,7 +151,7 @@ def marked(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id") -> D
     found = common.stored(hits(docs, benchmark, item_id), "contaminated")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), n_words().alias("n_words"), digest().alias("digest"))
     rows = common.stored(rows, "texts")
-    sizes = rows.join(found.select("digest").hint("shuffle_hash"), "digest", "left_semi").groupBy("digest").agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("_rows"))  # combines before the shuffle, so copies meet nowhere
     found = common.stored(found.join(sizes, "digest"), "contaminated")
     total = found.agg(F.sum("_rows")).first()[0] or 0
     out = common.keyed_left(rows, found, "digest", "_rows", total)
