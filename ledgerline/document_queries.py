@@ -619,3 +619,40 @@ def three_way_match(spark, sf):
 def catalogue_fields(spark, sf):
     """C-03: a type's fields as its schema derives them."""
     return catalogue.fields(spark).where("document_type = 'TRIAL_BALANCE'").select("field", "kind", "required")
+
+
+# rules of the tables (C-04, C-05, P-28)
+
+_CHECKED = """x AS (SELECT l_orderkey * 10 + l_linenumber AS line, CASE WHEN l_linenumber = 7 THEN 0 ELSE l_linenumber END AS line_number,
+    CASE WHEN l_partkey % 11 <> 0 THEN l_partkey::VARCHAR || '00' END AS hsn_sac, (l_tax * 100 + CASE WHEN l_suppkey % 13 = 0 THEN 95 ELSE 0 END)::DECIMAL(6,3) AS gst_rate,
+    CASE WHEN l_suppkey % 3 = 0 THEN 1 ELSE 0 END::DECIMAL(18,2) AS igst, CASE WHEN l_partkey % 5 = 0 THEN 2 ELSE 0 END::DECIMAL(18,2) AS cgst, CASE WHEN l_partkey % 7 <> 0 THEN 0 END::DECIMAL(18,2) AS sgst,
+    CASE WHEN l_returnflag = 'R' THEN 'inr' ELSE 'INR' END AS currency, CASE WHEN l_returnflag = 'A' THEN '7' WHEN l_returnflag = 'N' THEN '27' END AS place_of_supply,
+    CASE l_linestatus WHEN 'O' THEN 'B2B' ELSE 'B2X' END AS invoice_type, CASE WHEN l_suppkey % 10 = 0 THEN '29AAAAA0000A1Z' || (l_suppkey % 4) WHEN l_suppkey % 10 = 1 THEN '29' || l_suppkey END AS customer_gstin FROM lineitem)"""
+
+
+@query(f"""WITH {_CHECKED}
+  SELECT line, 'sales_register_line_line_number_check' AS constraint_name, 'line_number' AS column_name, line_number::VARCHAR AS value FROM x WHERE line_number <= 0
+  UNION ALL SELECT line, 'sales_register_line_hsn_sac_check', 'hsn_sac', hsn_sac FROM x WHERE length(hsn_sac) NOT BETWEEN 4 AND 8
+  UNION ALL SELECT line, 'sales_register_line_gst_rate_tax_rate', 'gst_rate', gst_rate::VARCHAR FROM x WHERE gst_rate > 100
+  UNION ALL SELECT line, 'sales_register_line_igst_rule', 'igst, cgst, sgst', 'igst=' || igst || ', cgst=' || cgst || ', sgst=' || coalesce(sgst::VARCHAR, 'null') FROM x WHERE igst > 0 AND cgst > 0
+  UNION ALL SELECT line, 'sales_register_currency_check', 'currency', currency FROM x WHERE currency = 'inr'
+  UNION ALL SELECT line, 'sales_register_place_of_supply_check', 'place_of_supply', place_of_supply FROM x WHERE place_of_supply = '7'
+  UNION ALL SELECT line, 'sales_register_invoice_type_vocabulary', 'invoice_type', invoice_type FROM x WHERE invoice_type = 'B2X'
+  UNION ALL SELECT line, 'sales_register_customer_gstin_gstin', 'customer_gstin', customer_gstin FROM x WHERE customer_gstin NOT LIKE '29AAAAA%'""")
+def broken_checks(spark, sf):
+    """P-28, C-05: every rule of the sales register's two tables, over all lines; nulls keep a rule, unless what is known breaks it."""
+    when = lambda c, v: F.when(F.expr(c), v)
+    rows = t(spark, sf, "lineitem").select(
+        F.expr("l_orderkey * 10 + l_linenumber").alias("line"),
+        when("l_linenumber = 7", 0).otherwise(F.col("l_linenumber")).alias("line_number"),
+        when("l_partkey % 11 <> 0", F.concat(text_of("l_partkey"), F.lit("00"))).alias("hsn_sac"),
+        F.expr("cast(l_tax * 100 + if(l_suppkey % 13 = 0, 95, 0) as decimal(6,3))").alias("gst_rate"),
+        F.expr("cast(if(l_suppkey % 3 = 0, 1, 0) as decimal(18,2))").alias("igst"),
+        F.expr("cast(if(l_partkey % 5 = 0, 2, 0) as decimal(18,2))").alias("cgst"),
+        F.expr("cast(if(l_partkey % 7 <> 0, 0, null) as decimal(18,2))").alias("sgst"),
+        when("l_returnflag = 'R'", "inr").otherwise("INR").alias("currency"),
+        when("l_returnflag = 'A'", "7").when(F.expr("l_returnflag = 'N'"), "27").alias("place_of_supply"),
+        when("l_linestatus = 'O'", "B2B").otherwise("B2X").alias("invoice_type"),
+        when("l_suppkey % 10 = 0", F.concat(F.lit("29AAAAA0000A1Z"), text_of(F.expr("l_suppkey % 4")))).when(F.expr("l_suppkey % 10 = 1"), F.concat(F.lit("29"), text_of("l_suppkey"))).alias("customer_gstin"),
+    )
+    return documents.broken_checks(rows, "sales_register", "sales_register_line")

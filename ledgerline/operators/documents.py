@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import coerce, hashing
-from ledgerline.plans.contracts import OPTIONAL, REQUIRED, Contract
+from ledgerline.plans.checks import checks_of
+from ledgerline.plans.contracts import LINE_KINDS, OPTIONAL, REQUIRED, Contract
 from ledgerline.plans.registers import SALES_HEADER, SALES_LINE, VOCABULARIES
 
 #: Writes rows that several results come from, and reads them back.
@@ -20,15 +21,13 @@ def same(rows: DataFrame) -> DataFrame:
     return rows
 
 
-_LINE_KINDS = {"line_number": "int", "hsn_sac": "hsn", "quantity": "qty", "unit_price": "money", "taxable_value": "money", "gst_rate": "rate", "cgst_amount": "money", "sgst_amount": "money", "igst_amount": "money", "cess_amount": "money", "itc_amount": "money", "description": "text", "uom": "text"}
-
 _ZERO_IF_BLANK = ("cgst_amount", "sgst_amount", "igst_amount", "cess_amount", "itc_amount")
 
 
 def transaction_rows(rows: DataFrame, contract: Contract, rule: str = "file") -> DataFrame:
     """P-08 to P-14: typed cells of a transaction file, with ``problems``: all that is wrong with each row."""
     own = contract.doc + contract.line
-    kinds = {"doc_date": "date", **_LINE_KINDS, **{a.name: a.kind for a in own}}
+    kinds = {"doc_date": "date", **LINE_KINDS, **{a.name: a.kind for a in own}}
     names = dict.fromkeys([*REQUIRED, *kinds, "counterparty_name", "currency"])
     # cells and their values are columns of their own, so that no test computes them again; explode: nor what the cells come from
     rows = rows.withColumn("cells", F.explode(F.array("cells")))
@@ -115,6 +114,22 @@ def outside_vocabulary(rows: DataFrame, table: str) -> DataFrame:
     return rows.select("line", F.explode(F.array_compact(F.array(*tests))).alias("x")).select("line", "x.column_name", "x.value")
 
 
+def broken_checks(rows: DataFrame, *tables: str) -> DataFrame:
+    """P-28, C-05: (line, constraint_name, column_name, value) of each rule of the tables that a row breaks.
+
+    A rule counts where the rows have all its columns; one that isn't true for want of a
+    value is kept. All rules are tested in one pass over the rows.
+    """
+    tests = []
+    for check in (c for t in tables for c in checks_of(t) if set(c.columns) <= set(rows.columns)):
+        said = F.concat_ws(", ", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in check.columns])
+        value = said if len(check.columns) > 1 else F.col(check.columns[0]).cast("string")
+        tests.append(F.when(~F.expr(check.text), F.struct(F.lit(check.name).alias("constraint_name"), F.lit(", ".join(check.columns)).alias("column_name"), value.alias("value"))))
+    none = "array<struct<constraint_name:string,column_name:string,value:string>>"
+    found = F.array_compact(F.array(*tests)) if tests else F.array().cast(none)
+    return rows.select("line", F.explode(found).alias("x")).select("line", "x.*")
+
+
 def unknown_values(rows: DataFrame, column: str, vocabulary: DataFrame) -> DataFrame:
     """P-29 with the vocabulary as a table (value)."""
     return rows.where(F.col(column).isNotNull()).join(vocabulary.select(F.col("value").alias(column)), column, "left_anti")

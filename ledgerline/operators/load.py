@@ -6,7 +6,7 @@ manifest last, so it shows whole or not at all. Loads may run at the same time:
 that another has overtaken on a key is done again. It can be repeated after any
 failure; a batch that is already published is UNCHANGED and nothing is written.
 A file that can't be read, or that its type refuses whole, leaves a quarantine
-row and no batch; so does one with a value outside a closed vocabulary (INVALID).
+row and no batch; so does one with a row that breaks a rule of its table (INVALID).
 A load that changes nothing publishes no batch.
 """
 
@@ -138,10 +138,9 @@ def _live_run(held: DataFrame, key: list[str]) -> DataFrame:
     return rows.select(*dict.fromkeys([*key, "row_hash", "valid_from", "valid_to", "id"]), F.col("_removed").alias("removed"))
 
 
-def _invalid(store: TenantStore, up: Upload, rows: DataFrame, table: str) -> list[str]:
-    """P-28, P-30: a value outside a closed vocabulary breaks a rule of the table: the file is refused as INVALID."""
-    outside = documents.outside_vocabulary(rows, table).limit(20).collect()
-    return [f"{documents.INVALID}: line {r.line}: {r.column_name}: {r.value}" for r in outside]
+def _invalid(rows: DataFrame, *tables: str) -> list[str]:
+    """P-28, P-30: a row that breaks a rule of its table: the file is refused as INVALID."""
+    return [f"{documents.INVALID}: line {r.line}: {r.column_name}: {r.value}" for r in documents.broken_checks(rows, *tables).limit(20).collect()]
 
 
 def _live(store: TenantStore, up: Upload, table: str, key: list[str], like: DataFrame) -> DataFrame:
@@ -175,7 +174,7 @@ def _fatal(found: DataFrame) -> list[str]:
 
 def _register(store: TenantStore, good: DataFrame, bad: DataFrame | None, up: Upload, register: Register) -> Outcome:
     start, end = F.lit(up.period_start), F.lit(up.period_end)
-    if reasons := _invalid(store, up, good, register.table):
+    if reasons := _invalid(good, register.table):
         return _quarantined(store, up, reasons)
     rows = registers.with_period(_owned(good, up), register, start, end).withColumn("valid_to", F.lit(upsert.OPEN_END).cast("date"))
     if register.natural:
@@ -192,11 +191,11 @@ def load_sales(store: TenantStore, files: DataFrame, up: Upload) -> Outcome:
     found = _parsed(store, up, registers.cells(files, [c.name for c in SALES_HEADER + SALES_LINE], up.form))
     if reasons := _fatal(found):
         return _quarantined(store, up, reasons)
-    typed = registers.typed(found.where("fatal is null"), SALES_HEADER + SALES_LINE)
-    heads, lines, wrong = documents.sales(typed, hold=lambda rows: store.work(up.batch_id, "typed", rows))
+    typed = store.work(up.batch_id, "typed", registers.typed(found.where("fatal is null"), SALES_HEADER + SALES_LINE))
+    heads, lines, wrong = documents.sales(typed)
     if reasons := [f"line {r.line}: {r.message}" for r in wrong.orderBy("line", "message").limit(20).collect()]:
         return _quarantined(store, up, reasons)
-    if reasons := _invalid(store, up, heads, "sales_register"):
+    if reasons := _invalid(typed, "sales_register", "sales_register_line"):
         return _quarantined(store, up, reasons)
     rows = _owned(heads, up).withColumns({"valid_from": F.col("invoice_date"), "tax_period": F.lit(up.period_start)})
     key = ["entity_id", "gstin", "invoice_no"]
@@ -216,6 +215,8 @@ def _transactions(store: TenantStore, cells: DataFrame, up: Upload) -> Outcome:
     heads, lines, wrong = documents.transactions(cells, CONTRACTS[up.document_type], hold=lambda rows: store.work(up.batch_id, "typed", rows))
     if reasons := [f"line {r.line}: {r.message}" for r in wrong.orderBy("line", "message").limit(20).collect()]:
         return _quarantined(store, up, reasons)
+    if reasons := _invalid(lines, "transaction_document", "transaction_line"):
+        return _quarantined(store, up, reasons)
     contract = CONTRACTS[up.document_type]
     rows = _gathered(heads, contract.doc).withColumns({"entity_id": F.lit(up.entity_id), "gstin": F.coalesce("counterparty_gstin", F.lit("")), "document_type": F.lit(up.document_type), "direction": F.lit(contract.direction), "valid_from": F.col("doc_date"), "line": F.col("first_line")})
     rows = rows.withColumn("row_hash", hashing.row_hash("doc_number", "doc_date", "total_value", "row_count"))

@@ -9,12 +9,14 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.functions.coerce import GSTIN
-from ledgerline.plans.contracts import CONTRACTS, EXTRACTIONS
+from ledgerline.functions.coerce import GSTIN, HSN
+from ledgerline.plans.checks import checks_of, domain_of
+from ledgerline.plans.contracts import CONTRACTS, ENVELOPE_KINDS, EXTRACTIONS, LINE_KINDS, REQUIRED
 from ledgerline.plans.dispatch import mechanism
-from ledgerline.plans.registers import REGISTERS, SALES_HEADER, SALES_LINE, VOCABULARIES
+from ledgerline.plans.registers import REGISTERS, SALES_HEADER, SALES_LINE, Column
 
-FIELDS = "document_type string, kind string, origin string, field string, type string, required boolean, pattern string, allowed array<string>, min string, max string"
+FIELDS = "document_type string, kind string, origin string, field string, type string, required boolean, domain string, pattern string, allowed array<string>, min string, max string, max_length int"
+RULES = "document_type string, constraint_name string, columns array<string>, expression string"
 
 
 def check_shape(check: str, column: str, whole: bool = False) -> dict | None:
@@ -38,7 +40,7 @@ def check_shape(check: str, column: str, whole: bool = False) -> dict | None:
     if m := re.fullmatch(rf"\(?{name} IS NULL\)? OR (.*)", body):
         body = bare(m[1])
     number = r"\(?\(?(-?\d+(?:\.\d+)?)\)?\)?"
-    if m := re.fullmatch(rf"{name} ~ '(.*)'", body):
+    if m := re.fullmatch(rf"{name} (?:~|RLIKE) '(.*)'", body):
         return {"pattern": m[1]}
     if m := re.fullmatch(rf"{name} = ANY \(+ARRAY\[(.*)\]\)+", body) or re.fullmatch(rf"{name} IN \((.*)\)", body):
         return {"allowed": [v.replace("''", "'") for v in re.findall(r"'((?:[^']|'')*)'", m[1])]} if "'" in m[1] else None
@@ -46,6 +48,8 @@ def check_shape(check: str, column: str, whole: bool = False) -> dict | None:
         return {"allowed": [m[1].replace("''", "'")]}
     if m := re.fullmatch(rf"\(?{name} >= {number}\)? AND \(?{name} <= {number}\)?", body) or re.fullmatch(rf"{name} BETWEEN {number} AND {number}", body):
         return {"min": Decimal(m[1]), "max": Decimal(m[2])}
+    if m := re.fullmatch(rf"char_length\({name}\) <= (\d+)", body):
+        return {"max_length": int(m[1])}
     if m := re.fullmatch(rf"{name} >= {number}", body):
         return {"min": Decimal(m[1])}
     if m := re.fullmatch(rf"{name} <= {number}", body):
@@ -55,32 +59,79 @@ def check_shape(check: str, column: str, whole: bool = False) -> dict | None:
     return None
 
 
-def _field(document_type: str, kind: str, origin: str, name: str, type_: str, required: bool, table: str = "") -> tuple:
-    allowed = VOCABULARIES.get((table, name))
-    pattern = GSTIN["domain"] if name.endswith("gstin") else None
-    low, high = ("0", "100") if type_ == "rate" else (None, None)
-    return (document_type, kind, origin, name, type_, required, pattern, list(allowed) if allowed else None, low, high)
+def merged(shapes: list[dict]) -> dict:
+    """What several rules say together: the narrower bounds, the values that all allow (in the first one's order), one of the patterns."""
+    out: dict = {}
+    for shape in shapes:
+        for what, value in shape.items():
+            if what not in out:
+                out[what] = value
+            elif what == "allowed":
+                out[what] = [v for v in out[what] if v in value]
+            elif what != "pattern":
+                out[what] = max(out[what], value) if what == "min" else min(out[what], value)
+    return out
+
+
+def _shapes(table: str, name: str, kind: str) -> list[dict]:
+    found = (check_shape(c.text, name, kind == "int") for c in checks_of(table) if c.columns == (name,))
+    return [s for s in found if s]
+
+
+#: What coercion asks of a contract's own attributes, which have no column and so no CHECK.
+_BY_KIND = {"gstin": {"pattern": GSTIN["file"]}, "hsn": {"pattern": HSN}, "rate": {"min": Decimal(0), "max": Decimal(100)}}
+
+
+def _field(document_type: str, kind: str, origin: str, column: Column, table: str | None = None) -> tuple:
+    says = merged(_shapes(table, column.name, column.kind) if table else [_BY_KIND.get(column.kind, {})])
+    text = lambda v: None if v is None else str(v)
+    return (document_type, kind, origin, column.name, column.kind, column.required, domain_of(column) if kind == "TABULAR" else None, says.get("pattern"), says.get("allowed"), text(says.get("min")), text(says.get("max")), says.get("max_length"))
+
+
+def _tables() -> list[tuple[str, str, str, tuple[Column, ...]]]:
+    """(document type, kind, table, columns) of all that lands in typed columns."""
+    out = [(t, "TABULAR", r.table, r.columns) for r in REGISTERS for t in r.types]
+    out += [("SALES_REGISTER", "TABULAR", "sales_register", SALES_HEADER), ("SALES_REGISTER", "TABULAR", "sales_register_line", SALES_LINE)]
+    for t in CONTRACTS:
+        if mechanism(t) == "TRANSACTION":
+            for table, kinds in (("transaction_document", ENVELOPE_KINDS), ("transaction_line", LINE_KINDS)):
+                out.append((t, "DOCUMENT", table, tuple(Column(n, k, n in REQUIRED) for n, k in kinds.items())))
+    return out
 
 
 def derived() -> list[tuple]:
     """C-03, C-05: every field of every type that declares some, in a fixed order."""
-    out = []
-    for r in REGISTERS:
-        for t in r.types:
-            out += [_field(t, "TABULAR", "DECLARED", c.name, c.kind, c.required, r.table) for c in r.columns]
-    out += [_field("SALES_REGISTER", "TABULAR", "DECLARED", c.name, c.kind, c.required, "sales_register") for c in SALES_HEADER + SALES_LINE]
+    out = [_field(t, kind, "DECLARED", c, table) for t, kind, table, columns in _tables() for c in columns]
     for t, c in CONTRACTS.items():
         if mechanism(t) == "TRANSACTION":
-            out += [_field(t, "DOCUMENT", "DECLARED", a.name, a.kind, a.required) for a in c.doc + c.line]
+            out += [_field(t, "DOCUMENT", "DECLARED", Column(a.name, a.kind, a.required)) for a in c.doc + c.line]
     for t, (_, spec) in EXTRACTIONS.items():
         if spec.fields:
-            out += [_field(t, "DOCUMENT", "DERIVED", a.name, a.kind, a.required) for a in spec.fields]
+            out += [_field(t, "DOCUMENT", "DERIVED", Column(a.name, a.kind, a.required)) for a in spec.fields]
         else:
-            out.append((t, "UNSPECIFIED", "PENDING", None, None, None, None, None, None, None))
-    out += [(t, "JSON", "DERIVED", None, None, None, None, None, None, None) for t in ("GSTR_2B", "GSTR_3B")]
+            out.append((t, "UNSPECIFIED", "PENDING", *[None] * 9))
+    out += [(t, "JSON", "DERIVED", *[None] * 9) for t in ("GSTR_2B", "GSTR_3B")]
     return sorted(out, key=lambda x: (x[0], x[1], x[3] or ""))
 
 
+def derived_rules() -> list[tuple]:
+    """C-05: the rules that are about no single field, or say more than a field can: whole, with their columns."""
+    out = []
+    for t, _, table, columns in _tables():
+        kinds = {c.name: c.kind for c in columns}
+        for check in checks_of(table):
+            if not set(check.columns) <= kinds.keys():  # on columns that no upload supplies
+                continue
+            one = check.columns[0]
+            if len(check.columns) > 1 or check_shape(check.text, one, kinds.get(one) == "int") is None:
+                out.append((t, check.name, list(check.columns), check.text))
+    return sorted(out)
+
+
+def rules(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(derived_rules(), RULES)
+
+
 def fields(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(derived(), FIELDS)
 
@@ -88,5 +139,6 @@ def fields(spark: SparkSession) -> DataFrame:
 def release() -> tuple[bytes, str]:
     """C-06: the catalogue as JSON, the same bytes for the same specs, and its SHA-256."""
     names = [f.split()[0] for f in FIELDS.split(", ")]
-    body = json.dumps([dict(zip(names, row, strict=True)) for row in derived()], sort_keys=True, separators=(",", ":")).encode()
+    said = {"fields": [dict(zip(names, row, strict=True)) for row in derived()], "rules": derived_rules()}
+    body = json.dumps(said, sort_keys=True, separators=(",", ":")).encode()
     return body, hashlib.sha256(body).hexdigest()

@@ -11,6 +11,9 @@ TEXT_KINDS = ("text", "date", "date_range", "money", "int", "gstin", "hsn")
 DIRECTIONS, COUNTERPARTIES = ("INWARD", "OUTWARD", "INTERNAL"), ("REQUIRED", "OPTIONAL", "FOREIGN")
 REQUIRED = ("doc_number", "doc_date", "line_number", "hsn_sac", "quantity", "unit_price", "taxable_value", "gst_rate")
 OPTIONAL = ("counterparty_gstin", "counterparty_name", "currency", "description", "uom", "cgst_amount", "sgst_amount", "igst_amount", "cess_amount", "itc_amount")
+#: Kinds of the cells that documents of every contract have: of the document, and of its lines.
+ENVELOPE_KINDS = {"doc_number": "text", "doc_date": "date", "counterparty_gstin": "gstin", "counterparty_name": "text", "currency": "text"}
+LINE_KINDS = {"line_number": "int", "hsn_sac": "hsn", "quantity": "qty", "unit_price": "money", "taxable_value": "money", "gst_rate": "rate", "cgst_amount": "money", "sgst_amount": "money", "igst_amount": "money", "cess_amount": "money", "itc_amount": "money", "description": "text", "uom": "text"}
 
 
 @dataclass(frozen=True)
