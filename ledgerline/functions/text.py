@@ -9,11 +9,16 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from decimal import Decimal
+from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DecimalType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 LEAST_TEXT, WINDOW = 20, 8
 MONEY = r"[\d,]+(?:\.\d+)?"
@@ -91,52 +96,132 @@ def label_outcome(docs: DataFrame, fields: list[tuple[str, str, bool, str]], pag
     return out.withColumns({"missing": F.when(silent, none).otherwise(F.col("missing")), "failed": F.when(silent, none).otherwise(F.col("failed"))})
 
 
-def _cell(kind: str, raw: str) -> str | None:
-    """X-03 for one cell of a row; null where it doesn't coerce."""
+_STRPTIME = ("%d %B %Y", "%d-%b-%Y", "%Y-%m-%d")
+#: Kinds that are what a pattern finds in the cell.
+_FOUND = {"money": MONEY, "int": r"\d+", "gstin": GSTIN, "hsn": r"\d{4,10}"}
+
+
+def _written_date(raw: str) -> dt.date | None:
+    for (pattern, _), form in zip(DATES, _STRPTIME, strict=True):
+        for shown in re.findall(pattern, raw)[:1]:
+            try:
+                return dt.datetime.strptime(shown, form).date()
+            except ValueError:
+                pass
+    return None
+
+
+def _reader(kind: str) -> Callable[[str], str | None]:
+    """X-03 for the cells of a column: text, or null where a cell doesn't coerce."""
     if kind == "text":
-        return raw.strip()
+        return str.strip
     if kind == "date":
-        for pattern, form in ((DATES[0][0], "%d %B %Y"), (DATES[1][0], "%d-%b-%Y"), (DATES[2][0], "%Y-%m-%d")):
-            if m := re.search(pattern, raw):
-                try:
-                    return dt.datetime.strptime(m[0], form).date().isoformat()
-                except ValueError:
-                    continue
+        return lambda raw: (day := _written_date(raw)) and day.isoformat()
+    find, tidy = re.compile(_FOUND[kind]).search, (lambda raw: raw.replace(" ", "").upper()) if kind == "gstin" else str
+    return lambda raw: (m := find(tidy(raw))) and m[0].replace(",", "")
+
+
+class RowForm:
+    """A table's row: its pattern, and how its named groups become cells.
+
+    The lines of a document are one string with a space between any two. A row may start
+    at any line and covers up to WINDOW lines. A partial match tells whether a line can begin
+    a row at all: most can't and are left at their first look; the others' windows grow.
+    """
+
+    def __init__(self, pattern: str, columns: Iterable[tuple[str, str]]):
+        self.names = [name for name, _ in columns]
+        self.readers = [_reader(kind) for _, kind in columns]
+        self.begins, self.match = regex.compile(pattern).fullmatch, re.compile(pattern).fullmatch
+
+    def cells(self, match: re.Match) -> list[str] | None:
+        values = [read(raw) for read, raw in zip(self.readers, match.group(*self.names) if len(self.names) > 1 else [match.group(*self.names)], strict=True)]
+        return None if None in values else values
+
+    def taken(self, flat: str, start: int, ends: list[int]) -> tuple[int, list[str]] | None:
+        """The least number of lines from ``start`` on that are a row whose cells coerce, and the cells."""
+        if not self.begins(flat[start : ends[0]], partial=True):
+            return None
+        for n, end in enumerate(ends, 1):
+            if (match := self.match(flat[start:end])) and (values := self.cells(match)) is not None:
+                return n, values
         return None
-    pattern = {"money": MONEY, "int": r"\d+", "gstin": GSTIN, "hsn": r"\d{4,10}"}[kind]
-    m = re.search(pattern, raw.replace(" ", "").upper() if kind == "gstin" else raw)
-    return m[0].replace(",", "") if m else None
-
-
-def rows_in(pages: list[str], pattern: re.Pattern, columns: list[tuple[str, str]]) -> list[dict[str, str]]:
-    """The rows of a flattened table: at each line the shortest window of lines that is a row and coerces; lines that start none are skipped."""
-    lines = [x.strip() for x in "\n".join(pages).splitlines() if x.strip()]
-    out, i = [], 0
-    while i < len(lines):
-        step, joined = 1, ""
-        for j in range(i, min(len(lines), i + WINDOW)):
-            joined = f"{joined} {lines[j]}" if joined else lines[j]
-            if m := pattern.fullmatch(joined):
-                row = {name: _cell(kind, m.group(name)) for name, kind in columns}
-                if None not in row.values():
-                    out.append(row)
-                    step = j - i + 1
-                    break
-        i += step
-    return out
+
+    def rows(self, pages: Iterable[str] | None) -> Iterator[list[str]]:
+        lines = [line for page in pages or () for raw in (page or "").splitlines() if (line := raw.strip())]
+        flat, ends = " ".join(lines), list(accumulate((len(x) + 1 for x in lines), initial=-1))
+        at = 0
+        while at < len(lines):
+            found = self.taken(flat, ends[at] + 1, ends[at + 1 : at + 1 + WINDOW])
+            if found:
+                yield found[1]
+            at += found[0] if found else 1
 
 
 def table_rows(docs: DataFrame, pattern: str, columns: list[tuple[str, str]], pages: str = "pages") -> DataFrame:
-    """Adds ``rows``, array<map<string,string>>, the table's rows in order."""
+    """X-04: adds ``rows``, array<map<string,string>>, the table's rows in order; at each line the shortest window of lines that is a row."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        form = re.compile(pattern)
+        form = RowForm(pattern, columns)
         for batch in batches:
-            yield pa.array([[list(r.items()) for r in rows_in(p or [], form, columns)] for p in batch.to_pylist()], pa.list_(pa.map_(pa.string(), pa.string())))
+            yield pa.array([[list(zip(form.names, row, strict=True)) for row in form.rows(p)] for p in batch.to_pylist()], pa.list_(pa.map_(pa.string(), pa.string())))
 
     return docs.withColumn("rows", F.arrow_udf(run, "array<map<string,string>>")(F.col(pages)))
 
 
+#: Kinds of a SQL table function's columns, and their values from a cell's text.
+_TYPED = {"text": (StringType(), str), "gstin": (StringType(), str), "hsn": (StringType(), str), "int": (LongType(), int), "money": (DecimalType(18, 2), Decimal), "date": (DateType(), dt.date.fromisoformat)}
+
+
+class DocumentRows:
+    """X-04 as a table function of SQL: a table's rows with typed columns, and ``place``, their number in the document.
+
+    ``SELECT * FROM docs, LATERAL document_rows(pages, '<pattern>', 'holder text, shares money')``;
+    pattern and columns are constants, and the columns give the result its schema. Null pages have no
+    rows; a number that its type can't hold makes its cell null.
+    """
+
+    def __init__(self):
+        self.form = None
+
+    @staticmethod
+    def columns(text: str) -> list[tuple[str, str]]:
+        out = [tuple(c.split()) for c in text.split(",")]
+        if bad := [c for c in out if len(c) != 2 or c[1] not in _TYPED]:
+            raise ValueError(f"not a name and a kind of {sorted(_TYPED)}: {bad}")
+        return out
+
+    @staticmethod
+    def analyze(pages: AnalyzeArgument, pattern: AnalyzeArgument, columns: AnalyzeArgument) -> AnalyzeResult:
+        if not (pattern.isConstantExpression and columns.isConstantExpression):
+            raise ValueError("pattern and columns must be constants")
+        declared = DocumentRows.columns(columns.value)
+        if lost := {name for name, _ in declared} - regex.compile(pattern.value).groupindex.keys():
+            raise ValueError(f"columns without a group in the pattern: {sorted(lost)}")
+        typed = [StructField(name, _TYPED[kind][0]) for name, kind in declared]
+        return AnalyzeResult(StructType([StructField("place", IntegerType()), *typed]))
+
+    def eval(self, pages, pattern, columns):
+        if self.form is None:
+            declared = self.columns(columns)
+            self.form, self.types = RowForm(pattern, declared), [_TYPED[kind][1] for _, kind in declared]
+        for at, row in enumerate(self.form.rows(pages), 1):
+            yield at, *[_held(of, value) for of, value in zip(self.types, row, strict=True)]
+
+
+def _held(of: Callable, value: str):
+    out = of(value)
+    if of is Decimal:
+        out = round(out, 2)
+        return out if abs(out) < 10**16 else None
+    return None if of is int and abs(out) >= 1 << 63 else out
+
+
+def register(spark: SparkSession) -> None:
+    """Makes ``document_rows`` known to the session's SQL."""
+    spark.udtf.register("document_rows", F.udtf(DocumentRows, useArrow=False))
+
+
 def payroll_rows(docs: DataFrame, pages: str = "pages", place: str | None = None) -> DataFrame:
     """X-05: payroll register rows, each from its EMP or CONS number to the next; the note at the end is cut. ``place`` names a column for a row's place in its document."""
     body = F.split(page_text(F.col(pages)), "Note:", 2)[0]

@@ -556,3 +556,16 @@ def wrapped_table_rows(spark, sf):
     out = text.table_rows(docs, r"(?P<holder>Holder \d+)\s+(?P<shares>[\d,]+)\s+(?P<pledged>Yes|No)", [("holder", "text"), ("shares", "money"), ("pledged", "text")])
     r = out.select("o_orderkey", F.explode("rows").alias("r"))
     return r.select("o_orderkey", *[F.col("r")[n].alias(n) for n in ("holder", "shares", "pledged")])
+
+
+@query("""SELECT o_orderkey, k.n::INT AS place, 'Holder ' || (o_custkey + k.n) AS holder, (o_custkey * 1000 + k.n)::DECIMAL(18,2) AS shares, (o_totalprice::DECIMAL(18,2) + k.n)::DECIMAL(18,2) AS amount, o_orderdate::DATE AS since
+  FROM orders, (VALUES (1), (2), (3)) k(n) WHERE k.n <= o_orderkey % 4""")
+def document_rows(spark, sf):
+    """X-04 as SQL's table function: typed rows that wrap differently in each document, between lines that are none."""
+    text.register(spark)
+    t(spark, sf, "orders").createOrReplaceTempView("ledgerline_orders")
+    return spark.sql(r"""
+      WITH docs AS (SELECT o_orderkey, transform(sequence(0, cast(o_orderkey % 4 as int)), k -> if(k = 0, 'Holders and others\nHolder Name Shares\nHolder 12',
+          concat('Holder', if(k % 2 = 0, '\n', ' '), o_custkey + k, '\n', format_number(o_custkey * 1000 + k, 0), if(o_orderkey % 3 = 0, '\n\n ', ' '),
+            format_number(cast(o_totalprice as decimal(18,2)) + k, 2), '\n', date_format(o_orderdate, 'dd-MMM-yyyy'), '\nNote ', k))) AS pages FROM ledgerline_orders)
+      SELECT o_orderkey, r.* FROM docs, LATERAL document_rows(pages, '(?P<holder>Holder \\d+)\\s+(?P<shares>[\\d,]+)\\s+(?P<amount>[\\d,]+\\.\\d\\d)\\s+(?P<since>\\d{2}-[A-Za-z]{3}-\\d{4})', 'holder text, shares money, amount money, since date') r""")
