@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import coerce, fiscal, hashing, text
-from ledgerline.operators import documents, readers, recon, upsert
+from ledgerline.operators import documents, readers, recon, settings, upsert
 from ledgerline.plans.registers import Column
 from ledgerline.sources import intake, registers
 
@@ -569,3 +569,27 @@ def document_rows(spark, sf):
           concat('Holder', if(k % 2 = 0, '\n', ' '), o_custkey + k, '\n', format_number(o_custkey * 1000 + k, 0), if(o_orderkey % 3 = 0, '\n\n ', ' '),
             format_number(cast(o_totalprice as decimal(18,2)) + k, 2), '\n', date_format(o_orderdate, 'dd-MMM-yyyy'), '\nNote ', k))) AS pages FROM ledgerline_orders)
       SELECT o_orderkey, r.* FROM docs, LATERAL document_rows(pages, '(?P<holder>Holder \\d+)\\s+(?P<shares>[\\d,]+)\\s+(?P<amount>[\\d,]+\\.\\d\\d)\\s+(?P<since>\\d{2}-[A-Za-z]{3}-\\d{4})', 'holder text, shares money, amount money, since date') r""")
+
+
+@query("""WITH s AS (SELECT p_partkey % 5 AS k, CASE WHEN p_partkey % 10 <> 0 THEN p_size % 25 END AS e, CASE WHEN p_partkey % 10 <> 0 AND p_partkey % 3 = 1 THEN (p_partkey % 4) * 25 + p_size % 25 END AS g,
+    DATE '1992-01-01' + (p_partkey * 37 % 3500)::INT AS f, CASE WHEN p_partkey % 2 = 1 THEN DATE '1992-01-01' + (p_partkey * 37 % 3500 + p_size * 10)::INT END AS u, p_partkey AS version, p_retailprice::DECIMAL(18,2) AS v FROM part),
+  o AS (SELECT o_orderkey, o_orderkey % 5 AS k, o_custkey % 25 AS e, o_custkey % 100 AS g, o_orderdate::DATE AS d FROM orders),
+  x AS (SELECT o_orderkey, d, 2 AS level, s.* EXCLUDE (k, e, g) FROM o JOIN s ON o.k = s.k AND o.e = s.e AND o.g = s.g AND f <= d
+    UNION ALL SELECT o_orderkey, d, 1, s.* EXCLUDE (k, e, g) FROM o JOIN s ON o.k = s.k AND o.e = s.e AND s.g IS NULL AND f <= d
+    UNION ALL SELECT o_orderkey, d, 0, s.* EXCLUDE (k, e, g) FROM o JOIN s ON o.k = s.k AND s.e IS NULL AND f <= d),
+  l AS (SELECT o_orderkey, d, level, u, v FROM x QUALIFY row_number() OVER (PARTITION BY o_orderkey, level ORDER BY f DESC, version DESC) = 1)
+  SELECT o_orderkey, level::INT AS level, v AS value FROM l WHERE u IS NULL OR u > d QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY level DESC) = 1""")
+def settings_in_force(spark, sf):
+    """W-04, V-18: all orders ask for the setting in force on their day; parts are the rows of tenant, entities and GSTINs."""
+    begin = F.date_add(F.lit("1992-01-01").cast("date"), (F.col("p_partkey") * 37 % 3500).cast("int"))
+    rows = t(spark, sf, "part").select(
+        (F.col("p_partkey") % 5).alias("setting_id"),
+        F.expr("if(p_partkey % 10 <> 0, p_size % 25, null)").cast("long").alias("entity_id"),
+        F.expr("if(p_partkey % 10 <> 0 and p_partkey % 3 = 1, (p_partkey % 4) * 25 + p_size % 25, null)").alias("gstin"),
+        begin.alias("effective_from"),
+        F.when(F.col("p_partkey") % 2 == 1, F.date_add(begin, F.col("p_size") * 10)).alias("effective_to"),
+        F.col("p_partkey").alias("version"),
+        F.col("p_retailprice").cast(MONEY).alias("value"),
+    )
+    asks = t(spark, sf, "orders").select("o_orderkey", F.expr("o_orderkey % 5").alias("setting_id"), F.expr("o_custkey % 25").alias("entity_id"), F.expr("o_custkey % 100").alias("gstin"), F.to_date("o_orderdate").alias("day"))
+    return settings.in_force(asks, rows, "day", ["value"]).select("o_orderkey", "level", "value")
