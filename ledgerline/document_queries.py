@@ -615,10 +615,23 @@ def three_way_match(spark, sf):
 # the catalogue (C-03, C-05, J-08, J-12, A-09)
 
 
-@query("""SELECT n AS field, 'TABULAR' AS kind, q AS required FROM (VALUES ('gl_code', true), ('account_description', true), ('opening_balance', false), ('closing_balance', false), ('dr_cr', false), ('gst_treatment', false)) v(n, q)""")
+@query("""WITH v AS (UNPIVOT (SELECT l_linenumber::VARCHAR AS line_number, CASE WHEN l_partkey % 11 <> 0 THEN l_partkey::VARCHAR || '00' END AS hsn_sac, (l_tax * 100 + CASE WHEN l_suppkey % 13 = 0 THEN 95 ELSE 0 END)::DECIMAL(6,3)::VARCHAR AS gst_rate,
+    CASE l_returnflag WHEN 'R' THEN 'inr' ELSE 'INR' END AS currency, CASE l_linestatus WHEN 'O' THEN 'B2B' ELSE 'B2X' END AS invoice_type FROM lineitem) ON COLUMNS(*) INTO NAME field VALUE value)
+  SELECT field, CASE field WHEN 'line_number' THEN 'int' WHEN 'gst_rate' THEN 'rate' ELSE 'text' END AS type, field IN ('line_number', 'invoice_type') AS required, count(*) AS cells,
+    count(*) FILTER (CASE field WHEN 'line_number' THEN value::INT < 1 WHEN 'hsn_sac' THEN length(value) NOT BETWEEN 4 AND 8 WHEN 'gst_rate' THEN value::DECIMAL(6,3) > 100 WHEN 'currency' THEN value = 'inr' ELSE value = 'B2X' END) AS refused
+  FROM v GROUP BY ALL""")
 def catalogue_fields(spark, sf):
-    """C-03: a type's fields as its schema derives them."""
-    return catalogue.fields(spark).where("document_type = 'TRIAL_BALANCE'").select("field", "kind", "required")
+    """C-03, C-05: what a client that knows the published fields alone would refuse of all lines' cells."""
+    cells = t(spark, sf, "lineitem").select(
+        text_of("l_linenumber").alias("line_number"),
+        F.when(F.col("l_partkey") % 11 != 0, F.concat(text_of("l_partkey"), F.lit("00"))).alias("hsn_sac"),
+        F.expr("cast(cast(l_tax * 100 + if(l_suppkey % 13 = 0, 95, 0) as decimal(6,3)) as string)").alias("gst_rate"),
+        F.when(F.col("l_returnflag") == "R", "inr").otherwise("INR").alias("currency"),
+        F.when(F.col("l_linestatus") == "O", "B2B").otherwise("B2X").alias("invoice_type"),
+    )
+    values = cells.select(F.explode(F.array(*[F.struct(F.lit(n).alias("field"), F.col(n).alias("value")) for n in cells.columns])).alias("x")).select("x.*").where("value is not null")
+    fields = catalogue.fields(spark).where("document_type = 'SALES_REGISTER'")
+    return catalogue.refused(values, fields).groupBy("field", "type", "required").agg(F.count(F.lit(1)).alias("cells"), F.count_if("refused").alias("refused"))
 
 
 # rules of the tables (C-04, C-05, P-28)

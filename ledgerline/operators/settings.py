@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.operators import intervals
+from ledgerline.session import held
 
 #: Scopes up to this count go to all tasks; more are joined by a shuffle.
 SCOPES = 100_000
@@ -61,8 +62,8 @@ def timelines(settings: DataFrame, values: Sequence[str], key: str = "setting_id
     now = {f"_s{n}": F.last(f"_s{n}", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)) for n in range(3)}
     days = days.withColumns(now | {"_next": F.lead("held_from").over(order)})
     live = lambda n: F.when(F.col(f"_s{n}").isNotNull() & (F.col(f"_s{n}.until").isNull() | (F.col(f"_s{n}.until") > F.col("held_from"))), F.struct(F.lit(n).alias("level"), F.col(f"_s{n}").alias("s")))
-    held = days.withColumn("_in", F.coalesce(live(2), live(1), live(0))).where("_in is not null")
-    return held.select(F.col("_key").alias(key), F.col("_e").alias("entity_id"), F.col("_g").alias("gstin"), F.col("_own").alias("scope_level"), F.col("_in.level").alias("level"), "held_from", F.date_sub("_next", 1).alias("held_to"), *[F.col(f"_in.s.{v}").alias(v) for v in values])
+    out = days.withColumn("_in", F.coalesce(live(2), live(1), live(0))).where("_in is not null")
+    return out.select(F.col("_key").alias(key), F.col("_e").alias("entity_id"), F.col("_g").alias("gstin"), F.col("_own").alias("scope_level"), F.col("_in.level").alias("level"), "held_from", F.date_sub("_next", 1).alias("held_to"), *[F.col(f"_in.s.{v}").alias(v) for v in values])
 
 
 def in_force(points: DataFrame, settings: DataFrame, day: str, values: Sequence[str], key: str = "setting_id") -> DataFrame:
@@ -70,16 +71,16 @@ def in_force(points: DataFrame, settings: DataFrame, day: str, values: Sequence[
 
     A point whose key or day is null, or whose setting says nothing on its day, isn't returned.
     """
-    lines = timelines(settings, values, key)
+    lines = held(timelines(settings, values, key), "timelines")  # classes, scopes and segments come from them
     scopes = settings.select(key, *_SCOPE).distinct()
     few = scopes.limit(SCOPES + 1).count() <= SCOPES
     hint = F.broadcast if few else (lambda df: df)
     fine = scopes.where("gstin is not null and entity_id is not null").withColumn("_fine", F.lit(True))
     wide = scopes.where("entity_id is not null and gstin is null").select(key, "entity_id", F.lit(True).alias("_wide"))
     # a scope without a valid row has no timeline of its own: it must not hide the one above it
-    held = lines.select(key, *_SCOPE).distinct()
-    fine = fine.join(held.where("gstin is not null"), [key, *_SCOPE], "left_semi")
-    wide = wide.join(held.where("gstin is null and entity_id is not null"), [key, "entity_id"], "left_semi")
+    lasting = lines.select(key, *_SCOPE).distinct()
+    fine = fine.join(lasting.where("gstin is not null"), [key, *_SCOPE], "left_semi")
+    wide = wide.join(lasting.where("gstin is null and entity_id is not null"), [key, "entity_id"], "left_semi")
     known = points.join(hint(fine), [key, *_SCOPE], "left").join(hint(wide), [key, "entity_id"], "left")
     none = F.lit(None).cast("string")
     node = F.when(F.col("_fine"), _node(F.col("entity_id"), F.col("gstin"))).when(F.col("_wide"), _node(F.col("entity_id"), none)).otherwise(_node(none, none))

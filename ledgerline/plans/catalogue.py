@@ -8,6 +8,7 @@ import re
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.functions.coerce import GSTIN, HSN
 from ledgerline.plans.checks import checks_of, domain_of
@@ -136,6 +137,23 @@ def fields(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(derived(), FIELDS)
 
 
+def refused(cells: DataFrame, published: DataFrame) -> DataFrame:
+    """Cells (field, value as text) with their published field and ``refused``: what the facets of a field say of a value. One type's fields, so they go to all tasks."""
+    number = F.col("value").try_cast("decimal(38,10)")
+    tests = [
+        ~F.rlike("value", F.col("pattern")),
+        ~F.array_contains("allowed", F.col("value")),
+        number.isNull() & (F.col("min").isNotNull() | F.col("max").isNotNull()),
+        number < F.col("min").cast("decimal(38,10)"),
+        number > F.col("max").cast("decimal(38,10)"),
+        F.char_length("value") > F.col("max_length"),
+    ]
+    wrong = F.lit(False)
+    for test in tests:
+        wrong = wrong | F.coalesce(test, F.lit(False))
+    return cells.join(F.broadcast(published), "field").withColumn("refused", F.col("value").isNotNull() & wrong)
+
+
 def release() -> tuple[bytes, str]:
     """C-06: the catalogue as JSON, the same bytes for the same specs, and its SHA-256."""
     names = [f.split()[0] for f in FIELDS.split(", ")]
