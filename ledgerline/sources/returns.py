@@ -37,6 +37,11 @@ def payloads(spark: SparkSession, path: str, schema: str, glob: str = "*.json")
     return text.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", schema).alias("p"))
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """The payload as a column of its own (explode), so that a field isn't parsed from the text again for each use."""
+    return rows.withColumn("p", F.explode(F.array("p")))
+
+
 def _day(c: Column) -> Column:
     return coerce.any_date(c)
 
@@ -66,6 +71,7 @@ def gstr_2b(rows: DataFrame, period: Column) -> tuple[DataFrame, DataFrame, Data
 
     rows: path, p (GSTR_2B). A wrong period or a section that isn't verified (cdnr) refuses the file.
     """
+    rows = _once(rows)
     d = F.col("p.data")
     reason = (
         F.when(d.isNull() | d.gstin.isNull(), "not a GSTR-2B payload")
@@ -106,6 +112,7 @@ def gstr_2b(rows: DataFrame, period: Column) -> tuple[DataFrame, DataFrame, Data
 
 
 def _checked_3b(rows: DataFrame, period: Column) -> DataFrame:
+    rows = _once(rows)
     p = F.col("p")
     some = lambda c: F.size(F.coalesce(c, F.array())) > 0
     stray = lambda box, allowed: F.exists(F.coalesce(p.itc_elg[box].ty, F.array()), lambda t: ~F.coalesce(t.isin(*allowed), F.lit(False)))
@@ -138,8 +145,8 @@ def gstr_3b(rows: DataFrame, period: Column) -> tuple[DataFrame, DataFrame, Data
     """Statements, detail lines of boxes 4A, 4B and 4D as one union, and refusals. rows: path, p (GSTR_3B)."""
     seen = _checked_3b(rows, period)
     good = seen.where("reason is null")
-    boxes = [good.select("path", F.col("p.gstin").alias("gstin"), F.lit(name).alias("box"), F.posexplode(f"p.itc_elg.{box}").alias("at", "x")) for name, box in (("4A", "itc_avl"), ("4B", "itc_rev"), ("4D", "itc_inelg"))]
-    details = boxes[0].unionByName(boxes[1]).unionByName(boxes[2]).select("path", "gstin", "box", "at", "x.ty", "x.iamt", "x.camt", "x.samt", "x.csamt")
+    boxes = [F.struct(F.lit(name).alias("box"), F.col(f"p.itc_elg.{box}").alias("xs")) for name, box in (("4A", "itc_avl"), ("4B", "itc_rev"), ("4D", "itc_inelg"))]
+    details = good.select("path", F.col("p.gstin").alias("gstin"), F.explode(F.array(*boxes)).alias("b")).select("path", "gstin", "b.box", F.posexplode("b.xs").alias("at", "x")).select("path", "gstin", "box", "at", "x.ty", "x.iamt", "x.camt", "x.samt", "x.csamt")
     hashes = _hashes(details, F.struct("box", "at", hashing.row_hash("box", "ty", "iamt", "camt", "samt", "csamt").alias("h")), "hs")
     inward = _hashes(inward_supply(rows, period), F.struct("at", hashing.row_hash(F.lit("inward"), "supply_type", "inter_state_amount", "intra_state_amount").alias("h")), "ws")
     amounts = {f"{name}_{head}": F.col(f"p.{box}.{of}") for name, (box, taxable) in _AMOUNTS.items() for head, of in (({"taxable_value": "txval"} if taxable else {}) | _HEADS).items()}
