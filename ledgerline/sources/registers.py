@@ -8,11 +8,13 @@ without data rows is refused. What follows is column expressions.
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,17 +24,34 @@ from ledgerline.plans.registers import Column as Spec
 from ledgerline.plans.registers import Register
 
 ROWS = "path string, line int, cells map<string,string>, problem string, fatal string"
-_KINDS = [pa.string(), pa.int32(), pa.map_(pa.string(), pa.string()), pa.string(), pa.string()]
 _BATCH = 10_000
+_PIECE = 1 << 20
 
 
-def _csv(data: bytes, wanted: list[str], lower: bool) -> Iterator[tuple]:
+def _not_utf8(data: bytes) -> str | None:
+    """Why a file isn't text; it is decoded piece by piece, so that a large file doesn't stand in memory several times."""
+    decoder = codecs.getincrementaldecoder("utf-8-sig")()
     try:
-        text = data.decode("utf-8-sig")
-    except UnicodeDecodeError as e:
-        yield None, None, None, f"not UTF-8 at byte {e.start}"
+        for at in range(0, len(data), _PIECE):
+            decoder.decode(data[at : at + _PIECE])
+        decoder.decode(b"", final=True)
+    except UnicodeDecodeError:
+        try:
+            data.decode("utf-8-sig")
+        except UnicodeDecodeError as e:
+            return f"not UTF-8 at byte {e.start}"
+    return None
+
+
+def _text(data: bytes, newline: str = "") -> io.TextIOWrapper:
+    return io.TextIOWrapper(io.BytesIO(data), encoding="utf-8-sig", newline=newline)
+
+
+def _csv(data: bytes, wanted: list[str], lower: bool) -> Iterator[tuple]:
+    if wrong := _not_utf8(data):
+        yield None, None, None, wrong
         return
-    reader = csv.reader(io.StringIO(text, newline=""))
+    reader = csv.reader(_text(data))
     header = next((r for r in reader if r), None)
     if header is None:
         yield None, None, None, "no header"
@@ -47,19 +66,17 @@ def _csv(data: bytes, wanted: list[str], lower: bool) -> Iterator[tuple]:
         if not record:
             continue
         number += 1
-        yield number, list(zip(header, record, strict=False)), None, None
+        yield number, (header[: len(record)], record[: len(header)]), None, None
     if number == 1:
         yield None, None, None, "no data rows"
 
 
 def _ndjson(data: bytes, wanted: list[str]) -> Iterator[tuple]:
-    try:
-        text = data.decode("utf-8-sig")
-    except UnicodeDecodeError as e:
-        yield None, None, None, f"not UTF-8 at byte {e.start}"
+    if wrong := _not_utf8(data):
+        yield None, None, None, wrong
         return
     checked, rows = False, 0
-    for number, line in enumerate(text.split("\n"), 1):
+    for number, line in enumerate(_text(data, "\n"), 1):
         if not line.strip():
             continue
         rows += 1
@@ -76,7 +93,7 @@ def _ndjson(data: bytes, wanted: list[str]) -> Iterator[tuple]:
             return
         checked = True
         cell = lambda v: None if v is None else v if isinstance(v, str) else str(v).lower() if isinstance(v, bool) else json.dumps(v)
-        yield number, [(k, cell(v)) for k, v in record.items()], None, None
+        yield number, (list(record), [cell(v) for v in record.values()]), None, None
     if not rows:
         yield None, None, None, "no data rows"
 
@@ -85,22 +102,33 @@ def cells(files: DataFrame, wanted: list[str], form: str = "CSV", lower: bool =
     """(path, line, cells, problem, fatal): a row per record; a file that can't be read gives one fatal row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []  # filled across files, since a batch costs as much as hundreds of rows
         for batch in batches:
             for path, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found, out = (_csv(data.as_py(), wanted, lower) if form == "CSV" else _ndjson(data.as_py(), wanted)), []
-                for row in found:
+                for row in _csv(data.as_py(), wanted, lower) if form == "CSV" else _ndjson(data.as_py(), wanted):
                     out.append((path, *row))
                     if len(out) == _BATCH:
                         yield _batch(out)
                         out = []
-                if out:
-                    yield _batch(out)
+        if out:
+            yield _batch(out)
 
     return files.select("path", "content").mapInArrow(run, ROWS)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)], ["path", "line", "cells", "problem", "fatal"])
+    """cells come as (names, values) and are laid out as one flat map column."""
+    path, line, given, problem, fatal = zip(*rows, strict=True)
+    names, values, ends = [], [], [0]
+    for g in given:
+        if g is not None:
+            names += g[0]
+            values += g[1]
+        ends.append(len(names))
+    starts = pa.array(ends, pa.int32(), mask=np.array([*(g is None for g in given), False]))  # a null offset is a null map
+    maps = pa.MapArray.from_arrays(starts, pa.array(names, pa.string()), pa.array(values, pa.string()))
+    plain = [pa.array(c, k) for c, k in zip((path, line, problem, fatal), (pa.string(), pa.int32(), pa.string(), pa.string()), strict=True)]
+    return pa.RecordBatch.from_arrays([*plain[:2], maps, *plain[2:]], ["path", "line", "cells", "problem", "fatal"])
 
 
 def typed(rows: DataFrame, columns: tuple[Spec, ...], cell=lambda name: F.col("cells")[name]) -> DataFrame:
