@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ledgerline.session import wide_rows
 from ledgerline.sources.commitlog import CommitLog, Conflict, LiveIndex, Run, State, key_hash
 
 MANIFEST = "batch_id string, entity_id string, document_type string, source_stream string, period_start date, period_end date, row_count long, content_hash string, status string, ready_at timestamp, superseded_by string, attempt string, schemas map<string,string>"
@@ -120,7 +121,8 @@ class TenantStore:
     def work(self, batch_id: str, name: str, rows: DataFrame) -> DataFrame:
         """A load's intermediate table, computed once; ``abandon`` or ``publish`` removes it."""
         place = f"{self.path}/work/{self.attempt(batch_id)}/{name}"
-        rows.write.parquet(place)
+        with wide_rows(self.spark):
+            rows.write.parquet(place)
         return self.spark.read.schema(rows.schema).parquet(place)
 
     def abandon(self, batch_id: str) -> None:
