@@ -9,13 +9,10 @@ more than 99 in 100 meet (the tests measure recall against brute force).
 
 Equal vectors of a label are one node with a multiplicity, so copies aren't
 compared with each other. Cells of one node are dropped before any vector is
-moved. A cell of more than TILE nodes is split by a further table, again with
-neighbouring cells, where that at least halves the pairs to compare; if all
-cells were split, 99 of 100 pairs at the limit would still meet. What is crowded
-after that, or can't be split (one dense spot), is cut into tiles of TILE nodes,
-each pair of tiles a group of its own. A pair is counted only in the first cell
-in which it meets, and a group returns sums per node and a spanning forest, never
-all pairs.
+moved. A cell of more than TILE nodes is cut into tiles of TILE nodes, each pair
+of tiles a group of its own, so whatever meets in a cell is compared, however
+crowded the cell is. A pair is counted only in the first cell in which it meets,
+and a group returns sums per node and a spanning forest, never all pairs.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and
 rows with a null label, link with nothing. Vectors of different lengths never
@@ -129,84 +126,40 @@ def _placed(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "group", "v").mapInArrow(run, "node long, cell long, slot int")
 
 
-def _within(rows: DataFrame) -> DataFrame:
-    """(node, cell, slot, n, part): the parts of their cell that nodes fall into, which are the cells of a further table."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _by_length(batch, 4):
-                units, tables = _units(part.column(4)), part.column(2).to_numpy() // (PROBES + 1)
-                for t in np.unique(tables):
-                    at = np.flatnonzero(tables == t)
-                    found = cells(units[at], TABLES + int(t))
-                    own = part.select([0, 1, 2, 3]).take(pa.array(np.repeat(at, found.shape[1])))
-                    yield pa.RecordBatch.from_arrays([*own.columns, pa.array(found.reshape(-1))], [*own.schema.names, "part"])
-
-    return rows.select("node", "cell", "slot", "n", "v").mapInArrow(run, "node long, cell long, slot int, n long, part long")
-
-
-def _places(placed: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Where nodes meet others, as (place, n, node, cell, slot, part): whole cells (part null) or parts of split ones; and (node, split), a bit for each slot whose cell is split."""
-    total = placed.count()
+def _places(placed: DataFrame) -> DataFrame:
+    """Where nodes meet others, as (cell, n, node, slot): the cells of more than one node, whole."""
     counts = common.stored(placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "cells")
-    whole = [F.col("cell").alias("place"), "n", "node", "cell", "slot", F.lit(None).cast("long").alias("part")]
-    crowded = counts.where(F.col("n") > TILE)
-    if crowded.isEmpty():
-        return common.keyed_join(placed, counts, "cell", "n", total).select(*whole), None
-    parts = common.stored(_within(common.keyed_join(placed, crowded, "cell", "n", total).join(facts.select("node", "v"), "node")), "parts")
-    sizes = common.stored(parts.groupBy("cell", "n", "part").agg(F.count(F.lit(1)).alias("m")), "sizes")
-    work = sizes.groupBy("cell", "n").agg(F.sum(F.col("m").cast("double") * F.col("m")).alias("work"))
-    chosen = common.stored(work.where(2 * F.col("work") <= F.col("n").cast("double") * F.col("n")).select("cell", F.lit(True).alias("split")), "chosen")
-    flagged = counts.join(chosen, "cell", "left").where("split is null").drop("split")
-    rows = common.keyed_join(placed, flagged, "cell", "n", total).select(*whole)
-    place = F.xxhash64("cell", "part")
-    sizes = sizes.join(chosen, "cell").select(place.alias("place"), "m")
-    inner = common.keyed_join(parts.drop("n").withColumn("place", place), sizes, "place", "m", total)
-    split = inner.groupBy("node").agg(F.expr("bit_or(shiftleft(1L, slot)) as split"))
-    return rows.unionByName(inner.where("m > 1").select("place", F.col("m").alias("n"), "node", "cell", "slot", "part")), split
+    return common.keyed_join(placed, counts, "cell", "n", placed.count()).select("cell", "n", "node", "slot")
 
 
 def _tiles(places: DataFrame) -> DataFrame:
     """Places cut into tiles: (tile, side, ...); side 0 compares with itself, 1 with 2."""
     cut = F.ceil(F.col("n") / TILE).cast("int")
-    rows = places.withColumn("cuts", cut).withColumn("own", F.pmod(F.xxhash64("node", "place"), "cuts").cast("int"))
+    rows = places.withColumn("cuts", cut).withColumn("own", F.pmod(F.xxhash64("node", "cell"), "cuts").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    tile = F.xxhash64("place", F.least("own", "other"), F.greatest("own", "other"))
-    return rows.select(tile.alias("tile"), side.alias("side"), "node", "cell", "slot", "part")
+    tile = F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other"))
+    return rows.select(tile.alias("tile"), side.alias("side"), "node", "cell", "slot")
 
 
 class _Meetings:
-    """Tells which pairs of a tile meet in no earlier cell, or part of a split cell, than the tile's; the cells of nodes without links are never computed."""
+    """Tells which pairs of a tile meet in no earlier cell than the tile's; the cells of nodes without links are never computed."""
 
-    def __init__(self, units: np.ndarray, group: int, split: np.ndarray, cell: int, table: int, part: int | None):
-        self.units, self.group, self.split, self.cell, self.table, self.part = units, group, split, cell, table, part
+    def __init__(self, units: np.ndarray, group: int, cell: int, table: int):
+        self.units, self.group, self.cell, self.table = units, group, cell, table
         self.known = np.zeros(len(units), bool)
         self.cells = np.zeros((table + 1, len(units), PROBES + 1), np.int64)
-        self.parts = np.zeros_like(self.cells)
 
     def first(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         new = np.unique(np.concatenate([i, j]))
         new = new[~self.known[new]]
         self.known[new] = True
-        tables = range(self.table + 1) if len(new) else ()
-        for t in tables:
+        for t in range(self.table + 1) if len(new) else ():
             self.cells[t, new] = cells(self.units[new], t) ^ self.group
-            if self.split.any():
-                self.parts[t, new] = cells(self.units[new], TABLES + t)
         out = np.ones(len(i), bool)
-        pairs = list(itertools.product(range(PROBES + 1), repeat=2))
         for t in range(self.table + 1):
-            inner = np.zeros(len(i), bool)  # the two share a part
-            if self.split.any():
-                for p, q in pairs:
-                    same = self.parts[t, i, p] == self.parts[t, j, q]
-                    inner |= same
-                    if t == self.table and self.part is not None:
-                        out &= ~(same & (self.parts[t, i, p] < self.part))
-            for p, q in pairs:
-                whole = (self.split[i] >> (t * (PROBES + 1) + p)) & 1 == 0
-                met = (self.cells[t, i, p] == self.cells[t, j, q]) & (whole | inner)
+            for p, q in itertools.product(range(PROBES + 1), repeat=2):
+                met = self.cells[t, i, p] == self.cells[t, j, q]
                 out &= ~(met & ((self.cells[t, i, p] < self.cell) if t == self.table else True))
         return out
 
@@ -218,8 +171,8 @@ def _compared(rows: DataFrame, limit: float) -> DataFrame:
         side, node = table["side"].to_numpy(), table["node"].to_numpy()
         copies = table["copies"].to_numpy()
         units = _units(table["v"].combine_chunks())
-        at = [table[c][0].as_py() for c in ("group", "cell", "slot", "part")]
-        meetings = _Meetings(units, at[0], table["split"].to_numpy(), at[1], at[2] // (PROBES + 1), at[3])
+        at = [table[c][0].as_py() for c in ("group", "cell", "slot")]
+        meetings = _Meetings(units, at[0], at[1], at[2] // (PROBES + 1))
         left, right = (np.flatnonzero(side != 2), np.flatnonzero(side != 1))
         linked, root = np.zeros(len(node), np.int64), np.arange(len(node))
         for at in range(0, len(left), 512):
@@ -277,7 +230,7 @@ def _compared(rows: DataFrame, limit: float) -> DataFrame:
         if held:
             yield from closed()
 
-    sorted_rows = common.spread(rows.select("tile", "side", "node", "cell", "slot", "part", "copies", "group", "split", "v"), "tile").sortWithinPartitions("tile")
+    sorted_rows = common.spread(rows.select("tile", "side", "node", "cell", "slot", "copies", "group", "v"), "tile").sortWithinPartitions("tile")
     return sorted_rows.mapInArrow(run, "node long, other long, n long")
 
 
@@ -288,8 +241,7 @@ def near_duplicates(vectors: DataFrame, limit: float = LIMIT) -> DataFrame:
     nodes = rows.where("v is not null").groupBy("k").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("v").alias("v"))
     nodes = common.stored(nodes.withColumn("node", F.xxhash64("k")), "nodes")
     facts = nodes.select("node", "copies", F.xxhash64("label", F.size("v")).alias("group"), "v")
-    places, split = _places(common.stored(_placed(facts), "placed"), facts)
-    facts = facts.withColumn("split", F.lit(0).cast("long")) if split is None else facts.join(split, "node", "left").withColumn("split", F.coalesce("split", F.lit(0)))
+    places = _places(common.stored(_placed(facts), "placed"))
     found = common.stored(_compared(_tiles(places).join(facts, "node"), limit), "found")
     linked = found.where("other is null").groupBy("node").agg(F.sum("n").alias("linked"))
     parts = common.stored(components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))), "parts")
