@@ -4,7 +4,9 @@ One window per key does the work of the loop: a key's live row and its incoming
 rows stand in order (the live row first, then by line), and each row's
 predecessor is the row before it. Grouping treats null keys as equal, as the
 NULL-safe key asks, so there is one shuffle and no null-safe join. The live set
-is first cut to the keys that come in, so a small file doesn't move it.
+is first cut to the keys that come in, so a small file doesn't move it; where the
+two are alike in size (``small=False``), the window itself tells which keys come in,
+and the incoming rows are computed and moved once.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ def touching(live: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFr
     return live.join(keys, condition, "left_semi")
 
 
-def natural(incoming: DataFrame, live: DataFrame, key: Sequence[str], order: str | Sequence[str] = "line", compare: bool = True) -> DataFrame:
+def natural(incoming: DataFrame, live: DataFrame, key: Sequence[str], order: str | Sequence[str] = "line", compare: bool = True, small: bool = True) -> DataFrame:
     """U-02, U-04 to U-08: every version that the batch makes or touches.
 
     incoming: key, ``order``, row_hash, valid_from (duplicates by hash collapsed).
@@ -39,10 +41,13 @@ def natural(incoming: DataFrame, live: DataFrame, key: Sequence[str], order: str
     """
     order = [order] if isinstance(order, str) else list(order)
     rest = [c for c in incoming.columns if c not in {*key, *order, "row_hash", "valid_from"}]
-    old = touching(live, incoming, key).select(*key, *[F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in order], "row_hash", "valid_from", "valid_to", F.col("id").alias("live_id"), F.lit(0).alias("_new"))
+    old = (touching(live, incoming, key) if small else live).select(*key, *[F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in order], "row_hash", "valid_from", "valid_to", F.col("id").alias("live_id"), F.lit(0).alias("_new"))
     new = incoming.select(*key, *order, "row_hash", "valid_from", *rest, F.lit(OPEN_END).cast("date").alias("valid_to"), F.lit(None).cast(live.schema["id"].dataType).alias("live_id"), F.lit(1).alias("_new"))
     w = Window.partitionBy(*key).orderBy("_new", *order)
     rows = new.unionByName(old, allowMissingColumns=True)
+    if not small:
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        rows = rows.withColumn("_met", F.max("_new").over(whole)).where("_met = 1").drop("_met")
     rows = rows.withColumns({"_prev": F.lag("row_hash").over(w), "_has_prev": F.lag(F.lit(True), 1, False).over(w), "_prev_id": F.lag("live_id").over(w)})
     same = (F.col("_new") == 1) & F.col("_has_prev") & F.col("_prev").eqNullSafe(F.col("row_hash")) if compare else F.lit(False)
     rows = rows.withColumn("_same", same)
@@ -76,8 +81,10 @@ def counters(result: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
     count = lambda a: F.count_if(F.col("action") == a).alias(a)
     copies = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)) if "copies" in result.columns else F.lit(0)
     out = result.agg(count("inserted"), count("unchanged"), count("superseded"), copies.cast("long").alias("collapsed"))
-    n = rejected.agg(F.count(F.lit(1)).alias("rejected")) if rejected is not None else out.select(F.lit(0).cast("long").alias("rejected"))
     names = [*out.columns, "rejected"]
+    if rejected is None:
+        return out.withColumn("rejected", F.lit(0).cast("long"))
+    n = rejected.agg(F.count(F.lit(1)).alias("rejected"))
     return out.unionByName(n, allowMissingColumns=True).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
 
 

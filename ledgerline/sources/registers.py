@@ -12,7 +12,7 @@ import codecs
 import csv
 import io
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -155,10 +155,15 @@ def typed(rows: DataFrame, columns: tuple[Spec, ...], cell=lambda name: F.col("c
     return out.withColumns({c.name: v(c) for c in columns}).drop(*[f"_{x}_{c.name}" for c in columns for x in "tv"])
 
 
-def collapsed(rows: DataFrame, file: str = "path") -> DataFrame:
-    """A-04, U-06: of a file's rows with equal hash the first, with ``copies``; before any upsert."""
-    first = rows.groupBy(file, "row_hash").agg(F.min_by(F.struct(*[c for c in rows.columns if c not in (file, "row_hash")]), "line").alias("_row"), F.count(F.lit(1)).alias("copies"))
-    return first.select(file, "row_hash", "_row.*", "copies").select(*rows.columns, "copies")
+def collapsed(rows: DataFrame, file: str = "path", hashed: Sequence[str] = ()) -> DataFrame:
+    """A-04, U-06: of a file's rows with equal hash the first, with ``copies``; before any upsert.
+
+    hashed: columns that the hash covers, so that they make no further groups; rows that are
+    dealt out by them already aren't moved again.
+    """
+    group = [file, "row_hash", *hashed]
+    first = rows.groupBy(*group).agg(F.min_by(F.struct(*[c for c in rows.columns if c not in group]), "line").alias("_row"), F.count(F.lit(1)).alias("copies"))
+    return first.select(*group, "_row.*", "copies").select(*rows.columns, "copies")
 
 
 def read(spark: SparkSession, files: DataFrame, register: Register, form: str = "CSV") -> tuple[DataFrame, DataFrame, DataFrame]:
