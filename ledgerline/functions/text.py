@@ -77,21 +77,22 @@ def coerced(kind: str, raw: Column) -> Column:
 
 def label_outcome(docs: DataFrame, fields: list[tuple[str, str, bool, str]], pages: str = "pages") -> DataFrame:
     """Adds outcome (EXTRACTED, PARTIAL, NO_TEXT_LAYER), missing, failed and facts (map) for (name, kind, required, label) fields."""
-    text = page_text(F.col(pages))
-    entries, missing, failed = [], [], []
-    for name, kind, required, label in fields:
-        raw = raw_value(text, label, kind)
-        value = coerced(kind, raw)
-        entries.append(F.struct(F.lit(name).alias("key"), value.alias("value")))
-        if required:
-            missing.append(F.when(raw.isNull(), F.lit(name)))
-            failed.append(F.when(raw.isNotNull() & value.isNull(), F.lit(name)))
+    once = lambda rows, name, value: rows.withColumn(name, F.explode(F.array(value)))  # noqa: E731  explode: what is read of it is not computed again
+    out = once(docs, "_text", page_text(F.col(pages)))
+    raw, value = (lambda n: F.col("_raw")[n]), (lambda n: F.col("_value")[n])
+    if fields:
+        out = once(out, "_raw", F.struct(*[raw_value(F.col("_text"), label, kind).alias(name) for name, kind, _, label in fields]))
+        out = once(out, "_value", F.struct(*[coerced(kind, raw(name)).alias(name) for name, kind, _, _ in fields]))
+    entries = [F.struct(F.lit(name).alias("key"), value(name).alias("value")) for name, *_ in fields]
+    needed = [name for name, _, required, _ in fields if required]
+    missing = [F.when(raw(n).isNull(), F.lit(n)) for n in needed]
+    failed = [F.when(raw(n).isNotNull() & value(n).isNull(), F.lit(n)) for n in needed]
     none = F.array().cast("array<string>")
     some = lambda xs: F.array_compact(F.array(*xs)) if xs else none
     facts = F.map_from_entries(F.filter(F.array(*entries), lambda e: e.value.isNotNull())) if entries else F.create_map().cast("map<string,string>")
-    out = docs.withColumns({"missing": some(missing), "failed": some(failed), "facts": facts})
+    out = out.withColumns({"missing": some(missing), "failed": some(failed), "facts": facts})
     none_found = (F.size("missing") == 0) & (F.size("failed") == 0)
-    out = out.withColumn("outcome", F.when(~F.coalesce(has_text(text), F.lit(False)), "NO_TEXT_LAYER").when(none_found, "EXTRACTED").otherwise("PARTIAL"))
+    out = out.withColumn("outcome", F.when(~F.coalesce(has_text(F.col("_text")), F.lit(False)), "NO_TEXT_LAYER").when(none_found, "EXTRACTED").otherwise("PARTIAL")).drop("_text", "_raw", "_value")
     silent = F.col("outcome") == "NO_TEXT_LAYER"
     return out.withColumns({"missing": F.when(silent, none).otherwise(F.col("missing")), "failed": F.when(silent, none).otherwise(F.col("failed"))})
 
