@@ -376,12 +376,12 @@ _NEW_ROWS = "b AS (SELECT supplier_gstin, invoice_no, row_hash, valid_from, l_pa
 def interleaved_loads(spark, sf):
     """S-19, U-02, U-15: two loads that both start from the empty store; the later one meets the other's keys and is done again, so each key has one live version."""
     root = scratch(spark, "store")
-    rows = purchases(spark, sf).withColumn("path", F.lit("f.csv"))
+    rows = purchases(spark, sf, dealt=True).withColumn("path", F.lit("f.csv"))
     stores = [TenantStore(spark, root, "acme") for _ in range(2)]
     for k, store in enumerate(stores):
         store.attempt(f"{k}")  # both read the same state
     for k, store in enumerate(stores):
-        part = registers.collapsed(rows.where(F.col("l_partkey") % 2 == k).select("path", "line", "row_hash", "supplier_gstin", "invoice_no", "invoice_date", "taxable_value"))
+        part = registers.collapsed(rows.where(F.col("l_partkey") % 2 == k).select("path", "line", "row_hash", "supplier_gstin", "invoice_no", "invoice_date", "taxable_value"), hashed=["supplier_gstin", "invoice_no"])
         load.load_rows(store, part, _upload("PURCHASE_REGISTER", f"{k}", k + 1))
     versions = stores[0].rows("purchase_register")
     alive = F.col("superseded_at").isNull()

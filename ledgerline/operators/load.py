@@ -24,6 +24,7 @@ from ledgerline.operators import archetypes, documents, upsert
 from ledgerline.plans.contracts import CONTRACTS, EXTRACTIONS
 from ledgerline.plans.dispatch import PDF_FED, require
 from ledgerline.plans.registers import BY_TYPE, SALES_HEADER, SALES_LINE, Register
+from ledgerline.session import held
 from ledgerline.sources import registers, returns
 from ledgerline.sources.commitlog import Conflict
 from ledgerline.sources.store import TenantStore, folder_of
@@ -33,6 +34,8 @@ HOLDERS = "shareholding_pattern_holder"
 CHILDREN = {"SHAREHOLDING_PATTERN": HOLDERS, "GSTIN_REGISTER": "gstin_register_entry", "DIRECTOR_LIST_WITH_DIN": "director_list_din", "KMP_LIST": "kmp_list_member"}
 #: The order of a batch's rows where several files come in together.
 ORDER = ("path", "line")
+#: A file of fewer rows than the live set by this factor cuts the live set by its keys before anything is moved.
+FEW = 10
 
 
 QUARANTINE = "ingest_id string, document_type string, reasons array<string>, quarantined_at timestamp"
@@ -144,7 +147,8 @@ def _invalid(rows: DataFrame, *tables: str) -> list[str]:
 
 
 def _live(store: TenantStore, up: Upload, table: str, key: list[str], like: DataFrame) -> DataFrame:
-    """The live rows that the incoming rows ``like`` may meet, or none with the columns that an upsert needs."""
+    """The live rows that the incoming rows ``like`` may meet, or none with the columns that an upsert needs; ``Conflict`` if the load would come too late."""
+    store.look_ahead(table, up.batch_id, like, key)
     rows = store.live_for(table, up.batch_id, like, key)
     want = [*dict.fromkeys([*key, "row_hash", "valid_from", "valid_to", "id"])]
     if rows is not None:
@@ -160,7 +164,13 @@ def load_register(store: TenantStore, files: DataFrame, up: Upload, register: Re
     found = _parsed(store, up, registers.cells(files, list(register.names), up.form))
     if reasons := _fatal(found):
         return _quarantined(store, up, reasons)
-    return _register(store, *registers.accepted(found, register), up, register)
+    return _register(store, *_collapsed(store, up, found, register), up, register)
+
+
+def _collapsed(store: TenantStore, up: Upload, cells: DataFrame, register: Register) -> tuple[DataFrame, DataFrame]:
+    """Accepted rows, typed and collapsed once for the rules, the look-up of live rows and the upsert; and the rejected ones."""
+    good, bad = registers.accepted(cells, register)
+    return store.work(up.batch_id, "rows", good), bad
 
 
 def _parsed(store: TenantStore, up: Upload, rows: DataFrame) -> DataFrame:
@@ -179,7 +189,9 @@ def _register(store: TenantStore, good: DataFrame, bad: DataFrame | None, up: Up
     rows = registers.with_period(_owned(good, up), register, start, end).withColumn("valid_to", F.lit(upsert.OPEN_END).cast("date"))
     if register.natural:
         key = list(register.key_columns)
-        made = upsert.natural(rows.drop("valid_to"), _live(store, up, register.table, key, rows), key, ORDER)
+        live = _live(store, up, register.table, key, rows)
+        small = FEW * rows.count() < store.live_size(register.table, up.batch_id)
+        made = upsert.natural(rows.drop("valid_to"), live, key, ORDER, small=small)
     else:
         key = ["entity_id", "gstin", register.period, "row_hash"]
         made = upsert.content(rows, _live(store, up, register.table, key, rows), register.period)
@@ -259,7 +271,7 @@ def load_text(store: TenantStore, docs: DataFrame, up: Upload) -> Outcome:
         cells = store.work(up.batch_id, "parsed", cells)
         if reasons := [", ".join(r.reasons) or r.outcome for r in bad.limit(20).collect()]:
             return _quarantined(store, up, reasons)
-        return _register(store, *registers.accepted(cells, BY_TYPE[up.document_type]), up, BY_TYPE[up.document_type])
+        return _register(store, *_collapsed(store, up, cells, BY_TYPE[up.document_type]), up, BY_TYPE[up.document_type])
     archetype, _ = EXTRACTIONS[up.document_type]
     found = _parsed(store, up, archetypes.extracted(docs, up.document_type))
     bad = archetypes.quarantined(found, narrative=archetype == "narrative")
@@ -324,4 +336,5 @@ def again(store: TenantStore, up: Upload, run: Callable[[], Outcome]) -> Outcome
 def load_rows(store: TenantStore, rows: DataFrame, up: Upload) -> Outcome:
     """A register's rows that are typed already (path, line, its columns, row_hash), as ``load`` would take them from a file."""
     register = BY_TYPE[up.document_type]
+    rows = held(rows, "rows")  # whatever is done again starts from here
     return again(store, up, lambda: _register(store, rows, None, up, register))

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerline.session import wide_rows
-from ledgerline.sources.commitlog import CommitLog, Conflict, LiveIndex, Run, State, key_hash
+from ledgerline.sources.commitlog import CODEC, CommitLog, Conflict, LiveIndex, Run, State, key_hash
 
 MANIFEST = "batch_id string, entity_id string, document_type string, source_stream string, period_start date, period_end date, row_count long, content_hash string, status string, ready_at timestamp, superseded_by string, attempt string, schemas map<string,string>"
 CLOSURE = "id string, superseded_at timestamp, valid_to date, batch_id string, attempt string"
@@ -98,6 +98,22 @@ class TenantStore:
         found = self.index.live(self._attempt(batch_id).state, table, incoming, key)
         return self.live(table) if found is None else found
 
+    def live_size(self, table: str, batch_id: str) -> int:
+        """How many rows the runs of a table's live index hold, as of the attempt's start; a count of files' footers."""
+        found = self.index.read(self._attempt(batch_id).state.runs.get(table, ()))
+        return 0 if found is None else found.count()
+
+    def look_ahead(self, table: str, batch_id: str, incoming: DataFrame, key: Sequence[str]) -> None:
+        """``Conflict`` if a commit since the attempt's start touched an incoming key: a load that ``publish`` would refuse isn't computed first."""
+        since = [e for e in self.log.entries(self._attempt(batch_id).state.version) if e["batch_id"]]
+        runs = [Run(**r) for e in since for r in e["runs"] if r["table"] == table]
+        if not runs or batch_id in {e["batch_id"] for e in since}:
+            return
+        theirs = self.index.read(runs).select("key_hash")
+        if not theirs.join(incoming.select(key_hash(key).alias("key_hash")), "key_hash", "left_semi").isEmpty():
+            self.abandon(batch_id)
+            raise Conflict(f"batch {batch_id} met a key of a batch since its start")
+
     def stage_live(self, table: str, batch_id: str, key: Sequence[str], rows: DataFrame) -> None:
         """Stages a run of the live index: new live versions, and the ids of closed ones (removed). rows: key, row_hash, valid_from, valid_to, id, removed."""
         run = self.index.write(table, rows.withColumn("key_hash", key_hash(key)))
@@ -109,7 +125,7 @@ class TenantStore:
         attempt = self.attempt(batch_id)
         rows = rows.drop("attempt").withColumns({"batch_id": F.lit(batch_id), "attempt": F.lit(attempt)})
         place = f"{self.path}/silver/{table}/{attempt}"
-        rows.write.mode("errorifexists").parquet(place)
+        rows.write.mode("errorifexists").parquet(place, compression=CODEC)
         self._attempts[batch_id].schemas[table] = rows.schema.json()
         return self.spark.read.schema(rows.schema).parquet(place)
 
@@ -122,7 +138,7 @@ class TenantStore:
         """A load's intermediate table, computed once; ``abandon`` or ``publish`` removes it."""
         place = f"{self.path}/work/{self.attempt(batch_id)}/{name}"
         with wide_rows(self.spark):
-            rows.write.parquet(place)
+            rows.write.parquet(place, compression=CODEC)
         return self.spark.read.schema(rows.schema).parquet(place)
 
     def abandon(self, batch_id: str) -> None:
