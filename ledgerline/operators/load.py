@@ -24,9 +24,9 @@ from ledgerline.operators import archetypes, documents, upsert
 from ledgerline.plans.contracts import CONTRACTS, EXTRACTIONS
 from ledgerline.plans.dispatch import PDF_FED, require
 from ledgerline.plans.registers import BY_TYPE, SALES_HEADER, SALES_LINE, Register
-from ledgerline.session import held
+from ledgerline.session import kept, scratch
 from ledgerline.sources import registers, returns
-from ledgerline.sources.commitlog import Conflict
+from ledgerline.sources.commitlog import CODEC, Conflict
 from ledgerline.sources.store import TenantStore, folder_of
 
 HOLDERS = "shareholding_pattern_holder"
@@ -94,14 +94,15 @@ def quarantine(store: TenantStore) -> DataFrame | None:
     return store.spark.read.schema(QUARANTINE).option("recursiveFileLookup", "true").parquet(place) if store._exists(place) else None
 
 
-def _finish(store: TenantStore, up: Upload, table: str, key: list[str], versions: DataFrame, wrong: DataFrame | None, *lines: tuple[str, DataFrame, list[str]], count_lines: bool = True) -> Outcome:
-    """Computes what an upsert made once, stages what follows from it, and publishes it if it changes anything.
+def _finish(store: TenantStore, up: Upload, table: str, key: list[str], versions: DataFrame, wrong: DataFrame | None, *lines: tuple[str, DataFrame, list[str]], count_lines: bool = True, dealt: bool = False) -> Outcome:
+    """Computes what an upsert made once, by action; stages what follows from it, and the new versions as they lie; publishes it if it changes anything.
 
     lines: (table, rows, the columns that lead to their header). Lines carry the id of
     their header's version; those of headers that made no version are left out.
     """
     ended = F.when(~F.col("is_live"), F.lit(up.now)) if "is_live" in versions.columns else F.lit(None)
-    held = store.work(up.batch_id, "versions", _envelope(versions, up, table).withColumn("superseded_at", ended.cast("timestamp")))
+    made = store.staged(_envelope(versions, up, table).withColumn("superseded_at", ended.cast("timestamp")), up.batch_id)
+    held = store.work(up.batch_id, "versions", made, "action")
     bad = store.work(up.batch_id, "rejected", wrong) if wrong is not None else None
     counts = upsert.counters(held, bad).first().asDict()
     n = counts["inserted"] + counts["superseded"]
@@ -109,11 +110,10 @@ def _finish(store: TenantStore, up: Upload, table: str, key: list[str], versions
         made = held.where(F.col("action").isin("inserted", "superseded"))
         if counts["rejected"]:
             store.stage("rejected_row", up.batch_id, bad.withColumn("ingest_id", F.lit(up.ingest_id)))
-        store.stage(table, up.batch_id, made.drop("action", "next_from", "prior", "is_live", "live_id", "copies", "path"))
         if "live_id" in versions.columns:
             shut = held.where("action = 'closed'").select(F.col("live_id").alias("id"), F.lit(up.now).alias("superseded_at"), "valid_to")
             store.stage_closures(table, up.batch_id, shut)
-        store.stage_live(table, up.batch_id, key, _live_run(held, key))
+        store.stage_live(table, up.batch_id, key, _live_run(held, key), dealt=dealt)
         total = 0
         for name, rows, to_header in lines:
             link = "record_id" if name in CHILDREN.values() else "header_id"
@@ -125,6 +125,7 @@ def _finish(store: TenantStore, up: Upload, table: str, key: list[str], versions
             if "superseded_at" in rows.columns:
                 own = own.withColumn("superseded_at", F.col("_ended"))
             total += store.stage(name, up.batch_id, own.drop("path", "_ended", *[f"_{c}" for c in to_header])).count()
+        store.adopt(table, up.batch_id, "versions", ("action=inserted", "action=superseded"), made.drop("action", "next_from", "prior", "is_live", "live_id", "copies", "path").schema)
         store.publish({"batch_id": up.batch_id, "entity_id": up.entity_id, "document_type": up.document_type, "period_start": up.period_start, "period_end": up.period_end, "row_count": total if lines and count_lines else n, "status": "READY", "ready_at": up.now, "content_hash": up.ingest_id})
     store.abandon(up.batch_id)
     return Outcome("PARTIAL" if counts["rejected"] else "ACCEPTED" if n else "UNCHANGED", counts)
@@ -190,12 +191,15 @@ def _register(store: TenantStore, good: DataFrame, bad: DataFrame | None, up: Up
     if register.natural:
         key = list(register.key_columns)
         live = _live(store, up, register.table, key, rows)
-        small = FEW * rows.count() < store.live_size(register.table, up.batch_id)
-        made = upsert.natural(rows.drop("valid_to"), live, key, ORDER, small=small)
+        held = store.live_size(register.table, up.batch_id)
+        small = FEW * rows.count() < held
+        if held and not small:
+            live = store.met(up.batch_id, live, rows, key)
+        made = upsert.natural(rows.drop("valid_to"), live, key, ORDER, small=small, spread=store.spread(key))
     else:
         key = ["entity_id", "gstin", register.period, "row_hash"]
         made = upsert.content(rows, _live(store, up, register.table, key, rows), register.period)
-    return _finish(store, up, register.table, key, made, bad)
+    return _finish(store, up, register.table, key, made, bad, dealt=register.natural)
 
 
 def load_sales(store: TenantStore, files: DataFrame, up: Upload) -> Outcome:
@@ -336,5 +340,9 @@ def again(store: TenantStore, up: Upload, run: Callable[[], Outcome]) -> Outcome
 def load_rows(store: TenantStore, rows: DataFrame, up: Upload) -> Outcome:
     """A register's rows that are typed already (path, line, its columns, row_hash), as ``load`` would take them from a file."""
     register = BY_TYPE[up.document_type]
-    rows = held(rows, "rows")  # whatever is done again starts from here
-    return again(store, up, lambda: _register(store, rows, None, up, register))
+    place = scratch(store.spark, "rows")
+    rows = kept(rows, place, compression=CODEC)  # whatever is done again starts from here
+    try:
+        return again(store, up, lambda: _register(store, rows, None, up, register))
+    finally:
+        store.log.files.delete(place)

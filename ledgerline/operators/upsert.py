@@ -30,7 +30,7 @@ def touching(live: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFr
     return live.join(keys, condition, "left_semi")
 
 
-def natural(incoming: DataFrame, live: DataFrame, key: Sequence[str], order: str | Sequence[str] = "line", compare: bool = True, small: bool = True) -> DataFrame:
+def natural(incoming: DataFrame, live: DataFrame, key: Sequence[str], order: str | Sequence[str] = "line", compare: bool = True, small: bool = True, spread: Column | None = None) -> DataFrame:
     """U-02, U-04 to U-08: every version that the batch makes or touches.
 
     incoming: key, ``order``, row_hash, valid_from (duplicates by hash collapsed).
@@ -38,13 +38,17 @@ def natural(incoming: DataFrame, live: DataFrame, key: Sequence[str], order: str
     superseded (a new version with a predecessor), unchanged (an incoming row
     equal to the live row), closed (the live row got a successor) or kept; next_from
     and prior (id of a live predecessor). ``compare=False`` supersedes even equal rows (U-08).
+    spread: a function of the key by which the rows are dealt out, for what comes after.
     """
     order = [order] if isinstance(order, str) else list(order)
     rest = [c for c in incoming.columns if c not in {*key, *order, "row_hash", "valid_from"}]
     old = (touching(live, incoming, key) if small else live).select(*key, *[F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in order], "row_hash", "valid_from", "valid_to", F.col("id").alias("live_id"), F.lit(0).alias("_new"))
     new = incoming.select(*key, *order, "row_hash", "valid_from", *rest, F.lit(OPEN_END).cast("date").alias("valid_to"), F.lit(None).cast(live.schema["id"].dataType).alias("live_id"), F.lit(1).alias("_new"))
-    w = Window.partitionBy(*key).orderBy("_new", *order)
     rows = new.unionByName(old, allowMissingColumns=True)
+    by = list(key)
+    if spread is not None:
+        rows, by = rows.withColumn("_spread", spread).repartition("_spread"), ["_spread", *key]
+    w = Window.partitionBy(*by).orderBy("_new", *order)
     if not small:
         whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         rows = rows.withColumn("_met", F.max("_new").over(whole)).where("_met = 1").drop("_met")
@@ -52,7 +56,7 @@ def natural(incoming: DataFrame, live: DataFrame, key: Sequence[str], order: str
     same = (F.col("_new") == 1) & F.col("_has_prev") & F.col("_prev").eqNullSafe(F.col("row_hash")) if compare else F.lit(False)
     rows = rows.withColumn("_same", same)
     # an unchanged row makes no version, so the version after it succeeds the live row
-    w2 = Window.partitionBy(*key).orderBy("_new", *order).rowsBetween(1, Window.unboundedFollowing)
+    w2 = Window.partitionBy(*by).orderBy("_new", *order).rowsBetween(1, Window.unboundedFollowing)
     rows = rows.withColumn("next_from", F.first(F.when(~F.col("_same"), F.col("valid_from")), ignorenulls=True).over(w2))
     rows = rows.withColumn("_followed", F.coalesce(F.max(~F.col("_same")).over(w2), F.lit(False)))
     action = (
@@ -63,7 +67,7 @@ def natural(incoming: DataFrame, live: DataFrame, key: Sequence[str], order: str
     )
     rows = rows.withColumn("action", action)
     ends = F.when(F.col("_followed") & (F.col("next_from") > F.col("valid_from")), F.col("next_from")).otherwise(F.col("valid_to"))
-    return rows.withColumn("valid_to", ends).withColumn("is_live", ~F.col("_followed") & (F.col("action") != "unchanged")).withColumn("prior", F.col("_prev_id")).drop("_new", "_prev", "_has_prev", "_prev_id", "_same", "_followed")
+    return rows.withColumn("valid_to", ends).withColumn("is_live", ~F.col("_followed") & (F.col("action") != "unchanged")).withColumn("prior", F.col("_prev_id")).drop("_new", "_prev", "_has_prev", "_prev_id", "_same", "_followed", "_spread")
 
 
 def content(incoming: DataFrame, live: DataFrame, period: str = "tax_period") -> DataFrame:

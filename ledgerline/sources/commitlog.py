@@ -72,6 +72,13 @@ class SharedFiles:
         finally:
             stream.close()
 
+    def move(self, path: str, to: str) -> None:
+        """Gives a folder another place in the same file system; nothing is copied."""
+        place, fs = self._at(path)
+        folder, _ = self._at(to.rpartition("/")[0])
+        if not fs.mkdirs(folder) or not fs.rename(place, self._at(to)[0]):
+            raise OSError(f"{path} can't be moved to {to}")
+
     def delete(self, path: str) -> None:
         place, fs = self._at(path)
         fs.delete(place, True)
@@ -184,17 +191,27 @@ def bucket(hash_: Column) -> Column:
     return F.pmod(hash_, F.lit(BUCKETS)).cast("int")
 
 
+#: A load's rows are dealt out by this many parts of each bucket.
+PARTS = 4
+
+
+def part(key: Sequence[str]) -> Column:
+    """Of a bucket, by the key: rows that are dealt out by parts lie together by bucket, so that a run of them is written where they stand."""
+    return F.pmod(key_hash(key), F.lit(BUCKETS * PARTS)).cast("int")
+
+
 class LiveIndex:
     """The live rows of a store's tables, by key, as a tree of runs."""
 
     def __init__(self, spark: SparkSession, log: CommitLog, path: str):
         self.spark, self.log, self.path = spark, log, path
 
-    def write(self, table: str, rows: DataFrame, level: int = 0) -> Run | None:
-        """A run of (key_hash, id, removed, and what a reader needs of live rows); nobody reads it before a commit names it."""
+    def write(self, table: str, rows: DataFrame, level: int = 0, dealt: bool = False) -> Run | None:
+        """A run of (key_hash, id, removed, and what a reader needs of live rows); nobody reads it before a commit names it. dealt: the rows lie by ``part``."""
         place = f"{self.path}/{table}/{uuid.uuid4().hex}"
         # a rebalance lets adaptive execution merge small buckets and split large ones
-        held = rows.withColumn("bucket", bucket(F.col("key_hash"))).hint("rebalance", "bucket").sortWithinPartitions("bucket", "key_hash")
+        held = rows.withColumn("bucket", bucket(F.col("key_hash")))
+        held = (held if dealt else held.hint("rebalance", "bucket")).sortWithinPartitions("bucket", "key_hash")
         held.write.partitionBy("bucket").parquet(place, compression=CODEC)
         found = [int(n.partition("=")[2]) for n in self.log.files.names(place) if n.startswith("bucket=")]
         return Run(table, place, level, tuple(found), rows.schema.json()) if found else None
@@ -220,6 +237,8 @@ class LiveIndex:
     @staticmethod
     def current(rows: DataFrame) -> DataFrame:
         """Added rows that nothing removes; ids are versions', so each is added and removed once."""
+        if rows.where("removed").isEmpty():  # as footers tell; a join would move all rows
+            return rows.where("not removed")
         return rows.where("not removed").join(rows.where("removed").select("id"), "id", "left_anti")
 
     def clash(self, own: Sequence[Run], others: Sequence[Run]) -> bool:

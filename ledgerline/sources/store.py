@@ -26,13 +26,13 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ledgerline.session import wide_rows
-from ledgerline.sources.commitlog import CODEC, CommitLog, Conflict, LiveIndex, Run, State, key_hash
+from ledgerline.session import kept
+from ledgerline.sources.commitlog import CODEC, CommitLog, Conflict, LiveIndex, Run, State, key_hash, part
 
 MANIFEST = "batch_id string, entity_id string, document_type string, source_stream string, period_start date, period_end date, row_count long, content_hash string, status string, ready_at timestamp, superseded_by string, attempt string, schemas map<string,string>"
 CLOSURE = "id string, superseded_at timestamp, valid_to date, batch_id string, attempt string"
@@ -103,6 +103,18 @@ class TenantStore:
         found = self.index.read(self._attempt(batch_id).state.runs.get(table, ()))
         return 0 if found is None else found.count()
 
+    #: Keys that are sent to all tasks.
+    MET = 1_000_000
+
+    def met(self, batch_id: str, live: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
+        """The live rows that have an incoming key, and at most a few more: keys are held against each other by their hashes, so
+        only live rows that are met are moved. Where more than MET are, all live rows come back."""
+        hashes = lambda rows: rows.select(key_hash(key).alias("key_hash"))
+        both = self.work(batch_id, "met", hashes(live).join(hashes(incoming), "key_hash", "left_semi").distinct())
+        if both.count() > self.MET:
+            return live
+        return live.withColumn("key_hash", key_hash(key)).join(F.broadcast(both), "key_hash", "left_semi").drop("key_hash")
+
     def look_ahead(self, table: str, batch_id: str, incoming: DataFrame, key: Sequence[str]) -> None:
         """``Conflict`` if a commit since the attempt's start touched an incoming key: a load that ``publish`` would refuse isn't computed first."""
         since = [e for e in self.log.entries(self._attempt(batch_id).state.version) if e["batch_id"]]
@@ -114,9 +126,14 @@ class TenantStore:
             self.abandon(batch_id)
             raise Conflict(f"batch {batch_id} met a key of a batch since its start")
 
-    def stage_live(self, table: str, batch_id: str, key: Sequence[str], rows: DataFrame) -> None:
-        """Stages a run of the live index: new live versions, and the ids of closed ones (removed). rows: key, row_hash, valid_from, valid_to, id, removed."""
-        run = self.index.write(table, rows.withColumn("key_hash", key_hash(key)))
+    @staticmethod
+    def spread(key: Sequence[str]) -> Column:
+        """By what a load's rows are dealt out, so that they lie by key and by the live index's buckets."""
+        return part(key)
+
+    def stage_live(self, table: str, batch_id: str, key: Sequence[str], rows: DataFrame, dealt: bool = False) -> None:
+        """Stages a run of the live index: new live versions, and the ids of closed ones (removed). rows: key, row_hash, valid_from, valid_to, id, removed; dealt by ``spread`` or not."""
+        run = self.index.write(table, rows.withColumn("key_hash", key_hash(key)), dealt=dealt)
         if run:
             self._attempt(batch_id).runs.append(run)
 
@@ -129,17 +146,30 @@ class TenantStore:
         self._attempts[batch_id].schemas[table] = rows.schema.json()
         return self.spark.read.schema(rows.schema).parquet(place)
 
+    def staged(self, rows: DataFrame, batch_id: str) -> DataFrame:
+        """Rows with the columns that ``adopt`` asks for."""
+        return rows.drop("attempt").withColumns({"batch_id": F.lit(batch_id), "attempt": F.lit(self.attempt(batch_id))})
+
+    def adopt(self, table: str, batch_id: str, name: str, folders: Sequence[str], schema: T.StructType) -> None:
+        """Stages folders of an intermediate table as a batch's rows: they are moved as they are, and columns that ``schema`` hasn't aren't read."""
+        attempt = self.attempt(batch_id)
+        work, place = f"{self.path}/work/{attempt}/{name}", f"{self.path}/silver/{table}/{attempt}"
+        there = self.log.files.names(work)
+        for folder in folders:
+            if folder in there:
+                self.log.files.move(f"{work}/{folder}", f"{place}/{folder}")
+        if not self._exists(place):  # a batch without rows of its own
+            self.spark.createDataFrame([], schema).coalesce(1).write.parquet(place)
+        self._attempts[batch_id].schemas[table] = schema.json()
+
     def stage_closures(self, table: str, batch_id: str, closures: DataFrame) -> None:
         attempt = self.attempt(batch_id)
         rows = closures.select(F.col("id").cast("string").alias("id"), F.col("superseded_at").cast("timestamp").alias("superseded_at"), F.col("valid_to").cast("date").alias("valid_to"))
         rows.withColumns({"batch_id": F.lit(batch_id), "attempt": F.lit(attempt)}).write.mode("errorifexists").parquet(f"{self.path}/closures/{table}/{attempt}")
 
-    def work(self, batch_id: str, name: str, rows: DataFrame) -> DataFrame:
-        """A load's intermediate table, computed once; ``abandon`` or ``publish`` removes it."""
-        place = f"{self.path}/work/{self.attempt(batch_id)}/{name}"
-        with wide_rows(self.spark):
-            rows.write.parquet(place, compression=CODEC)
-        return self.spark.read.schema(rows.schema).parquet(place)
+    def work(self, batch_id: str, name: str, rows: DataFrame, *by: str) -> DataFrame:
+        """A load's intermediate table, computed once, in folders by some columns if asked; ``abandon`` or ``publish`` removes it."""
+        return kept(rows, f"{self.path}/work/{self.attempt(batch_id)}/{name}", by, compression=CODEC)
 
     def abandon(self, batch_id: str) -> None:
         """Ends an attempt: its intermediate tables go, and whatever it staged stays unseen."""
@@ -248,11 +278,13 @@ class TenantStore:
         if not self._exists(shut):
             return own
         done = self.manifests().select("batch_id", "attempt")
-        ends = self.spark.read.schema(CLOSURE).option("recursiveFileLookup", "true").parquet(shut).join(done, ["batch_id", "attempt"], "left_semi")
+        ends = self.spark.read.schema(CLOSURE).option("recursiveFileLookup", "true").parquet(shut)
+        few = ends.count() <= self.MET  # as footers tell: all versions stay where they are
+        ends = ends.join(done, ["batch_id", "attempt"], "left_semi")
         if known is not None:
             ends = ends.where(F.col("superseded_at") <= F.to_timestamp(F.lit(known)))
         ends = ends.groupBy("id").agg(F.min_by("valid_to", "superseded_at").alias("_to"), F.min("superseded_at").alias("_at"))
-        out = own.join(ends, "id", "left")
+        out = own.join(F.broadcast(ends) if few else ends, "id", "left")
         return out.withColumns({"superseded_at": F.coalesce("superseded_at", "_at"), "valid_to": F.coalesce("_to", "valid_to")}).drop("_to", "_at")
 
     def live(self, table: str) -> DataFrame | None:
