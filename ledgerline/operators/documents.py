@@ -83,27 +83,48 @@ def sales(rows: DataFrame, file: str = "path", hold: Hold = same) -> tuple[DataF
 
     ``rows`` come from ``sources.registers.typed`` over the header and line columns together; ``hold`` writes them once for all three.
     """
-    names = [c.name for c in SALES_HEADER]
-    group = [file, "invoice_no"]
     rows = hold(rows)
-    # a column's rows agree if its least and greatest cell do: sums that combine, where distinct counts would copy each row for each column
-    said = lambda n: F.coalesce(F.col("cells")[n], F.lit(""))
-    differ = [F.when(F.min(said(n)) != F.max(said(n)), F.lit(f"{n}: rows disagree")) for n in names if n != "invoice_no"]
+    wrong = sales_problems(rows, file, hold)
+    heads, lines = sales_documents(rows.join(wrong.select(file).distinct(), file, "left_anti"), file)
+    return heads, lines, wrong
+
+
+def sales_problems(rows: DataFrame, file: str = "path", hold: Hold = same) -> DataFrame:
+    """P-15 to P-17: (file, line, message) of rows that were rejected and of documents whose rows disagree.
+
+    Documents that may be wrong are found first, and held: by sums over numbers, which combine before the
+    shuffle and aren't sorted. Their cells alone are compared by column.
+    """
+    names, group = [c.name for c in SALES_HEADER], [file, "invoice_no"]
+    said = {n: F.coalesce(F.col("cells")[n], F.lit("")) for n in names if n != "invoice_no"}
+    good = rows.where("reject is null")
+    # rows that agree have one digest, in which each cell stands behind its length; its numbers make no strings to sort
+    digest = F.sha2(F.concat_ws(hashing.UNIT, *[x for s in said.values() for x in (F.length(s).cast("string"), s)]), 256)
+    parts = [F.conv(F.substring("_digest", at, 15), 16, 10).cast("long") for at in (1, 16, 31, 46)]
+    unlike = good.select(*group, digest.alias("_digest")).groupBy(*group).agg(*[(F.min(p) != F.max(p)).alias(f"_{i}") for i, p in enumerate(parts)]).where("_0 or _1 or _2 or _3")
+    twice = good.where("line_number is not null").groupBy(*group, "line_number").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    found = hold(unlike.select(*group).unionByName(twice.select(*group)).distinct()).select(*[F.col(c).alias(f"_{c}") for c in group])
+    doubtful = good.join(found, F.col(file).eqNullSafe(F.col(f"_{file}")) & F.col("invoice_no").eqNullSafe(F.col("_invoice_no")), "left_semi")
+    differ = [F.when(F.min(s) != F.max(s), F.lit(f"{n}: rows disagree")) for n, s in said.items()]
     doubles = F.when(F.count_distinct("line_number") < F.count("line_number"), F.lit("line_number: given twice"))
-    checked = rows.where("reject is null").groupBy(*group).agg(F.array_compact(F.array(*differ, doubles)).alias("ms"), F.min("line").alias("line"))
-    wrong = rows.where("reject is not null").select(file, "line", F.col("reject.message").alias("message")).unionByName(checked.select(file, "line", F.explode("ms").alias("message")))
-    good = rows.join(wrong.select(file).distinct(), file, "left_anti")
+    checked = doubtful.groupBy(*group).agg(F.array_compact(F.array(*differ, doubles)).alias("ms"), F.min("line").alias("line"))
+    return rows.where("reject is not null").select(file, "line", F.col("reject.message").alias("message")).unionByName(checked.select(file, "line", F.explode("ms").alias("message")))
+
+
+def sales_documents(good: DataFrame, file: str = "path") -> tuple[DataFrame, DataFrame]:
+    """Headers with U-07's hash, and lines, of rows of which none is wrong."""
+    names, group = [c.name for c in SALES_HEADER], [file, "invoice_no"]
     line_hash = hashing.row_hash(*[coerce.cell(F.col("cells")[c.name]) for c in SALES_LINE])
     head_hash = hashing.row_hash(*[coerce.cell(F.col("cells")[n]) for n in names])
     heads = good.withColumns({"_line_hash": line_hash, "_head_hash": head_hash}).groupBy(*group).agg(
-        *[F.min_by(n, "line").alias(n) for n in names if n != "invoice_no"],
-        F.min_by("_head_hash", "line").alias("_head"),
+        F.min_by(F.struct(*[n for n in names if n != "invoice_no"], F.col("_head_hash").alias("_head")), "line").alias("_first"),
         F.transform(F.sort_array(F.collect_list(F.struct("line_number", "_line_hash"))), lambda x: x["_line_hash"]).alias("_lines"),
         F.count(F.lit(1)).alias("row_count"),
         F.min("line").alias("line"),
     )  # a document's lines: bounded by its file
+    heads = heads.select(*group, "_first.*", "_lines", "row_count", "line")
     heads = heads.withColumn("row_hash", hashing.document_hash(F.col("_head"), F.col("_lines"))).withColumn("currency", coerce.currency(F.col("currency"))).drop("_head", "_lines")
-    return heads, good.select(file, "invoice_no", *[c.name for c in SALES_LINE]), wrong
+    return heads, good.select(file, "invoice_no", *[c.name for c in SALES_LINE])
 
 
 def outside_vocabulary(rows: DataFrame, table: str) -> DataFrame:

@@ -190,33 +190,39 @@ def _register(store: TenantStore, good: DataFrame, bad: DataFrame | None, up: Up
     rows = registers.with_period(_owned(good, up), register, start, end).withColumn("valid_to", F.lit(upsert.OPEN_END).cast("date"))
     if register.natural:
         key = list(register.key_columns)
-        live = _live(store, up, register.table, key, rows)
-        held = store.live_size(register.table, up.batch_id)
-        small = FEW * rows.count() < held
-        if held and not small:
-            live = store.met(up.batch_id, live, rows, key)
-        made = upsert.natural(rows.drop("valid_to"), live, key, ORDER, small=small, spread=store.spread(key))
+        made = _upserted(store, up, register.table, key, rows)
     else:
         key = ["entity_id", "gstin", register.period, "row_hash"]
         made = upsert.content(rows, _live(store, up, register.table, key, rows), register.period)
     return _finish(store, up, register.table, key, made, bad, dealt=register.natural)
 
 
+def _upserted(store: TenantStore, up: Upload, table: str, key: list[str], rows: DataFrame) -> DataFrame:
+    """A natural upsert of rows that are held; of the live rows only those move that are met, and all lie by the live index's buckets then."""
+    live, held = _live(store, up, table, key, rows), store.live_size(table, up.batch_id)
+    small = FEW * rows.count() < held
+    if held and not small:
+        live = store.met(up.batch_id, live, rows, key)
+    return upsert.natural(rows.drop("valid_to"), live, key, ORDER, small=small, spread=store.spread(key))
+
+
 def load_sales(store: TenantStore, files: DataFrame, up: Upload) -> Outcome:
     """U-07: whole documents compare by their hash; the period isn't part of the key."""
-    found = _parsed(store, up, registers.cells(files, [c.name for c in SALES_HEADER + SALES_LINE], up.form))
-    if reasons := _fatal(found):
+    found = registers.cells(files, [c.name for c in SALES_HEADER + SALES_LINE], up.form, flat=True)
+    typed = store.work(up.batch_id, "typed", registers.typed(found, SALES_HEADER + SALES_LINE).drop("row_hash", "problem"))
+    if reasons := _fatal(typed):
         return _quarantined(store, up, reasons)
-    typed = store.work(up.batch_id, "typed", registers.typed(found.where("fatal is null"), SALES_HEADER + SALES_LINE))
-    heads, lines, wrong = documents.sales(typed)
+    typed = typed.where("fatal is null").drop("fatal")
+    wrong = documents.sales_problems(typed, hold=lambda rows: store.work(up.batch_id, "doubtful", rows))
     if reasons := [f"line {r.line}: {r.message}" for r in wrong.orderBy("line", "message").limit(20).collect()]:
         return _quarantined(store, up, reasons)
     if reasons := _invalid(typed, "sales_register", "sales_register_line"):
         return _quarantined(store, up, reasons)
-    rows = _owned(heads, up).withColumns({"valid_from": F.col("invoice_date"), "tax_period": F.lit(up.period_start)})
+    heads, lines = documents.sales_documents(typed)  # nothing is wrong, so all rows count
+    rows = _owned(store.work(up.batch_id, "heads", heads), up).withColumns({"valid_from": F.col("invoice_date"), "tax_period": F.lit(up.period_start)})
     key = ["entity_id", "gstin", "invoice_no"]
-    made = upsert.natural(rows, _live(store, up, "sales_register", key, rows), key, ORDER)
-    return _finish(store, up, "sales_register", key, made, None, ("sales_register_line", lines, ["path", "invoice_no"]))
+    made = _upserted(store, up, "sales_register", key, rows)
+    return _finish(store, up, "sales_register", key, made, None, ("sales_register_line", lines, ["path", "invoice_no"]), dealt=True)
 
 
 def load_transactions(store: TenantStore, files: DataFrame, up: Upload) -> Outcome:

@@ -12,7 +12,7 @@ import codecs
 import csv
 import io
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -47,11 +47,20 @@ def _text(data: bytes, newline: str = "") -> io.TextIOWrapper:
     return io.TextIOWrapper(io.BytesIO(data), encoding="utf-8-sig", newline=newline)
 
 
+def _records(data: bytes) -> Iterable[list[str]]:
+    """What ``csv.reader`` gives; without quotes and carriage returns that is what stands between line ends and commas."""
+    if len(data) <= _PIECE and b'"' not in data and b"\r" not in data:
+        lines = data.decode("utf-8-sig").split("\n")
+        if max(map(len, lines)) <= csv.field_size_limit():
+            return (line.split(",") if line else [] for line in lines)
+    return csv.reader(_text(data))
+
+
 def _csv(data: bytes, wanted: list[str], lower: bool) -> Iterator[tuple]:
     if wrong := _not_utf8(data):
         yield None, None, None, wrong
         return
-    reader = csv.reader(_text(data))
+    reader = iter(_records(data))
     header = next((r for r in reader if r), None)
     if header is None:
         yield None, None, None, "no header"
@@ -98,8 +107,12 @@ def _ndjson(data: bytes, wanted: list[str]) -> Iterator[tuple]:
         yield None, None, None, "no data rows"
 
 
-def cells(files: DataFrame, wanted: list[str], form: str = "CSV", lower: bool = False) -> DataFrame:
-    """(path, line, cells, problem, fatal): a row per record; a file that can't be read gives one fatal row."""
+def cells(files: DataFrame, wanted: list[str], form: str = "CSV", lower: bool = False, flat: bool = False) -> DataFrame:
+    """(path, line, cells, problem, fatal): a row per record; a file that can't be read gives one fatal row.
+
+    flat: cells are a struct of the wanted columns instead of a map of all, so a cell is found by its place, not by a search.
+    """
+    laid = (lambda rows: _columns(rows, wanted)) if flat else _batch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []  # filled across files, since a batch costs as much as hundreds of rows
@@ -108,12 +121,34 @@ def cells(files: DataFrame, wanted: list[str], form: str = "CSV", lower: bool =
                 for row in _csv(data.as_py(), wanted, lower) if form == "CSV" else _ndjson(data.as_py(), wanted):
                     out.append((path, *row))
                     if len(out) == _BATCH:
-                        yield _batch(out)
+                        yield laid(out)
                         out = []
         if out:
-            yield _batch(out)
+            yield laid(out)
+
+    own = f"struct<{','.join(f'`{w}`:string' for w in wanted)}>"
+    return files.select("path", "content").mapInArrow(run, ROWS.replace("map<string,string>", own) if flat else ROWS)
 
-    return files.select("path", "content").mapInArrow(run, ROWS)
+
+def _columns(rows: list[tuple], wanted: list[str]) -> pa.RecordBatch:
+    """cells come as (names, values) and are laid out by column; of a name that is given twice the first counts, as in a map."""
+    path, line, given, problem, fatal = zip(*rows, strict=True)
+    found, names, places = [], None, ()
+    for g in given:
+        if g is None:
+            found.append((None,) * len(wanted))
+            continue
+        if g[0] != names:
+            names = g[0]
+            at = dict(zip(reversed(names), range(len(names) - 1, -1, -1), strict=True))
+            places = [at.get(w) for w in wanted]
+        values = g[1]
+        found.append([None if p is None else values[p] for p in places])
+    arrays = [pa.array(c, pa.string()) for c in zip(*found, strict=True)]
+    none = pa.array([g is None for g in given])
+    struct = pa.StructArray.from_arrays(arrays, names=wanted, mask=none)
+    plain = [pa.array(c, k) for c, k in zip((path, line, problem, fatal), (pa.string(), pa.int32(), pa.string(), pa.string()), strict=True)]
+    return pa.RecordBatch.from_arrays([*plain[:2], struct, *plain[2:]], ["path", "line", "cells", "problem", "fatal"])
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
